@@ -1,0 +1,26 @@
+"""Where queries and their SQL meet."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name, with SQL for the same result."""
+
+    def register(f: Query) -> Query:
+        if f.__name__ in QUERIES:
+            raise ValueError(f"query {f.__name__} is registered twice")
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
