@@ -18,7 +18,7 @@ from tidemark.functions.labels import (
 from tidemark.functions.numbers import percent, rate1, score2
 from tidemark.functions.text import strip
 from tidemark.operators.compare import CHANGED, ONLY_2, UNCHANGED
-from tidemark.operators.scale import keep_matching
+from tidemark.operators.scale import first_rows, keep_matching
 from tidemark.session import materialise
 
 TOP_CHANGES = 15
@@ -189,8 +189,6 @@ def top_changes(
     wanted, order = {"increase": (delta > 0, delta.desc()), "decrease": (delta < 0, delta.asc())}[direction]
     ranked = unique_changes(entry_rows, by).filter(wanted)
     if by:
-        from tidemark.operators.scale import first_rows
-
         top = first_rows(ranked, by, [order, "name", "subject"], n)
     else:
         top = ranked.orderBy(order, "name", "subject").limit(n)
