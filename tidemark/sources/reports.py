@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import comparison_id, dataset_type, display_subject, snake_case
 from tidemark.operators.compare import CHANGED, ONLY_1, ONLY_2, UNCHANGED
+from tidemark.sources.snapshots import decoded
 from tidemark.spec import CompareSpec
 
 PATTERN = "*_comparison_report.json"
@@ -69,8 +70,7 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
         .options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
         .json(f"{root}/*/{PATTERN}")
     )
-    path = F.url_decode("_metadata.file_path")
-    with_path = docs.select("*", path.alias("source_file"))
+    with_path = docs.select("*", decoded(F.col("_metadata.file_path")).alias("source_file"))
     sheet = _parent(F.col("source_file"))
     return with_path.withColumn("sheet_type", sheet).withColumn(
         "subject", _subject(F.col("source_file"), F.col("sheet_type"))

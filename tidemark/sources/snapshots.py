@@ -1,7 +1,9 @@
 """Reading snapshot folders.
 
-Layout: ``<folder>/<sheet>/<subject>.<extension>``, one folder per period. All
-files of a sheet share a header. Formats are those Spark reads in parallel.
+Layout: one folder per period, in it one per sheet, in it one file or one folder
+of files per subject (``<sheet>/<subject>.csv`` or ``<sheet>/<subject>/*.csv``,
+also ``subject=<subject>``). All files of a sheet share a header. Formats are
+those Spark reads in parallel.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +34,13 @@ def read_sheet(
 ) -> DataFrame | None:
     """All files of one sheet with their subject, or None if there are none.
 
-    The subject is the file name without its extension. Temporary files
-    (``~...``) are skipped. Without a schema, CSV columns are text, which takes
+    The subject is the name below the sheet folder, without extension. Temporary
+    files (``~...``) are skipped. Without a schema, CSV columns are text, which takes
     the header line only and no pass over the data.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format: {fmt}")
-    reader = spark.read.format(fmt).option("pathGlobFilter", f"[!~]*.{fmt}")
+    reader = spark.read.format(fmt).options(pathGlobFilter=f"[!~]*.{fmt}", recursiveFileLookup=True)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
@@ -54,10 +56,21 @@ def read_sheet(
         if any(c in (e.getCondition() or "") for c in _NOTHING_THERE):
             return None
         raise
-    file = F.col("_metadata.file_name")
-    stem = F.regexp_replace(F.url_decode(file), r"\.[^.]*$", "")
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return clean_headers(df.select(stem.alias("subject"), F.col("_metadata.file_path").alias(SOURCE), *columns))
+    file = decoded(F.col("_metadata.file_path")).alias(SOURCE)
+    return clean_headers(df.select(_subject(F.col("_metadata.file_path"), path).alias("subject"), file, *columns))
+
+
+def decoded(path: Column) -> Column:
+    """A file path as text; a plus sign is not an encoded blank here."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _subject(file_path: Column, sheet_path: str) -> Column:
+    sheet = sheet_path.rstrip("/").rsplit("/", 1)[-1]
+    below = F.substring_index(decoded(file_path), f"/{sheet}/", -1)
+    folder = F.regexp_replace(F.substring_index(below, "/", 1), "^subject=", "")
+    return F.when(F.contains(below, F.lit("/")), folder).otherwise(F.regexp_replace(below, r"\.[^.]*$", ""))
 
 
 def read_period(

@@ -22,12 +22,17 @@ class LoadFailed(RuntimeError):
 
 
 class Store:
-    """Snapshots of one database, one table per schema."""
+    """Snapshots of one database, one table per schema.
 
-    def __init__(self, spark: SparkSession, database: str = "tidemark"):
+    ``location`` is a folder all executors reach; without it the session's
+    warehouse is used.
+    """
+
+    def __init__(self, spark: SparkSession, database: str = "tidemark", location: str | None = None):
         self.spark = spark
         self.database = database
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        place = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
 
     def _full(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -45,12 +50,12 @@ class Store:
             raise ValueError(f"unknown mode: {if_exists}")
         if if_exists == "fail" and self.exists(table):
             raise LoadFailed(f"table {table} exists")
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
         if partitions:
             rest = [c for c in df.columns if c not in partitions]
-            counted = counted.repartitionByRange(*partitions, *rest[:1])
-        writer = counted.write.mode(modes[if_exists]).format("parquet")
+            df = df.repartitionByRange(*partitions, *rest[:1])
+        # Counted behind the shuffle: finding the ranges reads the input too.
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(modes[if_exists]).format("parquet")
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.saveAsTable(self._full(table))
