@@ -18,11 +18,11 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numbers import rate, relative_change
 from tidemark.functions.text import comparable_name, fold
-from tidemark.operators.nulls import guard
+from tidemark.operators.nulls import never_null
 from tidemark.operators.scale import keep_matching
 from tidemark.operators.shape import comparable
 from tidemark.operators.stats import long_outliers
-from tidemark.session import materialise
+from tidemark.session import store
 from tidemark.spec import CompareSpec, Metric
 
 ONLY_1, ONLY_2 = "only_in_1", "only_in_2"
@@ -36,7 +36,7 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
     period; 0 means it is absent there.
     """
     wanted = df.filter(F.col(spec.period).isin(*spec.periods))
-    wanted = guard(wanted, F.col(spec.entity).isNull(), f"{spec.entity} holds a null value")
+    wanted = never_null(wanted, [spec.entity])
     sides = [(i, F.col(spec.period) == p) for i, p in enumerate(spec.periods, 1)]
     counts = [F.count_if(side).alias(f"rows_{i}") for i, side in sides]
     if spec.assume_unique:
@@ -134,7 +134,7 @@ def complete_pairs(df: DataFrame, spec: CompareSpec) -> DataFrame:
     """The rows of pairs that exist in both periods."""
     found = pair_coverage(df, spec).filter("is_complete")
     keys = found.select(*spec.pair_by, (F.col("rows_1") + F.col("rows_2")).alias("_weight"))
-    return keep_matching(df, materialise(keys, "pairs"), spec.pair_by, "_weight")
+    return keep_matching(df, store(keys, "pairs"), spec.pair_by, "_weight")
 
 
 def only_in(compared: DataFrame, side: int, spec: CompareSpec) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import fold
 from tidemark.operators.scale import attach, keep_first, running_totals
-from tidemark.session import materialise
+from tidemark.session import store
 
 
 class DuplicatesFound(ValueError):
@@ -55,7 +55,7 @@ def flag_duplicates(
     groups = groups.drop("surplus").withColumn("_one", F.lit(1).cast("bigint"))
     ranked = running_totals(groups, by, order, "_one")
     profile = F.concat_ws(" | ", *[F.concat(F.lit(f"{k}:"), F.col(norm[k]).cast("string")) for k in keys])
-    numbered = materialise(
+    numbered = store(
         ranked.select(
             *by,
             *order,
@@ -65,7 +65,7 @@ def flag_duplicates(
         ),
         "duplicates",
     )
-    if fail and not numbered.isEmpty():
+    if fail and numbered.rows:
         raise DuplicatesFound(f"duplicates found on {list(keys)}")
     keyed = df.withColumns({norm[k]: _key(df, k, case_sensitive) for k in keys})
     joined = attach(keyed, numbered, [*by, *order], "n_rows", null_safe=[*by, *order])

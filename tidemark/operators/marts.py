@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tidemark.functions.numbers import percent, rate1, score2
 from tidemark.functions.text import strip
 from tidemark.operators.compare import CHANGED, ONLY_2, UNCHANGED
 from tidemark.operators.scale import first_rows, keep_matching
-from tidemark.session import materialise
+from tidemark.session import materialise, store
 
 TOP_CHANGES = 15
 TOP_SUMMARY = 10
@@ -172,9 +172,9 @@ def unique_changes(entry_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         (F.min("subject") != F.max("subject")).alias("_several"),
         F.max(F.struct("paper_change", "subject", *values)).alias("_best"),
     )
-    per_name = materialise(per_name, "changes")
-    single = per_name.filter(~F.col("_several")).select(*by, "name", "_best.*")
-    names = per_name.filter("_several").select(*by, "name", "_weight")
+    per_name = store(per_name, "changes")
+    single = per_name.df.filter(~F.col("_several")).select(*by, "name", "_best.*")
+    names = replace(per_name, df=per_name.df.filter("_several").select(*by, "name", "_weight"))
     return keep_matching(moved, names, [*by, "name"], "_weight").unionByName(single)
 
 

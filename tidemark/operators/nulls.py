@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +11,6 @@ from pyspark.sql import types as T
 from tidemark.functions.numbers import not_nan
 
 
-class NullValues(ValueError):
-    """Null values where none are allowed."""
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN and null both mean missing; keep null."""
     fractional = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
@@ -29,20 +23,19 @@ def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return counts.unpivot(list(by), list(columns), "column_name", "null_count")
 
 
-def guard(df: DataFrame, violated: Column, message: str) -> DataFrame:
-    """Fail the job at the first row that violates, without a pass of its own."""
-    return df.filter(F.when(violated, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
-
-
 def never_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    for c in columns:
-        if c in df.columns:
-            df = guard(df, F.col(c).isNull(), f"critical column {c} holds a null value")
-    return df
+    """Fail the job at the first null in one of the columns.
+
+    The test is part of reading the column, so it takes no pass of its own and
+    sees the rows of ``df`` only; a filter could be moved below a join, to rows
+    that are not part of the result.
+    """
 
+    def tested(c: str) -> Column:
+        failure = F.raise_error(F.lit(f"column {c} may not hold a null value"))
+        return F.when(F.col(c).isNull(), failure).otherwise(F.col(c))
 
-def any_null(columns: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in columns])
+    return df.withColumns({c: tested(c) for c in columns if c in df.columns})
 
 
 def handle_nulls(

@@ -3,42 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialise, measured_bytes
+from tidemark.session import Stored, materialise
 
 # Largest table that is sent to every executor, checked by measuring it.
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Number of the heaviest keys that are joined by broadcast when the table is
 # too large. Any other key holds at most 1/HEAVY_KEYS of the rows.
 HEAVY_KEYS = 1000
+# Most rows of a group that one task ranks, checked by counting.
+GROUP_LIMIT = 2_000_000
 
 
 def attach(
     rows: DataFrame,
-    values: DataFrame,
+    stored: Stored,
     on: Sequence[str],
     weight: str,
     null_safe: Sequence[str] = (),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     heavy_keys: int = HEAVY_KEYS,
-    size: int | None = None,
 ) -> DataFrame:
-    """Left join ``values`` (one row per key) onto ``rows``.
-
-    ``values`` must be a stored table; it is measured. A small one is
-    broadcast. Otherwise the heaviest keys, by ``weight``, are broadcast and
-    the rest is joined by shuffle, with the rows of heavy and null keys spread
-    over the partitions of that shuffle. ``weight`` is the number of rows of a
-    key and is not part of the result. Columns in ``null_safe`` also match
-    null to null. ``size`` saves the measuring when an upper bound is known.
+    """Left join a stored table with one row per key onto ``rows``.
+
+    A small table is broadcast. Of a larger one the heaviest keys, by
+    ``weight``, are broadcast and the rest is joined by shuffle, with the rows
+    of heavy and null keys spread over the partitions of that shuffle.
+    ``weight`` is the number of rows of a key and is not part of the result.
+    Columns in ``null_safe`` also match null to null.
     """
+    values = stored.df
     added = [c for c in values.columns if c not in on and c != weight]
-    if size is None:
-        size = measured_bytes(values)
-    if size <= broadcast_bytes:
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if stored.nbytes <= limit:
         return _left(rows, F.broadcast(values.drop(weight)), on, added, null_safe)
 
     heavy = values.orderBy(F.desc(weight), *on).limit(heavy_keys)
@@ -81,43 +82,58 @@ def _left(
     return rows.alias("_l").join(right, cond, "left").drop(*renamed.values())
 
 
-def keep_matching(rows: DataFrame, keys: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
+def keep_matching(rows: DataFrame, keys: Stored, on: Sequence[str], weight: str, **limits) -> DataFrame:
     """Left semi join with a stored key table, safe for heavy keys."""
-    marked = keys.withColumn("_kept", F.lit(True))
-    return attach(rows, marked, on, weight).filter("_kept").drop("_kept")
+    marked = replace(keys, df=keys.df.withColumn("_kept", F.lit(True)))
+    return attach(rows, marked, on, weight, **limits).filter("_kept").drop("_kept")
 
 
 def running_totals(
-    cells: DataFrame, by: Sequence[str], order: Sequence[str], weight: str, sums: dict[str, Column] | None = None
+    cells: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    weight: str,
+    sums: dict[str, Column] | None = None,
+    group_limit: int | None = None,
 ) -> DataFrame:
     """For each row, the weight of the rows before it in its group.
 
     Adds ``before`` and ``total``, plus the group totals of the expressions in
-    ``sums``. ``cells`` holds distinct (by, order) keys. A group may be of any
-    size: rows are cut into slices by range partitioning, each slice is summed
-    on its own and gets the total of the slices before it. The slice number is
-    stored, since a second run of the range partitioning may cut differently.
+    ``sums``. ``cells`` holds distinct (by, order) keys and is stored first, so
+    that the groups can be measured. Where they are small, a window per group
+    does. Otherwise rows are cut into slices by range partitioning, each slice
+    is summed on its own and gets the total of the slices before it.
     """
     sums = sums or {}
-    stored = materialise(
-        cells.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id()), "slices"
-    )
-    per_slice = stored.groupBy(*by, "_slice").agg(
+    stored = materialise(cells, "cells")
+    sizes = stored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    group = Window.partitionBy(*by)
+    to_previous = (Window.unboundedPreceding, -1)
+    if largest <= (GROUP_LIMIT if group_limit is None else group_limit):
+        before = F.sum(weight).over(group.orderBy(*order).rowsBetween(*to_previous))
+        return stored.select(
+            "*",
+            F.coalesce(before, F.lit(0)).alias("before"),
+            F.sum(weight).over(group).alias("total"),
+            *[F.sum(e).over(group).alias(n) for n, e in sums.items()],
+        )
+
+    # The slice number is stored: partitioning a second time may cut elsewhere.
+    sliced = stored.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id())
+    sliced = materialise(sliced, "slices")
+    per_slice = sliced.groupBy(*by, "_slice").agg(
         F.sum(weight).alias("_w"), *[F.sum(e).alias(n) for n, e in sums.items()]
     )
-    group = Window.partitionBy(*by)
-    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
         *by,
         "_slice",
-        F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_offset"),
+        F.coalesce(F.sum("_w").over(group.orderBy("_slice").rowsBetween(*to_previous)), F.lit(0)).alias("_offset"),
         F.sum("_w").over(group).alias("total"),
         *[F.sum(n).over(group).alias(n) for n in sums],
     )
-    joined = _left(stored, offsets, [*by, "_slice"], ["_offset", "total", *sums], by)
-    inside = (
-        Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    joined = _left(sliced, offsets, [*by, "_slice"], ["_offset", "total", *sums], by)
+    inside = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(*to_previous)
     before = F.col("_offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
     return joined.withColumn("before", before).drop("_slice", "_offset")
 

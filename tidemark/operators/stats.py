@@ -8,6 +8,7 @@ one cell, and a group of any size is ranked slice by slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import or_
 
@@ -18,25 +19,20 @@ from tidemark.functions.labels import outlier_flag, outlier_severity, outside_fe
 from tidemark.functions.numbers import not_nan, percent
 from tidemark.operators.rules import count_violations
 from tidemark.operators.scale import BROADCAST_BYTES, attach, running_totals
-from tidemark.session import materialise, measured_bytes
+from tidemark.session import Stored, measure, store
 
 STATS = ("n", "mean", "std", "std_pop", "min", "max", "q1", "q3", "iqr")
 HIGH_OUTLIER_RATE = 20.0
 
 
-def ranked_cells(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values per (by, field): rows, rows before, group size, mean.
-
-    A stored table, since several results are read from it.
-    """
+def ranked_cells(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> Stored:
+    """Distinct values per (by, field): rows, rows before, group size, mean."""
     numbers = df.select(*by, *[not_nan(F.col(f)).alias(f) for f in fields])
     long = numbers.unpivot(list(by), list(fields), "field", "value").filter("value IS NOT NULL")
     cells = long.groupBy(*by, "field", "value").agg(F.count(F.lit(1)).alias("n"))
     weighted = {"_sum": F.col("value") * F.col("n")}
     ranked = running_totals(cells, [*by, "field"], ["value"], "n", weighted)
-    return materialise(
-        ranked.withColumn("mean", F.col("_sum") / F.col("total")).drop("_sum"), "cells"
-    )
+    return store(ranked.withColumn("mean", F.col("_sum") / F.col("total")).drop("_sum"), "ranked")
 
 
 def _at_rank(rank: Column) -> Column:
@@ -82,7 +78,7 @@ def field_stats(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def profile(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Statistics of each field in each group."""
-    return field_stats(ranked_cells(df, fields, by), by)
+    return field_stats(ranked_cells(df, fields, by).df, by)
 
 
 def percent_rank_of_cell() -> Column:
@@ -104,7 +100,7 @@ def with_outliers(
     """
     cells = ranked_cells(df, fields, by)
     wide = (
-        field_stats(cells, by)
+        field_stats(cells.df, by)
         .groupBy(*by)
         .agg(
             F.max("n").alias("_weight"),
@@ -115,17 +111,16 @@ def with_outliers(
             ],
         )
     )
-    out = attach(df, materialise(wide, "stats"), by, "_weight", null_safe=by)
+    out = attach(df, store(wide, "stats"), by, "_weight", null_safe=by)
     if percentiles:
-        # If all cells together may be broadcast, so may those of one field.
-        size = measured_bytes(cells)
-        size = size if size <= BROADCAST_BYTES else None
         for f in fields:
-            mine = cells.filter(F.col("field") == f).select(
+            mine = cells.df.filter(F.col("field") == f).select(
                 *by, F.col("value").alias(f"_{f}_key"), percent_rank_of_cell().alias(f"_{f}_rank"), "n"
             )
+            # If all cells together may be broadcast, so may those of one field.
+            part = replace(cells, df=mine) if cells.nbytes <= BROADCAST_BYTES else measure(mine)
             out = out.withColumn(f"_{f}_key", not_nan(F.col(f)))
-            out = attach(out, mine, [*by, f"_{f}_key"], "n", null_safe=by, size=size)
+            out = attach(out, part, [*by, f"_{f}_key"], "n", null_safe=by)
 
     added: list[Column] = []
     for f in fields:
@@ -148,13 +143,13 @@ def outlier_report(
 ) -> DataFrame:
     """Rows outside the fences and rows beyond ``threshold`` population z."""
     cells = ranked_cells(df, fields, by)
-    stats = materialise(
-        field_stats(cells, by).select(
+    stats = store(
+        field_stats(cells.df, by).select(
             *by, "field", "q1", "q3", F.col("std_pop").alias("_std"), F.col("n").alias("_weight")
         ),
         "stats",
     )
-    joined = attach(cells, stats, [*by, "field"], "_weight", null_safe=by)
+    joined = attach(cells.df, stats, [*by, "field"], "_weight", null_safe=by)
     z = F.abs(z_score(F.col("value"), F.col("mean"), F.col("_std")))
 
     def rows_where(test: Column) -> Column:

@@ -61,7 +61,7 @@ def run(
     if flagged:
         carry += [c for c in C.DUPLICATE_FLAGS if c not in carry]
     if analysed:
-        rows = with_outliers(rows, analysed, by, threshold)
+        rows = with_outliers(rows, analysed, by, threshold, percentiles=False)
         carry += [f"{f}_{s}" for f in analysed for s in ("z_score", "outlier_flag")]
     rows = materialise(rows, "prepared")
     wide = replace(spec, carry=tuple(carry))

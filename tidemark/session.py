@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Bytes a row of a broadcast table needs beside its values.
+ROW_OVERHEAD = 32
 _local_scratch: dict[str, str] = {}
 
 
@@ -50,6 +53,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+@dataclass(frozen=True)
+class Stored:
+    """A table in the shared folder with its rows and in-memory size."""
+
+    df: DataFrame
+    rows: int
+    nbytes: int
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -62,17 +74,32 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """In-memory size of a stored table, counted rather than estimated."""
-    per_row = 32
-    widths = []
+def store(df: DataFrame, label: str = "stage") -> Stored:
+    """Like ``materialise``, measuring the table while it is written."""
+    seen = Observation()
+    stored = materialise(df.observe(seen, *_measures(df)), label)
+    return _stored(stored, seen.get)
+
+
+def measure(df: DataFrame) -> Stored:
+    """Measure a part of a stored table."""
+    return _stored(df, df.agg(*_measures(df)).first().asDict())
+
+
+def _stored(df: DataFrame, found: dict) -> Stored:
+    return Stored(df, found["n"], found["n"] * ROW_OVERHEAD + (found["width"] or 0))
+
+
+def _measures(df: DataFrame) -> list[Column]:
+    fixed, widths = 0, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             widths.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            widths.append(F.octet_length(F.to_json(F.struct(F.col(f.name)))))
+            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
         else:
-            per_row += 8
-    width = sum(widths[1:], widths[0]) if widths else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("w")).first()
-    return row["n"] * per_row + (row["w"] or 0)
+            fixed += 8
+    width = F.lit(fixed).cast("long")
+    for w in widths:
+        width = width + w
+    return [F.count(F.lit(1)).alias("n"), F.sum(width).alias("width")]

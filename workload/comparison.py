@@ -358,7 +358,9 @@ THRESHOLD = 2.0
 
 
 def enriched_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_outliers(snapshots(spark, sf_dir), OUT_FIELDS, by=["subject", "period"], threshold=THRESHOLD)
+    return with_outliers(
+        snapshots(spark, sf_dir), OUT_FIELDS, by=["subject", "period"], threshold=THRESHOLD, percentiles=False
+    )
 
 
 def enriched_sql(source: str, fields: tuple[str, ...], by: str, threshold: float, keep: str) -> str:
