@@ -129,6 +129,8 @@ def test_severity(spark):
 
 
 def test_displayed_numbers(spark):
+    assert column(spark, [1234567, 0], N.with_commas, "int") == ["1,234,567", "0"]
+    assert column(spark, [1234, -5, 0], N.signed, "int") == ["+1,234", "-5", "0"]
     assert column(spark, ["+1,234", "-5", "n/a", None], N.sort_number) == [1234.0, -5.0, 0.0, 0.0]
     with pytest.raises(ValueError):
         L.change_class(F.col("v"), "huge")

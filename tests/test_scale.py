@@ -75,16 +75,34 @@ def test_large_paths_match(spark, sf_dir, monkeypatch):
     assert flag_duplicates(parts, ["p_name", "p_brand"]).orderBy("p_partkey").collect() == flagged
 
 
-def test_large_paths_spread_the_heavy_key(spark, skewed):
-    """No partition of the shuffled join holds the heavy key's rows alone."""
+def test_heavy_and_null_keys_are_spread(spark, skewed):
+    """The shuffled join sends rows of the heavy key to several partitions."""
     counts = store(skewed.groupBy("k").agg(F.count("*").alias("n"), F.min("i").alias("first")))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
     try:
         out = scale.attach(skewed, counts, ["k"], "n", (), 0, 3).withColumn("p", F.spark_partition_id())
-        sizes = out.filter("k = 'hot'").groupBy("p").count().collect()
+        assert "hashpartitioning(k#" in out._jdf.queryExecution().executedPlan().toString()
+        sizes = out.groupBy("k", "p").agg(F.count("*").alias("n")).collect()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) > 1
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    hot = [r["n"] for r in sizes if r["k"] == "hot"]
+    assert sum(hot) == 400 and max(hot) < 300
+    assert len([r for r in sizes if r["k"] is None]) > 1
+
+
+def test_attach_casts_and_zeros(spark):
+    """Equal keys meet in the large path whatever their type or sign of zero."""
+    rows = spark.createDataFrame([(1, -0.0), (2, 0.0), (3, 1.5)], "i int, v double")
+    values = store(spark.createDataFrame([(0.0, 2, "zero"), (1.5, 1, "more")], "v double, n bigint, label string"))
+    out = scale.attach(rows, values, ["v"], "n", (), 0, 1)
+    assert {r["i"]: r["label"] for r in out.collect()} == {1: "zero", 2: "zero", 3: "more"}
+    ints = spark.createDataFrame([(1, 7)], "i int, k int")
+    longs = store(spark.createDataFrame([(7, 1, "a"), (8, 2, "b"), (9, 3, "c")], "k bigint, n bigint, label string"))
+    assert scale.attach(ints, longs, ["k"], "n", (), 0, 1).first()["label"] == "a"
 
 
 def test_quartiles_of_tiny_groups(spark):

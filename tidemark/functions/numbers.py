@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import strip
 
@@ -13,23 +14,31 @@ def not_nan(c: Column) -> Column:
     return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
-def parse_double(c: Column) -> Column:
-    """The number in a text or numeric column, null where there is none."""
+def parse_double(c: Column, kind: T.DataType | None = None) -> Column:
+    """The number in a column, null where there is none.
+
+    Text is read; with ``kind`` a numeric column is taken as it is.
+    """
+    if isinstance(kind, T.NumericType):
+        return not_nan(c)
     return not_nan(strip(c.cast("string")).try_cast("double"))
 
 
-def lenient_double(c: Column) -> Column:
-    return F.coalesce(parse_double(c), F.lit(0.0))
+def lenient_double(c: Column, kind: T.DataType | None = None) -> Column:
+    return F.coalesce(parse_double(c, kind), F.lit(0.0))
 
 
-def lenient_long(c: Column) -> Column:
+def lenient_long(c: Column, kind: T.DataType | None = None) -> Column:
     """``'123.7'`` to 123; what is no number becomes 0."""
-    return F.coalesce(parse_double(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    whole = c if isinstance(kind, T.IntegralType) else parse_double(c, kind).try_cast("bigint")
+    return F.coalesce(whole.cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def non_numeric(c: Column) -> Column:
+def non_numeric(c: Column, kind: T.DataType | None = None) -> Column:
     """A value is there, but it is no number."""
-    return c.isNotNull() & parse_double(c).isNull()
+    if isinstance(kind, T.IntegralType):
+        return F.lit(False)
+    return c.isNotNull() & parse_double(c, kind).isNull()
 
 
 def relative_change(old: Column, new: Column) -> Column:
@@ -61,3 +70,13 @@ def rate1(c: Column) -> Column:
 def sort_number(c: Column) -> Column:
     """Sort value of a displayed number: ``+1,234`` to 1234, other text to 0."""
     return F.coalesce(F.regexp_replace(c.cast("string"), "[+,]", "").try_cast("double"), F.lit(0.0))
+
+
+def with_commas(c: Column) -> Column:
+    """Display form of a count: ``1,234``."""
+    return F.format_number(c, 0)
+
+
+def signed(c: Column, digits: int = 0) -> Column:
+    """Display form of a change: ``+1,234``, ``-5``, ``0``."""
+    return F.concat(F.when(c > 0, "+").otherwise(""), F.format_number(c, digits))

@@ -18,13 +18,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numbers import rate, relative_change
 from tidemark.functions.text import comparable_name, fold
-from tidemark.operators.nulls import never_null
 from tidemark.operators.scale import keep_matching
 from tidemark.operators.shape import comparable
 from tidemark.operators.stats import long_outliers
 from tidemark.session import store
 from tidemark.spec import CompareSpec, Metric
 
+# A row without a name is counted in the totals, but belongs to no class.
+UNNAMED = "unnamed"
 ONLY_1, ONLY_2 = "only_in_1", "only_in_2"
 CHANGED, UNCHANGED, UNCLASSIFIED = "changed", "unchanged", "unclassified"
 
@@ -36,7 +37,6 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
     period; 0 means it is absent there.
     """
     wanted = df.filter(F.col(spec.period).isin(*spec.periods))
-    wanted = never_null(wanted, [spec.entity])
     sides = [(i, F.col(spec.period) == p) for i, p in enumerate(spec.periods, 1)]
     counts = [F.count_if(side).alias(f"rows_{i}") for i, side in sides]
     if spec.assume_unique:
@@ -63,19 +63,21 @@ def same(m: Metric) -> Column:
     return F.abs(b - a) <= m.tolerance if m.tolerance > 0 else a == b
 
 
-def _classified(paired: DataFrame, metrics: Sequence[Metric], settle: bool) -> DataFrame:
+def _classified(paired: DataFrame, spec: CompareSpec, settle: bool = False) -> DataFrame:
     """Add status, deltas and relative changes.
 
     With ``settle`` a delta within the tolerance is reported as 0.
     """
+    metrics = spec.metrics
     status = (
-        F.when(F.col("rows_2") == 0, ONLY_1)
+        F.when(F.col(spec.entity).isNull(), UNNAMED)
+        .when(F.col("rows_2") == 0, ONLY_1)
         .when(F.col("rows_1") == 0, ONLY_2)
         .when(reduce(or_, [differs(m) for m in metrics]), CHANGED)
         .when(reduce(and_, [same(m) for m in metrics]), UNCHANGED)
         .otherwise(UNCLASSIFIED)
     )
-    matched = (F.col("rows_1") > 0) & (F.col("rows_2") > 0)
+    matched = ~status.isin(UNNAMED, ONLY_1, ONLY_2)
     extra = []
     for m in metrics:
         a, b = F.col(f"{m.name}_1"), F.col(f"{m.name}_2")
@@ -89,7 +91,7 @@ def _classified(paired: DataFrame, metrics: Sequence[Metric], settle: bool) -> D
 
 def compare(df: DataFrame, spec: CompareSpec) -> DataFrame:
     """Classify every entity of every pair: exact key, tolerance per metric."""
-    return _classified(pair_up(df, spec), spec.metrics, settle=False)
+    return _classified(pair_up(df, spec), spec)
 
 
 def compare_normalised(df: DataFrame, spec: CompareSpec, tolerance: float = 0.001) -> DataFrame:
@@ -112,7 +114,7 @@ def compare_normalised(df: DataFrame, spec: CompareSpec, tolerance: float = 0.00
         order_by=spec.order_by,
         assume_unique=spec.assume_unique,
     )
-    return _classified(pair_up(spelled, folded), metrics, settle=True)
+    return _classified(pair_up(spelled, folded), folded, settle=True)
 
 
 def pair_coverage(df: DataFrame, spec: CompareSpec) -> DataFrame:

@@ -17,7 +17,7 @@ from tidemark.functions.labels import (
 )
 from tidemark.functions.numbers import percent, rate1, score2
 from tidemark.functions.text import strip
-from tidemark.operators.compare import CHANGED, ONLY_2, UNCHANGED
+from tidemark.operators.compare import CHANGED, ONLY_2, UNCHANGED, UNCLASSIFIED
 from tidemark.operators.scale import first_rows, keep_matching
 from tidemark.session import materialise, store
 
@@ -255,7 +255,7 @@ def run_summary(snapshots: DataFrame, compared: DataFrame, by: Sequence[str], pa
     )
     pairs = compared.groupBy(*pair_by).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if((F.col("rows_1") > 0) & (F.col("rows_2") > 0)).alias("matched"),
+        F.count_if(F.col("status").isin(CHANGED, UNCHANGED, UNCLASSIFIED)).alias("matched"),
         F.count_if(F.col("status") == CHANGED).alias("changed"),
         F.max(F.col("rows_1") > 0).alias("has_1"),
         F.max(F.col("rows_2") > 0).alias("has_2"),

@@ -38,7 +38,7 @@ def count_violations(df: DataFrame, predicates: Predicates, by: Sequence[str] =
 
 
 def type_predicates(df: DataFrame, columns: Sequence[str]) -> Predicates:
-    return {("non_numeric", c): non_numeric(F.col(c)) for c in columns if c in df.columns}
+    return {("non_numeric", c): non_numeric(F.col(c), df.schema[c].dataType) for c in columns if c in df.columns}
 
 
 def range_predicates(df: DataFrame, rules: Sequence[Rule]) -> Predicates:
@@ -46,7 +46,7 @@ def range_predicates(df: DataFrame, rules: Sequence[Rule]) -> Predicates:
     for r in rules:
         if r.column not in df.columns:
             continue
-        value = parse_double(F.col(r.column))
+        value = parse_double(F.col(r.column), df.schema[r.column].dataType)
         if r.min_value is not None:
             out["below_minimum", r.column] = value < r.min_value
         if r.max_value is not None:
@@ -62,7 +62,7 @@ def rule_predicates(df: DataFrame, rules: Sequence[Rule]) -> Predicates:
             continue
         c = F.col(r.column)
         if r.min_value is not None or r.max_value is not None:
-            out["not_a_number", r.column] = non_numeric(c)
+            out["not_a_number", r.column] = non_numeric(c, df.schema[r.column].dataType)
         if r.min_length is not None:
             out["too_short", r.column] = F.length(strip(c.cast("string"))) < r.min_length
         if r.required:
@@ -82,11 +82,11 @@ def sanity_predicates(
     for column, high in high_values.items():
         if column not in df.columns:
             continue
-        c = F.col(column)
-        value = parse_double(c)
+        c, kind = F.col(column), df.schema[column].dataType
+        value = parse_double(c, kind)
         out["negative", column] = value < 0
         out["very_high", column] = value > high
-        out["not_numeric", column] = non_numeric(c)
+        out["not_numeric", column] = non_numeric(c, kind)
     for column in texts:
         if column not in df.columns:
             continue

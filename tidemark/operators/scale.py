@@ -50,18 +50,21 @@ def attach(
     for c in on:
         if c not in null_safe:
             no_match = no_match | F.col(c).isNull()
-    # The salt only depends on the input partition, so a re-run task sends its
-    # rows to the same places.
-    spread = F.spark_partition_id() + F.lit(1)
+    # ``_place`` is one more join key. For a light key it follows from the key;
+    # rows of heavy and null keys get their input partition instead, which no
+    # value has. A task that is run again sends its rows to the same places.
+    types = {f.name: f.dataType for f in values.schema.fields}
+    place = F.pmod(F.xxhash64(*[F.col(c).cast(types[c]) for c in on]), F.lit(1 << 31))
+    elsewhere = -(F.spark_partition_id() + 1).cast("bigint")
     marked = marked.withColumn(
-        "_salt", F.when(F.col("_heavy").isNotNull() | no_match, spread).otherwise(F.lit(0))
+        "_place", F.when(F.col("_heavy").isNotNull() | no_match, elsewhere).otherwise(place)
     )
     light = (
         _left(values, F.broadcast(heavy), on, ["_heavy"], null_safe)
         .filter(F.col("_heavy").isNull())
-        .select(*on, F.struct(*added).alias("_light"), F.lit(0).alias("_salt"))
+        .select(*on, F.struct(*added).alias("_light"), place.alias("_place"))
     )
-    joined = _left(marked, light, [*on, "_salt"], ["_light"], null_safe)
+    joined = _left(marked, light, [*on, "_place"], ["_light"], null_safe)
     found = F.coalesce("_heavy", "_light")
     return joined.select(*rows.columns, *[found[c].alias(c) for c in added])
 

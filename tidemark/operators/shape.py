@@ -141,13 +141,13 @@ def typed(df: DataFrame, schema: str | T.StructType, keep: Sequence[str] = ()) -
     """Lenient typing: trimmed text, numbers or 0, null text to ``''``."""
 
     def convert(f: T.StructField) -> Column:
-        c = F.col(f.name)
+        c, kind = F.col(f.name), df.schema[f.name].dataType
         if isinstance(f.dataType, T.StringType):
             return F.coalesce(strip(c.cast("string")), F.lit(""))
         if isinstance(f.dataType, T.IntegralType):
-            return lenient_long(c).cast(f.dataType)
+            return lenient_long(c, kind).cast(f.dataType)
         if isinstance(f.dataType, T.FractionalType):
-            return lenient_double(c).cast(f.dataType)
+            return lenient_double(c, kind).cast(f.dataType)
         return c.cast(f.dataType)
 
     return df.select(*keep, *[convert(f).alias(f.name) for f in as_schema(schema).fields])
@@ -162,9 +162,9 @@ def enforced(df: DataFrame, schema: str | T.StructType, keep: Sequence[str] = ()
 
 def comparable(df: DataFrame, name: str, metrics: Sequence[str]) -> DataFrame:
     """Trim the name and read every metric as a number, 0 where it is none."""
-    types = {f.name: f.dataType for f in df.schema.fields}
     changed = {name: strip(F.col(name))}
     for m in metrics:
-        whole = isinstance(types[m], T.IntegralType)
-        changed[m] = F.coalesce(F.col(m), F.lit(0)) if whole else lenient_double(F.col(m))
+        kind = df.schema[m].dataType
+        whole = isinstance(kind, T.IntegralType)
+        changed[m] = F.coalesce(F.col(m), F.lit(0)) if whole else lenient_double(F.col(m), kind)
     return df.withColumns(changed)

@@ -91,6 +91,7 @@ def dashboard(compared: DataFrame, summary: DataFrame, roles: M.Roles) -> dict[s
     cross = M.cross_field(rows, by)
     return {
         "summary": M.executive_summary(summary, by=by),
+        "summary_top": M.top_changes(rows, "increase", by, M.TOP_SUMMARY),
         "entries": rows,
         "entities": M.entities(rows, by),
         "cross_field": cross,

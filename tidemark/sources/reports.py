@@ -153,13 +153,13 @@ def report_rows(compared: DataFrame, spec: CompareSpec, sheet: str = "sheet_type
 def write_entities(compared: DataFrame, spec: CompareSpec, root: str) -> None:
     """The entity lists as JSON lines, one folder per comparison and section.
 
-    Range partitioning splits a heavy section over several files and keeps a
-    light one in one.
+    Rebalancing splits a heavy section over several files and keeps a light
+    one in one.
     """
     rows = report_rows(compared, spec)
     folders = ["sheet_type", "comparison_id", "section"]
     (
-        rows.repartitionByRange(*folders, spec.entity)
+        rows.hint("rebalance", *folders)
         .write.mode("overwrite")
         .partitionBy(*folders)
         .option("ignoreNullFields", False)

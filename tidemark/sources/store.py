@@ -42,8 +42,9 @@ class Store:
     def create(self, df: DataFrame, table: str, if_exists: str = "replace", partitions: Sequence[str] = ()) -> int:
         """Create a table from a frame; returns the number of rows written.
 
-        Rows are range partitioned by the partition columns first, so that a
-        heavy partition is written by several tasks and a light one as one file.
+        Rows are rebalanced by the partition columns first: adaptive execution
+        splits a heavy partition over several tasks and files and merges light
+        ones, so their number follows the size of the data.
         """
         modes = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
         if if_exists not in modes:
@@ -51,9 +52,7 @@ class Store:
         if if_exists == "fail" and self.exists(table):
             raise LoadFailed(f"table {table} exists")
         if partitions:
-            rest = [c for c in df.columns if c not in partitions]
-            df = df.repartitionByRange(*partitions, *rest[:1])
-        # Counted behind the shuffle: finding the ranges reads the input too.
+            df = df.hint("rebalance", *partitions)
         seen = Observation()
         writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(modes[if_exists]).format("parquet")
         if partitions:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import change_sign
+from tidemark.functions.numbers import signed
 from tidemark.functions.text import comparison_id, dataset_type, display_subject
 from tidemark.operators import compare as C
 from tidemark.operators import filters
@@ -56,6 +57,11 @@ def entries(spark, sf_dir):
     return M.entries(shown_comparison(spark, sf_dir), ROLES)
 
 
+def stored_entries(spark, sf_dir):
+    """For views that read the entries several times."""
+    return materialise(entries(spark, sf_dir), "entries")
+
+
 def _flat(df, column="subjects"):
     return df.drop(column)
 
@@ -87,7 +93,7 @@ CROSS_COLUMNS = "name, fields, total_papers, total_change, total_score, field_co
 
 @query(ENTRIES_SQL + f"SELECT {CROSS_COLUMNS} FROM crossf")
 def cross_field_list(spark, sf_dir):
-    out = M.cross_field(entries(spark, sf_dir)).withColumn("fields", F.array_join("fields", ", "))
+    out = M.cross_field(stored_entries(spark, sf_dir)).withColumn("fields", F.array_join("fields", ", "))
     return out.select(*CROSS_COLUMNS.split(", ")).orderBy(F.desc("field_count"), "name")
 
 
@@ -97,7 +103,7 @@ def cross_field_list(spark, sf_dir):
   count(*) FILTER (WHERE is_approaching_cross_field) AS approaching_cross_field FROM crossf"""
 )
 def cross_field_counts(spark, sf_dir):
-    return M.cross_field_counts(M.cross_field(entries(spark, sf_dir)))
+    return M.cross_field_counts(M.cross_field(stored_entries(spark, sf_dir)))
 
 
 @query(
@@ -107,7 +113,7 @@ WHERE name IN (SELECT name FROM multi)
   OR (name NOT IN (SELECT name FROM multi) AND (s.name, s.paper_change, s.subject) IN (SELECT name, max(paper_change), max(subject) FROM sig GROUP BY name))"""
 )
 def unique_changes(spark, sf_dir):
-    out = M.unique_changes(entries(spark, sf_dir))
+    out = M.unique_changes(stored_entries(spark, sf_dir))
     return out.select("name", "subject", "papers_1", "papers_2", "paper_change", "score_1", "score_2", "score_change", "status")
 
 
@@ -121,12 +127,22 @@ FROM (SELECT * FROM sig WHERE paper_change {test} ORDER BY paper_change {order},
 
 @query(top_sql("> 0", "DESC"))
 def top_increases(spark, sf_dir):
-    return M.top_changes(entries(spark, sf_dir), "increase")
+    return M.top_changes(stored_entries(spark, sf_dir), "increase")
+
+
+@query(
+    f"""WITH top AS ({top_sql("> 0", "DESC")}) SELECT name, subject, '+' || paper_change AS shown_change, in_cross_field_list
+FROM top ORDER BY paper_change DESC, name, subject LIMIT 10"""
+)
+def summary_top_changes(spark, sf_dir):
+    """The ten changes of the executive summary, as they are displayed."""
+    top = M.top_changes(stored_entries(spark, sf_dir), "increase", n=M.TOP_SUMMARY)
+    return top.select("name", "subject", signed(F.col("paper_change")).alias("shown_change"), "in_cross_field_list")
 
 
 @query(top_sql("< 0", "ASC"))
 def top_decreases(spark, sf_dir):
-    return M.top_changes(entries(spark, sf_dir), "decrease")
+    return M.top_changes(stored_entries(spark, sf_dir), "decrease")
 
 
 SUMMARY_SQL = """SELECT subject, count(papers_1) AS total_1, count(papers_2) AS total_2, count(*) FILTER (WHERE papers_1 IS NOT NULL AND papers_2 IS NOT NULL) AS matched,
