@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scale
 from tidemark.operators.duplicates import flag_duplicates
-from tidemark.operators.stats import field_stats, ranked_cells, with_outliers
+from tidemark.operators.stats import profile, with_outliers
 from tidemark.session import CHECKPOINT_KEY, materialise, scratch_dir, store
 
 
@@ -49,7 +49,7 @@ def test_running_totals(spark, group_limit):
     rng = random.Random(3)
     rows = [(g, v, rng.randrange(1, 9)) for g in ("a", "b", None) for v in rng.sample(range(10_000), 300)]
     df = spark.createDataFrame(rows, "g string, v int, n bigint").repartition(5)
-    out = scale.running_totals(df, ["g"], ["v"], "n", {"s": F.col("n") * F.col("v")}, group_limit).collect()
+    out = scale.running_totals(store(df), ["g"], ["v"], "n", {"s": F.col("n") * F.col("v")}, group_limit).collect()
     assert len(out) == len(rows)
     for r in out:
         mine = [(v, n) for g, v, n in rows if g == r["g"]]
@@ -68,6 +68,7 @@ def test_large_paths_match(spark, sf_dir, monkeypatch):
     monkeypatch.setattr("tidemark.operators.stats.BROADCAST_BYTES", 0)
     monkeypatch.setattr(scale, "GROUP_LIMIT", 0)
     monkeypatch.setattr(scale, "HEAVY_KEYS", 2)
+    assert profile(events, ["value"], ["event_type"]).count() == 5
     big = with_outliers(events, ["value"], ["event_type"]).orderBy("event_id").collect()
     assert [(r["event_id"], round(r["value_percentile"], 9), r["value_outlier_flag"]) for r in big] == [
         (r["event_id"], round(r["value_percentile"], 9), r["value_outlier_flag"]) for r in small
@@ -107,7 +108,7 @@ def test_attach_casts_and_zeros(spark):
 
 def test_quartiles_of_tiny_groups(spark):
     df = spark.createDataFrame([("one", 5.0), ("two", 1.0), ("two", 2.0), ("none", None)], "g string, v double")
-    stats = {r["g"]: r for r in field_stats(ranked_cells(df, ["v"], ["g"]).df, ["g"]).collect()}
+    stats = {r["g"]: r for r in profile(df, ["v"], ["g"]).collect()}
     assert (stats["one"]["q1"], stats["one"]["q3"], stats["one"]["std"], stats["one"]["std_pop"]) == (5.0, 5.0, None, 0.0)
     assert (stats["two"]["q1"], stats["two"]["q3"]) == (1.25, 1.75)
     assert "none" not in stats
@@ -120,7 +121,7 @@ def test_quartiles_of_tiny_groups(spark):
 
 def test_nan_is_missing(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(9)] + [("a", float("nan"))], "g string, v double")
-    stats = field_stats(ranked_cells(df, ["v"], ["g"]).df, ["g"]).first()
+    stats = profile(df, ["v"], ["g"]).first()
     assert (stats["n"], stats["mean"], stats["max"]) == (9, 4.0, 8.0)
     odd = [r for r in with_outliers(df, ["v"], ["g"]).collect() if r["v"] != r["v"]]
     assert (odd[0]["v_z_score"], odd[0]["v_percentile"], odd[0]["v_outlier_flag"]) == (0.0, 0.0, "None")

@@ -92,7 +92,7 @@ def keep_matching(rows: DataFrame, keys: Stored, on: Sequence[str], weight: str,
 
 
 def running_totals(
-    cells: DataFrame,
+    cells: Stored,
     by: Sequence[str],
     order: Sequence[str],
     weight: str,
@@ -102,18 +102,17 @@ def running_totals(
     """For each row, the weight of the rows before it in its group.
 
     Adds ``before`` and ``total``, plus the group totals of the expressions in
-    ``sums``. ``cells`` holds distinct (by, order) keys and is stored first, so
-    that the groups can be measured. Where they are small, a window per group
-    does. Otherwise rows are cut into slices by range partitioning, each slice
-    is summed on its own and gets the total of the slices before it.
+    ``sums``. ``cells`` is a stored table of distinct (by, order) keys. Where
+    its groups are small, a window per group does. Otherwise rows are cut into
+    slices by range partitioning, each slice is summed on its own and gets the
+    total of the slices before it.
     """
     sums = sums or {}
-    stored = materialise(cells, "cells")
-    sizes = stored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
+    stored = cells.df
     group = Window.partitionBy(*by)
     to_previous = (Window.unboundedPreceding, -1)
-    if largest <= (GROUP_LIMIT if group_limit is None else group_limit):
+    limit = GROUP_LIMIT if group_limit is None else group_limit
+    if cells.rows <= limit or _largest_group(stored, by) <= limit:
         before = F.sum(weight).over(group.orderBy(*order).rowsBetween(*to_previous))
         return stored.select(
             "*",
@@ -141,6 +140,10 @@ def running_totals(
     return joined.withColumn("before", before).drop("_slice", "_offset")
 
 
+def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key, the first in ``order_by``; ties go to the smaller row.
 

@@ -25,14 +25,18 @@ STATS = ("n", "mean", "std", "std_pop", "min", "max", "q1", "q3", "iqr")
 HIGH_OUTLIER_RATE = 20.0
 
 
-def ranked_cells(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> Stored:
-    """Distinct values per (by, field): rows, rows before, group size, mean."""
+def count_cells(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> Stored:
+    """Distinct values per (by, field) and how many rows hold them."""
     numbers = df.select(*by, *[not_nan(F.col(f)).alias(f) for f in fields])
     long = numbers.unpivot(list(by), list(fields), "field", "value").filter("value IS NOT NULL")
-    cells = long.groupBy(*by, "field", "value").agg(F.count(F.lit(1)).alias("n"))
+    return store(long.groupBy(*by, "field", "value").agg(F.count(F.lit(1)).alias("n")), "cells")
+
+
+def ranked(cells: Stored, by: Sequence[str] = ()) -> DataFrame:
+    """The cells with the rows before them, the group's rows and its mean."""
     weighted = {"_sum": F.col("value") * F.col("n")}
-    ranked = running_totals(cells, [*by, "field"], ["value"], "n", weighted)
-    return store(ranked.withColumn("mean", F.col("_sum") / F.col("total")).drop("_sum"), "ranked")
+    totals = running_totals(cells, [*by, "field"], ["value"], "n", weighted)
+    return totals.withColumn("mean", F.col("_sum") / F.col("total")).drop("_sum")
 
 
 def _at_rank(rank: Column) -> Column:
@@ -40,7 +44,7 @@ def _at_rank(rank: Column) -> Column:
     return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
 
 
-def field_stats(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def field_stats(ranked_cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, both standard deviations, exact interpolated quartiles."""
     aggregates = [
         F.max("total").alias("n_"),
@@ -59,7 +63,7 @@ def field_stats(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         return (low + (high - low) * (position - F.floor(position))).alias(name)
 
-    grouped = cells.groupBy(*by, "field").agg(*aggregates)
+    grouped = ranked_cells.groupBy(*by, "field").agg(*aggregates)
     quartiles = grouped.select("*", quartile("q1", 0.25), quartile("q3", 0.75))
     return quartiles.select(
         *by,
@@ -78,7 +82,7 @@ def field_stats(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def profile(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Statistics of each field in each group."""
-    return field_stats(ranked_cells(df, fields, by).df, by)
+    return field_stats(ranked(count_cells(df, fields, by), by), by)
 
 
 def percent_rank_of_cell() -> Column:
@@ -98,9 +102,14 @@ def with_outliers(
     Missing values get 0, 0 and ``None``. The rows themselves are not moved
     when the statistics and cells are small enough to broadcast.
     """
-    cells = ranked_cells(df, fields, by)
+    cells = count_cells(df, fields, by)
+    ranks = ranked(cells, by)
+    if percentiles:
+        # Read once for the statistics and once per field.
+        cells = store(ranks, "ranked")
+        ranks = cells.df
     wide = (
-        field_stats(cells.df, by)
+        field_stats(ranks, by)
         .groupBy(*by)
         .agg(
             F.max("n").alias("_weight"),
@@ -142,21 +151,21 @@ def outlier_report(
     df: DataFrame, fields: Sequence[str], by: Sequence[str] = (), threshold: float = 3.0
 ) -> DataFrame:
     """Rows outside the fences and rows beyond ``threshold`` population z."""
-    cells = ranked_cells(df, fields, by)
+    cells = count_cells(df, fields, by)
     stats = store(
-        field_stats(cells.df, by).select(
-            *by, "field", "q1", "q3", F.col("std_pop").alias("_std"), F.col("n").alias("_weight")
+        field_stats(ranked(cells, by), by).select(
+            *by, "field", "q1", "q3", "mean", F.col("std_pop").alias("std"), F.col("n").alias("_weight")
         ),
         "stats",
     )
     joined = attach(cells.df, stats, [*by, "field"], "_weight", null_safe=by)
-    z = F.abs(z_score(F.col("value"), F.col("mean"), F.col("_std")))
+    z = F.abs(z_score(F.col("value"), F.col("mean"), F.col("std")))
 
     def rows_where(test: Column) -> Column:
         return F.sum(F.when(test, F.col("n")).otherwise(F.lit(0)))
 
     return joined.groupBy(*by, "field").agg(
-        F.max("total").alias("n"),
+        F.sum("n").alias("n"),
         rows_where(outside_fences(F.col("value"), F.col("q1"), F.col("q3"))).alias("iqr_outliers"),
         rows_where(z > threshold).alias("z_outliers"),
     )
