@@ -16,7 +16,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # too large. Any other key holds at most 1/HEAVY_KEYS of the rows.
 HEAVY_KEYS = 1000
 # Most rows of a group that one task ranks, checked by counting.
-GROUP_LIMIT = 2_000_000
+GROUP_LIMIT = 250_000
 
 
 def attach(

@@ -358,8 +358,10 @@ THRESHOLD = 2.0
 
 
 def enriched_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Read for the statistics and again for the rows.
+    rows = materialise(snapshots(spark, sf_dir), "snapshots")
     return with_outliers(
-        snapshots(spark, sf_dir), OUT_FIELDS, by=["subject", "period"], threshold=THRESHOLD, percentiles=False
+        rows, OUT_FIELDS, by=["subject", "period"], threshold=THRESHOLD, percentiles=False
     )
 
 
