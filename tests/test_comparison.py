@@ -10,6 +10,7 @@ from tidemark.operators import compare as C
 from tidemark.operators import marts as M
 from tidemark.plans import comparison as plan
 from tidemark.session import materialise
+from tidemark.spec import CompareSpec, Metric
 from workload.comparison import short_comparison
 from workload.frames import SHORT_SPEC, SPEC, snapshots
 
@@ -114,6 +115,17 @@ def test_repeated_entity_first_row(spark, canon):
     assert C.summarise(C.compare(df, spec), spec).first()["total_1"] == 2
 
 
+def test_fanout_of_a_heavy_entity(spark):
+    """Products beyond a long stay exact."""
+    schema = "subject string, period string, name string, papers bigint"
+    one = spark.createDataFrame([("s", "p1", "Ada", 4_000_000_000_000), ("s", "p2", "Ada", 5_000_000_000_000)], schema)
+    rows = one.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("i")
+    spec = CompareSpec(metrics=(Metric("papers"),), periods=("p1", "p2"), pair_by=("subject",))
+    out = C.fanout_totals(rows, spec).first()
+    assert (out["matched"], out["total_papers_change"]) == (4_000_000, 4_000_000 * 10**12)
+    assert out["avg_papers_change"] == 1e12
+
+
 def test_self_comparison_is_unchanged(spark, sf_dir):
     one = snapshots(spark, sf_dir).filter("period = 'p1'")
     both = one.unionByName(one.withColumn("period", F.lit("p2")))

@@ -65,6 +65,10 @@ def test_typed_and_enforced(spark):
     assert strict.dtypes == [("n", "int"), ("name", "string")]
     with pytest.raises(ValueError):
         shape.enforced(strict, "missing string")
+    texts = spark.createDataFrame([("2.5", 3.5), (" 7 ", -1.2), (None, None)], "t string, d double")
+    assert [tuple(r) for r in shape.enforced(texts, "t int, d int").collect()] == [(2, 4), (7, -1), (None, None)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        shape.enforced(spark.createDataFrame([("12a",)], "t string"), "t int").collect()
 
 
 def test_null_strategies(spark):

@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry_module
 from check import TABLES, canonical_rows
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
 QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 
 
@@ -22,8 +23,10 @@ def test_query(spark, con, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     columns, got = canonical_rows(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(ORACLE[name])
-    want_columns, want = canonical_rows([d[0] for d in result.description], result.fetchall())
+    described = result.description
+    want_columns, want = canonical_rows([d[0] for d in described], result.fetchall())
     assert columns == want_columns
+    assert dict(df.dtypes) == {d[0]: TYPES[str(d[1])] for d in described}
     assert got == want
 
 

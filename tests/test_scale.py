@@ -95,6 +95,13 @@ def test_heavy_and_null_keys_are_spread(spark, skewed):
     assert len([r for r in sizes if r["k"] is None]) > 1
 
 
+def test_wide_heavy_keys_are_fewer(spark, skewed, monkeypatch):
+    monkeypatch.setattr(scale, "HEAVY_BYTES", 100)
+    counts = store(skewed.groupBy("k").agg(F.count("*").alias("n"), F.lit("x" * 30).alias("wide")))
+    assert 0 < scale._heaviest(counts.df, ["k"], "n", 50).count() < 3
+    assert scale.attach(skewed, counts, ["k"], "n", ("k",), 0, 50).filter("wide IS NULL").isEmpty()
+
+
 def test_attach_casts_and_zeros(spark):
     """Equal keys meet in the large path whatever their type or sign of zero."""
     rows = spark.createDataFrame([(1, -0.0), (2, 0.0), (3, 1.5)], "i int, v double")
@@ -135,6 +142,28 @@ def test_scratch_folder(spark):
     assert (stored.rows, stored.nbytes) == (2, 2 * 32 + 2 * 8 + 3)
 
 
+class Elsewhere:
+    """As much of a session as the scratch folder asks for."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = self
+        self.conf = self
+        self.master, self.folder, self.applicationId = master, folder, f"app-{master}"
+
+    def get(self, key, default=None):
+        return self.folder if key == CHECKPOINT_KEY else default
+
+    def getConf(self):
+        return self
+
+
+def test_scratch_folder_of_other_sessions():
+    assert scratch_dir(Elsewhere("spark://host", "hdfs:///scratch/")) == "hdfs:///scratch"
+    assert scratch_dir(Elsewhere("local[2]")).startswith("file:///")
+    with pytest.raises(RuntimeError, match=CHECKPOINT_KEY):
+        scratch_dir(Elsewhere("spark://host"))
+
+
 def test_keep_first_and_first_rows(spark, skewed):
     rows = skewed.withColumn("j", F.col("i") % 3)
     kept = {r["k"]: (r["j"], r["i"]) for r in scale.keep_first(rows, ["k"], ["j"]).collect()}

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark import presets as R
 from tidemark.operators import compare as C
+from tidemark.operators.marts import Roles
 from tidemark.plans import comparison as plan
+from tidemark.plans import preparation
 from tidemark.sources import reports, snapshots as S
 from tidemark.sources.store import LoadFailed, Store
 
@@ -86,24 +88,24 @@ SCHEMA = "name STRING, papers INT, score DOUBLE"
 
 def test_store(spark, snaps, tmp_path):
     store = Store(spark, "one", str(tmp_path / "one"))
-    assert store.load(snaps, {"hcr": SCHEMA}) == ["hcr"]
-    assert store.tables() == ["hcr"] and store.exists("hcr") and not store.exists("nope")
-    assert store.count("hcr") == 16
-    assert store.schema("hcr")["papers"] == "int"
-    assert store.sample("hcr", 3).count() == 3
-    assert store.sample_values("hcr", "name", 2).count() == 2
-    assert store.sample_per_snapshot("hcr", ["name"], 1).count() == 4
-    assert {r["row_count"] for r in store.profile("hcr").collect()} == {4}
-    assert [tuple(r) for r in store.summary().collect()] == [("hcr", 16, 6)]
-    assert store.sql("SELECT count(*) AS n FROM hcr WHERE name = ?", ["n1"]).first()["n"] == 4
-    assert store.sql("SELECT count(*) AS n FROM hcr WHERE name = :who", {"who": "n1"}).first()["n"] == 4
-    checks = store.validate("hcr", ["name", "papers"], non_negative=["papers"])
+    assert store.load(snaps, {"snapshots": SCHEMA}) == ["snapshots"]
+    assert store.tables() == ["snapshots"] and store.exists("snapshots") and not store.exists("nope")
+    assert store.count("snapshots") == 16
+    assert store.schema("snapshots")["papers"] == "int"
+    assert store.sample("snapshots", 3).count() == 3
+    assert store.sample_values("snapshots", "name", 2).count() == 2
+    assert store.sample_per_snapshot("snapshots", ["name"], 1).count() == 4
+    assert {r["row_count"] for r in store.profile("snapshots").collect()} == {4}
+    assert [tuple(r) for r in store.summary().collect()] == [("snapshots", 16, 6)]
+    assert store.sql("SELECT count(*) AS n FROM snapshots WHERE name = ?", ["n1"]).first()["n"] == 4
+    assert store.sql("SELECT count(*) AS n FROM snapshots WHERE name = :who", {"who": "n1"}).first()["n"] == 4
+    checks = store.validate("snapshots", ["name", "papers"], non_negative=["papers"])
     assert {r["violations"] for r in checks.collect()} == {0}
     with pytest.raises(LoadFailed):
-        store.validate("hcr", ["orcid"])
-    pruned = store.read("hcr").filter("sheet_type = 'highly_cited_only'")._jdf.queryExecution().executedPlan().toString()
+        store.validate("snapshots", ["orcid"])
+    pruned = store.read("snapshots").filter("sheet_type = 'highly_cited_only'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(sheet_type" in pruned
-    store.export("SELECT name, papers FROM hcr WHERE papers > 2", str(tmp_path / "out"))
+    store.export("SELECT name, papers FROM snapshots WHERE papers > 2", str(tmp_path / "out"))
     assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 4
     store.clear()
     assert store.tables() == []
@@ -131,9 +133,9 @@ def test_store_schemas_and_failures(spark, snaps, tmp_path):
 
 def test_reconcile(spark, snaps, tmp_path):
     store = Store(spark, "three", str(tmp_path / "three"))
-    store.load(snaps.filter("period = 'feb'"), {"hcr": SCHEMA})
+    store.load(snaps.filter("period = 'feb'"), {"snapshots": SCHEMA})
     want = [("highly_cited_only", "feb", "physics", 4), ("incites_researchers", "feb", "physics", 5), ("x", "feb", "physics", 1)]
-    out = store.reconcile("hcr", spark.createDataFrame(want, "sheet_type string, period string, subject string, row_count bigint"))
+    out = store.reconcile("snapshots", spark.createDataFrame(want, "sheet_type string, period string, subject string, row_count bigint"))
     assert {(r["sheet_type"], r["verdict"]) for r in out.collect()} == {
         ("highly_cited_only", "ok"),
         ("incites_researchers", "row_count_mismatch"),
@@ -218,3 +220,47 @@ def test_ids_in_report_rows(spark, canon):
     spec = R.researcher_spec()
     out = reports.report_rows(C.compare(canon(spark, rows), spec), spec).first()
     assert (out["comparison_id"], out["sheet_type"], out["section"]) == ("a_b_t", "t", "researchers_unchanged")
+
+
+def test_from_files_to_reports(spark, tmp_path):
+    """Folders are read, prepared, stored, compared and reported."""
+    header = "Name,Times Cited,Highly Cited Papers,ESI Field,Hot Papers,Indicative Cross-Field Score\n"
+    feb = "Ada,100,2,physics,0,0.4\nBob,200,3, Physics ,1,0.5\nCy,90,1,physics,,0.3\n"
+    july = "Ada,150.0,4,PHYSICS,1,0.6\nBob,200,3,physics,1,0.5\nDee,80,1,physics,0,0.2\n"
+    write(f"{tmp_path}/feb/Highly Cited only/physics.csv", header + feb)
+    write(f"{tmp_path}/july/Highly Cited only/physics.csv", header + july)
+    write(f"{tmp_path}/feb/Highly Cited only/space science.csv", header + "Ada,1,1,space science,0,0.5\n")
+    write(f"{tmp_path}/july/Highly Cited only/space science.csv", header + "Ada,1,2,space science,0,0.5\n")
+    write(f"{tmp_path}/feb/Highly Cited only/lonely.csv", header + "Zed,1,1,physics,0,0.1\n")
+
+    folders = {p: f"{tmp_path}/{p}" for p in R.PERIODS}
+    raw = S.read_periods(spark, folders, R.SHEETS, R.COLUMN_MAPPING, R.SNAPSHOT_SCHEMA)
+    assert raw.count() == 9
+    prepared = preparation.light_transform(raw, R.researcher_transform(), mapped=True)
+    store = Store(spark, "flow", str(tmp_path / "tables"))
+    store.load(prepared, {"snapshots": R.STORED_SCHEMA})
+    verdicts = store.reconcile("snapshots", S.extraction_metadata(raw)).select("verdict").distinct().collect()
+    assert [r["verdict"] for r in verdicts] == ["ok"]
+
+    stored = store.read("snapshots")
+    assert {f.name: f.dataType.simpleString() for f in stored.schema.fields}["times_cited"] == "int"
+    result = plan.run(stored, R.researcher_spec(), analysed=R.ANALYSED)
+    status = {(r["subject"], r["name"]): r["status"] for r in result.compared.collect()}
+    assert status == {
+        ("physics", "Ada"): "changed",
+        ("physics", "Bob"): "unchanged",
+        ("physics", "Cy"): "only_in_1",
+        ("physics", "Dee"): "only_in_2",
+        ("space_science", "Ada"): "changed",
+    }
+    missing = result.coverage.filter("NOT is_complete").first()
+    assert (missing["subject"], missing["missing_period"]) == ("lonely", "july")
+    assert result.duplicates.agg(F.sum("current_duplicates")).first()[0] == 0
+
+    views = plan.dashboard(result.compared, result.summary, Roles(by=("sheet_type",)))
+    top = views["top_increases"].first()
+    assert (top["name"], top["paper_change"], top["total_score"], top["category"]) == ("Ada", 2, 1.1, "Cross-Field")
+    plan.save(result, f"{tmp_path}/reports")
+    docs = spark.read.json(f"{tmp_path}/reports/summaries")
+    assert {r[0] for r in docs.select("comparison_id").collect()} == {"physics_highly_cited_only", "space_science_highly_cited_only"}
+    assert "outlier_analysis" in docs.columns and "duplicate_analysis" in docs.columns

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -224,12 +224,16 @@ def fanout_totals(df: DataFrame, spec: CompareSpec) -> DataFrame:
             ],
         )
     )
-    pairs = F.sum(F.col("n_1") * F.col("n_2"))
+    # A heavy entity alone may exceed a long, so products are exact decimals.
+    wide = "decimal(20,0)"
+    n1, n2 = F.col("n_1").cast(wide), F.col("n_2").cast(wide)
+    pairs = F.sum(n1 * n2)
     both = (F.col("n_1") > 0) & (F.col("n_2") > 0)
     deltas = []
     for m in spec.metric_names:
-        crossed = F.col("n_1") * F.col(f"{m}_2") - F.col("n_2") * F.col(f"{m}_1")
-        total = F.sum(F.when(both, crossed).otherwise(F.lit(0)))
+        kind = "double" if isinstance(df.schema[m].dataType, T.FractionalType) else wide
+        crossed = n1.cast(kind) * F.col(f"{m}_2").cast(kind) - n2.cast(kind) * F.col(f"{m}_1").cast(kind)
+        total = F.sum(F.when(both, crossed))
         mean = F.try_divide(total.cast("double"), pairs.cast("double"))
         deltas += [total.alias(f"total_{m}_change"), mean.alias(f"avg_{m}_change")]
     grouped = per_entity.groupBy(*spec.pair_by).agg(
@@ -247,24 +251,30 @@ def fanout_totals(df: DataFrame, spec: CompareSpec) -> DataFrame:
 DUPLICATE_FLAGS = ("is_duplicate", "duplicate_profile", "duplicate_group_id")
 
 
+def _named(compared: DataFrame, spec: CompareSpec) -> DataFrame:
+    return compared.filter(F.col(spec.entity).isNotNull())
+
+
+def _turned(before: Column, after: Column, kind: str) -> Column:
+    return F.when(~before & after, f"became_{kind}").when(before & ~after, f"resolved_{kind}")
+
+
 def duplicate_changes(compared: DataFrame, spec: CompareSpec) -> DataFrame:
     """Entities that became duplicates or stopped being ones.
 
     ``compared`` must carry the three duplicate columns.
     """
     before, after = F.col("is_duplicate_1"), F.col("is_duplicate_2")
-    change = F.when(~before & after, "became_duplicate").when(before & ~after, "resolved_duplicate")
-    return (
-        compared.select(
-            *spec.keys,
-            change.alias("change"),
-            before.alias("was_duplicate"),
-            after.alias("is_duplicate"),
-            F.when(after, F.col("duplicate_profile_2")).otherwise(F.col("duplicate_profile_1")).alias("duplicate_profile"),
-            F.col("duplicate_group_id_2").alias("duplicate_group_id"),
-        )
-        .filter(F.col("change").isNotNull())
+    profile = F.when(after, F.col("duplicate_profile_2")).otherwise(F.col("duplicate_profile_1"))
+    moved = _named(compared, spec).select(
+        *spec.keys,
+        _turned(before, after, "duplicate").alias("change"),
+        before.alias("was_duplicate"),
+        after.alias("is_duplicate"),
+        profile.alias("duplicate_profile"),
+        F.col("duplicate_group_id_2").alias("duplicate_group_id"),
     )
+    return moved.filter(F.col("change").isNotNull())
 
 
 def current_duplicates(flagged: DataFrame, spec: CompareSpec) -> DataFrame:
@@ -274,14 +284,36 @@ def current_duplicates(flagged: DataFrame, spec: CompareSpec) -> DataFrame:
 
 
 def duplicate_change_summary(compared: DataFrame, flagged: DataFrame, spec: CompareSpec) -> DataFrame:
-    """Per pair: became, resolved and current duplicates."""
-    moved = duplicate_changes(compared, spec).select(*spec.pair_by, "change")
-    current = current_duplicates(flagged, spec).select(*spec.pair_by, F.lit("current_duplicate").alias("change"))
-    return _count_changes(moved.unionByName(current), spec, ("became_duplicate", "resolved_duplicate", "current_duplicate"))
+    """Per pair: became, resolved and current duplicates, 0 included."""
+    turned = _turned(F.col("is_duplicate_1"), F.col("is_duplicate_2"), "duplicate")
+    return _status_summary(compared, flagged, spec, "duplicate", [turned], [F.col("is_duplicate")])
+
+
+def _status_summary(
+    compared: DataFrame,
+    rows: DataFrame,
+    spec: CompareSpec,
+    kind: str,
+    turned: Sequence[Column],
+    current: Sequence[Column],
+) -> DataFrame:
+    """Counts of status changes and of current cases, summed over metrics."""
+
+    def counted(tests: Sequence[Column]) -> Column:
+        return reduce(add, [F.count_if(t) for t in tests])
+
+    zero = F.lit(0).cast("bigint")
+    names = [f"became_{kind}s", f"resolved_{kind}s", f"current_{kind}s"]
+    moved = _named(compared, spec).groupBy(*spec.pair_by).agg(
+        *[counted([t == f"{w}_{kind}" for t in turned]).alias(n) for w, n in zip(("became", "resolved"), names)]
+    )
+    latest = rows.filter(F.col(spec.period) == spec.periods[1]).groupBy(*spec.pair_by).agg(counted(current).alias(names[2]))
+    both = moved.withColumn(names[2], zero).unionByName(latest.withColumns({n: zero for n in names[:2]}))
+    return both.groupBy(*spec.pair_by).agg(*[F.sum(n).alias(n) for n in names])
 
 
-def _count_changes(events: DataFrame, spec: CompareSpec, kinds: Sequence[str]) -> DataFrame:
-    return events.groupBy(*spec.pair_by).agg(*[F.count_if(F.col("change") == k).alias(f"{k}s") for k in kinds])
+def _is_outlier(flag: Column) -> Column:
+    return flag != "None"
 
 
 def outlier_changes(compared: DataFrame, spec: CompareSpec, fields: Sequence[str]) -> DataFrame:
@@ -291,19 +323,19 @@ def outlier_changes(compared: DataFrame, spec: CompareSpec, fields: Sequence[str
     """
     entries = []
     for f in fields:
-        before, after = (F.col(f"{f}_outlier_flag_{i}") != "None" for i in (1, 2))
-        change = F.when(~before & after, "became_outlier").when(before & ~after, "resolved_outlier")
+        before, after = (_is_outlier(F.col(f"{f}_outlier_flag_{i}")) for i in (1, 2))
         z = F.when(after, F.col(f"{f}_z_score_2")).otherwise(F.col(f"{f}_z_score_1"))
         entries.append(
             F.struct(
                 F.lit(f).alias("metric"),
-                change.alias("change"),
+                _turned(before, after, "outlier").alias("change"),
                 F.col(f"{f}_1").cast("double").alias("value_1"),
                 F.col(f"{f}_2").cast("double").alias("value_2"),
                 F.abs(z).alias("outlier_score"),
             )
         )
-    return compared.select(*spec.keys, F.inline(F.array(*entries))).filter(F.col("change").isNotNull())
+    rows = _named(compared, spec).select(*spec.keys, F.inline(F.array(*entries)))
+    return rows.filter(F.col("change").isNotNull())
 
 
 def current_outliers(enriched: DataFrame, spec: CompareSpec, fields: Sequence[str]) -> DataFrame:
@@ -316,9 +348,10 @@ def outlier_change_summary(
     compared: DataFrame, enriched: DataFrame, spec: CompareSpec, fields: Sequence[str]
 ) -> DataFrame:
     """Per pair: became, resolved and current outliers over all metrics."""
-    moved = outlier_changes(compared, spec, fields).select(*spec.pair_by, "change")
-    current = current_outliers(enriched, spec, fields).select(*spec.pair_by, F.lit("current_outlier").alias("change"))
-    return _count_changes(moved.unionByName(current), spec, ("became_outlier", "resolved_outlier", "current_outlier"))
+    flags = {f: [_is_outlier(F.col(f"{f}_outlier_flag_{i}")) for i in (1, 2)] for f in fields}
+    turned = [_turned(before, after, "outlier") for before, after in flags.values()]
+    current = [_is_outlier(F.col(f"{f}_outlier_flag")) for f in fields]
+    return _status_summary(compared, enriched, spec, "outlier", turned, current)
 
 
 def grand_totals(per_pair: DataFrame) -> DataFrame:

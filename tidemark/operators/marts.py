@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tidemark.functions.numbers import percent, rate1, score2
 from tidemark.functions.text import strip
 from tidemark.operators.compare import CHANGED, ONLY_2, UNCHANGED, UNCLASSIFIED
 from tidemark.operators.scale import first_rows, keep_matching
-from tidemark.session import materialise, store
+from tidemark.session import materialise, measure, store
 
 TOP_CHANGES = 15
 TOP_SUMMARY = 10
@@ -174,7 +174,7 @@ def unique_changes(entry_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
     per_name = store(per_name, "changes")
     single = per_name.df.filter(~F.col("_several")).select(*by, "name", "_best.*")
-    names = replace(per_name, df=per_name.df.filter("_several").select(*by, "name", "_weight"))
+    names = measure(per_name.df.filter("_several").select(*by, "name", "_weight"))
     return keep_matching(moved, names, [*by, "name"], "_weight").unionByName(single)
 
 
@@ -268,5 +268,7 @@ def run_summary(snapshots: DataFrame, compared: DataFrame, by: Sequence[str], pa
         F.sum("matched").alias("matched"),
         F.sum("changed").alias("changed"),
     )
-    one = F.lit(1).alias("_run")
-    return rows.select("*", one).join(totals.select("*", one), "_run").drop("_run")
+    # Both are one row; as a union they need no join.
+    columns = [*rows.columns, *totals.columns]
+    both = rows.unionByName(totals, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in columns])

@@ -8,13 +8,15 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import Stored, materialise
+from tidemark.session import Stored, materialise, store
 
 # Largest table that is sent to every executor, checked by measuring it.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Number of the heaviest keys that are joined by broadcast when the table is
 # too large. Any other key holds at most 1/HEAVY_KEYS of the rows.
 HEAVY_KEYS = 1000
+# Largest table of heavy keys, checked in the same way.
+HEAVY_BYTES = 64 * 1024 * 1024
 # Most rows of a group that one task ranks, checked by counting.
 GROUP_LIMIT = 250_000
 
@@ -42,8 +44,7 @@ def attach(
     if stored.nbytes <= limit:
         return _left(rows, F.broadcast(values.drop(weight)), on, added, null_safe)
 
-    heavy = values.orderBy(F.desc(weight), *on).limit(heavy_keys)
-    heavy = materialise(heavy.select(*on, F.struct(*added).alias("_heavy")), "heavy")
+    heavy = _heaviest(values, on, weight, heavy_keys).select(*on, F.struct(*added).alias("_heavy"))
     marked = _left(rows, F.broadcast(heavy), on, ["_heavy"], null_safe)
 
     no_match = F.lit(False)
@@ -69,6 +70,16 @@ def attach(
     return joined.select(*rows.columns, *[found[c].alias(c) for c in added])
 
 
+def _heaviest(values: DataFrame, on: Sequence[str], weight: str, keys: int) -> DataFrame:
+    """The rows of the heaviest keys: at most ``keys``, and fewer if they are wide."""
+    order = (F.desc(weight), *on)
+    top = store(values.orderBy(*order).limit(keys), "heavy")
+    while top.nbytes > HEAVY_BYTES:
+        fewer = min(top.rows - 1, top.rows * HEAVY_BYTES // top.nbytes)
+        top = store(top.df.orderBy(*order).limit(fewer), "heavy")
+    return top.df
+
+
 def _left(
     rows: DataFrame,
     values: DataFrame,

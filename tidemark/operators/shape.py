@@ -154,10 +154,23 @@ def typed(df: DataFrame, schema: str | T.StructType, keep: Sequence[str] = ()) -
 
 
 def enforced(df: DataFrame, schema: str | T.StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """Strict typing at load: select by position in the schema and cast."""
+    """Strict typing at load: the schema's columns, in its order.
+
+    A fraction becomes the nearest whole number (half to even), as on insert
+    into an integer column. Text that is no number is an error.
+    """
     fields = as_schema(schema).fields
     require_columns(df, [f.name for f in fields])
-    return df.select(*keep, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+    def convert(f: T.StructField) -> Column:
+        c, kind = F.col(f.name), df.schema[f.name].dataType
+        if isinstance(f.dataType, T.NumericType) and isinstance(kind, T.StringType):
+            c, kind = strip(c).cast("double"), T.DoubleType()
+        if isinstance(f.dataType, T.IntegralType) and isinstance(kind, T.FractionalType):
+            c = F.bround(c, 0)
+        return c.cast(f.dataType)
+
+    return df.select(*keep, *[convert(f).alias(f.name) for f in fields])
 
 
 def comparable(df: DataFrame, name: str, metrics: Sequence[str]) -> DataFrame:

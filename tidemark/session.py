@@ -91,15 +91,21 @@ def _stored(df: DataFrame, found: dict) -> Stored:
 
 
 def _measures(df: DataFrame) -> list[Column]:
-    fixed, widths = 0, []
+    width = F.lit(0).cast("long")
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            widths.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
-        else:
-            fixed += 8
-    width = F.lit(fixed).cast("long")
-    for w in widths:
-        width = width + w
+        width = width + _width(F.col(f"`{f.name}`"), f.dataType)
     return [F.count(F.lit(1)).alias("n"), F.sum(width).alias("width")]
+
+
+def _width(c: Column, kind: T.DataType) -> Column:
+    """Bytes of a value: text by its length, everything fixed as 8."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    if isinstance(kind, T.StructType):
+        total = F.lit(0).cast("long")
+        for f in kind.fields:
+            total = total + _width(c[f.name], f.dataType)
+        return total
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long")
+    return F.lit(8).cast("long")

@@ -259,6 +259,8 @@ FROM t JOIN j USING (subject)"""
 def fanout_totals(spark, sf_dir):
     """Totals of the plain row join, without building its pairs."""
     out = C.fanout_totals(raw_orders(spark, sf_dir), RAW_SPEC)
+    whole = ("matched", "total_price_change", "only_in_1_by_subtraction", "only_in_2_by_subtraction")
+    out = out.withColumns({c: F.col(c).cast("bigint") for c in whole})
     return rounded(rounded(out, "match_rate"), "avg_price_change", digits=4)
 
 
