@@ -171,6 +171,14 @@ def test_light_transform(spark):
         P.light_transform(raw, R.researcher_transform(fail_on_violation=True))
 
 
+def test_large_category_map(spark, monkeypatch):
+    df = spark.createDataFrame([(" PHYSICS",), ("odd ",), (None,), ("  ",)], "esi_field string")
+    small = P.normalise_category(df, R.researcher_transform()).collect()
+    monkeypatch.setattr(P, "MAP_LIMIT", 5)
+    assert P.normalise_category(df, R.researcher_transform()).collect() == small
+    assert [r[0] for r in small] == ["Physics", "odd", "", "  "]
+
+
 def test_cleaning(spark):
     rows = [("s", "t", "feb", "Ada", "f", "12.7", 2), ("s", "t", "feb", "Ada", "f", "99", 1), ("s", "t", "feb", "Bob", "f", "x", 3)]
     df = spark.createDataFrame(rows, "subject string, sheet_type string, period string, name string, esi_field string, times_cited string, seq int")

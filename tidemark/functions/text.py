@@ -68,6 +68,20 @@ def canonical(c: Column, mapping: dict[str, str], unknown: str = "keep_original"
     becomes ``''``. An unmapped value is kept trimmed, replaced by ``default``
     (``use_default``) or raises when read (``flag_error``).
     """
+    if mapping:
+        pairs = [F.lit(x) for kv in mapping.items() for x in kv]
+        found = F.try_element_at(F.create_map(*pairs), category_lookup(c))
+    else:
+        found = F.lit(None).cast("string")
+    return settle_category(c, found, unknown, default)
+
+
+def category_lookup(c: Column) -> Column:
+    return fold(F.coalesce(c, F.lit("")))
+
+
+def settle_category(c: Column, found: Column, unknown: str, default: str) -> Column:
+    """The canonical spelling if one was found, else what the strategy says."""
     original = F.coalesce(c, F.lit(""))
     if unknown == "keep_original":
         other = strip(original)
@@ -77,12 +91,7 @@ def canonical(c: Column, mapping: dict[str, str], unknown: str = "keep_original"
         other = F.raise_error(F.concat(F.lit("unknown category: "), original))
     else:
         raise ValueError(f"unknown strategy: {unknown}")
-    if not mapping:
-        hit = F.lit(None).cast("string")
-    else:
-        pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-        hit = F.try_element_at(F.create_map(*pairs), fold(original))
-    return F.when(strip(original) == "", original).when(hit.isNotNull(), hit).otherwise(other)
+    return F.when(strip(original) == "", original).when(found.isNotNull(), found).otherwise(other)
 
 
 def table_name(subject: Column, period: Column, sheet: Column) -> Column:

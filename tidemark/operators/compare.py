@@ -3,7 +3,8 @@
 Both snapshots are one frame with a period column. An entity's rows of both
 periods meet in a single aggregation by (pair, entity): that is full outer
 join, keep-first and row counts at the price of one shuffle, and repeated
-rows are reduced before they travel.
+rows are reduced before they travel. Entities that are known to be unique and
+carry text are paired by a full outer join instead.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
     sides = [(i, F.col(spec.period) == p) for i, p in enumerate(spec.periods, 1)]
     counts = [F.count_if(side).alias(f"rows_{i}") for i, side in sides]
     if spec.assume_unique:
+        if not _aggregates_by_hash(df, spec.payload):
+            return _join_sides(df, spec)
         values = [F.max(F.when(side, F.col(c))).alias(f"{c}_{i}") for i, side in sides for c in spec.payload]
         return wanted.groupBy(*spec.keys).agg(*counts, *values)
 
@@ -52,6 +55,35 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
     return grouped.select(*spec.keys, "rows_1", "rows_2", *columns)
 
 
+def _aggregates_by_hash(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Spark aggregates fixed-width columns by hash and others by sort."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return all(isinstance(df.schema[c].dataType, fixed) for c in columns)
+
+
+def _join_sides(df: DataFrame, spec: CompareSpec) -> DataFrame:
+    """Pair unique entities by a full outer join, which sorts each side once.
+
+    With text among the values this is cheaper than an aggregate that sorts
+    before and after the shuffle and has nothing to combine.
+    """
+
+    def side(i: int) -> DataFrame:
+        keys = [F.col(k).alias(f"_k{i}_{k}") for k in spec.keys]
+        values = [F.col(c).alias(f"{c}_{i}") for c in spec.payload]
+        rows = df.filter(F.col(spec.period) == spec.periods[i - 1])
+        return rows.select(*keys, F.lit(1).cast("bigint").alias(f"rows_{i}"), *values)
+
+    cond = F.col(f"_k1_{spec.entity}") == F.col(f"_k2_{spec.entity}")
+    for k in spec.pair_by:
+        cond = cond & F.col(f"_k1_{k}").eqNullSafe(F.col(f"_k2_{k}"))
+    joined = side(1).join(side(2), cond, "full_outer")
+    # Which side a row comes from decides its keys; a pair column may be null.
+    keys = [F.when(F.col("rows_1").isNotNull(), F.col(f"_k1_{k}")).otherwise(F.col(f"_k2_{k}")).alias(k) for k in spec.keys]
+    counts = [F.coalesce(f"rows_{i}", F.lit(0)).alias(f"rows_{i}") for i in (1, 2)]
+    return joined.select(*keys, *counts, *[f"{c}_{i}" for i in (1, 2) for c in spec.payload])
+
+
 def differs(m: Metric) -> Column:
     """Three-valued: unknown when one side is null."""
     a, b = F.col(f"{m.name}_1"), F.col(f"{m.name}_2")

@@ -7,18 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import canonical
+from tidemark.functions.text import canonical, category_lookup, settle_category
 from tidemark.operators import duplicates, nulls, rules, shape
+from tidemark.operators.scale import attach
 from tidemark.operators.stats import outlier_report
+from tidemark.session import store
 from tidemark.spec import LightTransform
 
+# Most spellings that are looked up in an expression, which tries one by one.
+MAP_LIMIT = 100
+
 
 def normalise_category(df: DataFrame, settings: LightTransform) -> DataFrame:
-    c = settings.category_column
+    """Canonical spellings: a small map is an expression, a large one a join."""
+    c, mapping = settings.category_column, settings.canonical
     if c not in df.columns:
         return df
-    spelled = canonical(F.col(c), settings.canonical, settings.unknown_category, settings.default_category)
-    return df.withColumn(c, spelled)
+    how = settings.unknown_category, settings.default_category
+    if len(mapping) <= MAP_LIMIT:
+        return df.withColumn(c, canonical(F.col(c), mapping, *how))
+    rows = [(k, v, 1) for k, v in mapping.items()]
+    spellings = store(df.sparkSession.createDataFrame(rows, "_key string, _found string, _n bigint"), "spellings")
+    found = attach(df.withColumn("_key", category_lookup(F.col(c))), spellings, ["_key"], "_n")
+    return found.withColumn(c, settle_category(F.col(c), F.col("_found"), *how)).select(*df.columns)
 
 
 def category_changes(df: DataFrame, settings: LightTransform, by: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,7 +101,7 @@ class Store:
                 if stored != sent:
                     raise LoadFailed(f"{sent} rows sent, {stored} stored")
                 loaded.append(name)
-            except (AnalysisException, LoadFailed, ValueError) as e:
+            except (PySparkException, LoadFailed, ValueError) as e:
                 failures.append(f"{name}: {e}")
         if not loaded:
             raise LoadFailed("; ".join(failures))

@@ -25,7 +25,7 @@ class CompareSpec:
     ``carry`` columns travel along but are not compared.
     ``order_by`` says which row is the first one when an entity is repeated
     inside a snapshot. ``assume_unique`` promises there are no repeats, which
-    lets Spark aggregate by hash instead of by sort.
+    saves Spark a sort.
     """
 
     metrics: tuple[Metric, ...]
