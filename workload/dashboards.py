@@ -12,7 +12,7 @@ from tidemark.operators import filters
 from tidemark.operators import marts as M
 from tidemark.session import materialise
 from workload.comparison import SHORT_SQL, short_comparison
-from workload.frames import SHORT_SPEC, rounded, snapshots, table
+from workload.frames import SHORT_SPEC, snapshots, table
 from workload.registry import query
 
 ROLES = M.Roles(papers="papers", score="score", hot="hot", cited="cited", field="subject", entity="name")
