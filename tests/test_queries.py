@@ -5,9 +5,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check import TABLES, canonical_rows
+from workload.all import ORACLE, QUERIES
 
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
