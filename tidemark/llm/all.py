@@ -1,6 +1,6 @@
 """Importing this module registers every query of the package."""
 
-from tidemark.llm import exact, mixing, quality  # noqa: F401
+from tidemark.llm import exact, mixing, near, packing, quality  # noqa: F401
 from tidemark.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -35,7 +35,7 @@ from tidemark.session import materialise, store
 
 MOST_COPIES = 3
 STEPS = 40
-TOLERANCE = 1e-9
+TOLERANCE = 1e-4  # of a target; rounding settles the rest
 BUCKET_ROWS = 20_000
 WEIGHTS = (1.0, 2.0, 3.0)
 
@@ -76,13 +76,13 @@ def tilts(cells: DataFrame, wanted: DataFrame, cap: int = MOST_COPIES) -> DataFr
     )
     least = F.col("least") / F.col("mean")
     ratio = F.greatest(F.col("target") / F.col("source_size"), F.lit(1e-12))
+    capped = F.col("target") >= cap * F.col("source_size") * (1 - TOLERANCE)
     # At the upper end every rate is the cap, at the lower none is above target / size.
     state = wanted.alias("w").join(shape.alias("m"), F.col("w.source").eqNullSafe(F.col("m.source"))).select(
         F.col("w.source").alias("source"), "target", "mean",
         F.least(F.lit(0.0), F.log(ratio) / least).alias("low"),
-        (F.log(F.lit(float(cap))) / least).alias("high"),
-        F.lit(0.0).alias("tilt"), F.lit(False).alias("done"),
-    )
+        (F.log(F.lit(float(cap))) / least).alias("high"), capped.alias("done"),
+    ).withColumn("tilt", F.when(F.col("done"), F.col("high")).otherwise(0.0))
     state = materialise(state, "tilts")
     for _ in range(STEPS):
         at = state.alias("s").join(cells.alias("c"), F.col("s.source").eqNullSafe(F.col("c.source")))
@@ -96,13 +96,18 @@ def tilts(cells: DataFrame, wanted: DataFrame, cap: int = MOST_COPIES) -> DataFr
         gap = F.col("target") - F.col("got")
         low = F.when(gap > 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("high")).otherwise(F.col("tilt"))
-        step = F.col("tilt") + gap / F.col("slope")
+        # Newton's step on the logarithm, which is closer to a line where rates are small.
+        step = F.col("tilt") + F.log(F.col("target") / F.col("got")) * F.col("got") / F.col("slope")
+        middle = (
+            F.when(low > 0, F.sqrt(low * high)).when(high < 0, -F.sqrt(low * high))
+            .when(low == 0, high / 8).when(high == 0, low / 8).otherwise((low + high) / 2)
+        )
         inside = (F.col("slope") > 0) & (step > low) & (step < high)
         done = F.col("done") | (F.abs(gap) <= TOLERANCE * F.col("target")) | (high - low <= 1e-12 * (1 + F.abs(high)))
         state = materialise(
             state.alias("a").join(sums.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select(
                 F.col("a.source").alias("source"), "target", "mean", low.alias("low"), high.alias("high"),
-                F.when(done, F.col("tilt")).when(inside, step).otherwise((low + high) / 2).alias("tilt"),
+                F.when(done, F.col("tilt")).when(inside, step).otherwise(middle).alias("tilt"),
                 done.alias("done"),
             ),
             "tilts",
