@@ -1,6 +1,6 @@
 """Importing this module registers every query of the package."""
 
-from tidemark.llm import chat, exact, langid, mixing, near, packing, quality, urls  # noqa: F401
+from tidemark.llm import chat, exact, langid, mixing, near, packing, quality, substrings, urls  # noqa: F401
 from tidemark.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
