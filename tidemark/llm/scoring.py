@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, table, whole_groups
@@ -257,13 +257,14 @@ def _scored(weights: np.ndarray, tokens: int, types: int):
     return run
 
 
-def _blocked(docs: DataFrame) -> DataFrame:
-    """``docs`` with the block of each row, the same whenever it is read: its file and place there."""
+def _blocked(docs: DataFrame, columns: list[Column]) -> DataFrame:
+    """``columns`` with the block of each row, the same whenever it is read: its file and place there."""
+    place = F.floor(F.col("_metadata.row_index") / BLOCK_ROWS).cast("string")
+    block = F.concat_ws(":", F.col("_metadata.file_path"), place).alias("block")
     try:
-        place = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        return docs.select(block, *columns)
     except AnalysisException:  # not a table of files
-        return _blocked(materialise(docs, "documents"))
-    return place.withColumn("block", F.concat_ws(":", "_file", F.floor(F.col("_row") / BLOCK_ROWS).cast("string"))).drop("_file", "_row")
+        return materialise(docs.select(*columns), "documents").select(block, "*")
 
 
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", learn: str = "learn") -> DataFrame:
@@ -271,10 +272,11 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", learn: str =
     spark = docs.sparkSession
     parts = 4 * partitions(spark)
     number = F.col(f"`{id}`").cast("long")
-    rows = _blocked(docs).select(
-        "block", F.coalesce(number, F.lit(0).cast("long")).alias("id"), number.isNull().alias("no_id"),
+    columns = [
+        F.coalesce(number, F.lit(0).cast("long")).alias("id"), number.isNull().alias("no_id"),
         F.coalesce(F.col(f"`{learn}`"), F.lit(False)).alias("learn"), F.col(f"`{text}`").alias("text"),
-    )
+    ]
+    rows = _blocked(docs, columns)
     asked = rows.select("block", "learn", "text").mapInPandas(_asked(parts), _ASK)
     answers = materialise(
         whole_groups(asked, ["kind", "part"], lambda x, first: pd.concat(
