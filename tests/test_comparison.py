@@ -1,6 +1,8 @@
 """Comparison, marts and flows on small snapshots."""
 
 import math
+import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,10 +168,11 @@ def test_totals_add_up(spark, sf_dir):
 
 
 def test_one_shuffle_compares(spark, sf_dir):
-    """Pairing two stored snapshots takes a single shuffle."""
+    """Pairing two stored snapshots takes a single shuffle, besides the count of unnamed rows per pair."""
     one = materialise(snapshots(spark, sf_dir))
     plan_text = C.compare(one, SHORT_SPEC)._jdf.queryExecution().executedPlan().toString()
-    assert plan_text.count("Exchange hashpartitioning") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(subject#\d+, name", plan_text)) == 1
+    assert plan_text.count("Exchange hashpartitioning") == 2
     assert "SortMergeJoin" not in plan_text
 
 
@@ -260,3 +263,34 @@ def test_relative_change_from_zero(spark, canon):
     df = canon(spark, rows_of("a", "feb", ("Ada", "f", 0, 0.0, 0, 0)) + rows_of("a", "july", ("Ada", "f", 3, 0.0, 0, 0)))
     row = C.compare(df, SPEC13).first()
     assert math.isinf(row["highly_cited_papers_relative"]) and row["hot_papers_relative"] == 0.0
+
+
+def test_unnamed_rows_on_both_paths(spark):
+    """One row per pair, whatever the payload, and they do not enter the join."""
+    rows = [("x", "p1", None, 1, "t"), ("x", "p1", None, 2, "u"), ("x", "p2", None, 3, None), ("x", "p1", "a", 1, "t"), ("x", "p2", "a", 1, "t")]
+    df = spark.createDataFrame(rows, "subject string, period string, name string, n int, label string")
+    plain = CompareSpec((Metric("n"),), ("p1", "p2"), pair_by=("subject",), assume_unique=True)
+    found = []
+    for spec in (plain, replace(plain, carry=("label",)), replace(plain, assume_unique=False, order_by=("n",))):
+        compared = C.compare(df, spec)
+        found.append(sorted((r["name"] or "", r["status"], r["rows_1"], r["rows_2"], r["n_1"]) for r in compared.collect()))
+        if spec.carry:
+            plan = compared._jdf.queryExecution().optimizedPlan().toString()
+            assert "FullOuter" in plan and plan.count("isnotnull(name") >= 2
+    assert found[0] == [("", "unnamed", 2, 1, None), ("a", "unchanged", 1, 1, 1)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_broken_promise_of_unique_entities(spark):
+    df = spark.createDataFrame([("x", "p1", "a", 1), ("x", "p1", "a", 2)], "subject string, period string, name string, n int")
+    spec = CompareSpec((Metric("n"),), ("p1", "p2"), pair_by=("subject",), assume_unique=True)
+    with pytest.raises(Exception, match="assumes it is unique"):
+        C.compare(df, spec).collect()
+
+
+def test_fanout_with_null_metrics(spark):
+    rows = [("x", "p1", "a", None), ("x", "p1", "a", 2), ("x", "p2", "a", 5)]
+    df = spark.createDataFrame(rows, "subject string, period string, name string, n int")
+    spec = CompareSpec((Metric("n"),), ("p1", "p2"), pair_by=("subject",))
+    out = C.fanout_totals(df, spec).first()
+    assert (out["matched"], out["total_n_change"], out["avg_n_change"]) == (2, 3, 3.0)

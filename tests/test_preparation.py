@@ -76,10 +76,13 @@ def test_null_strategies(spark):
     assert nulls.handle_nulls(df, "skip").count() == 1
     filled = nulls.handle_nulls(df, "default", {"n": 0, "absent": 1}, ["name"]).orderBy("name").collect()
     assert [r["n"] for r in filled] == [1, 0, 3] and filled[0]["d"] is None
-    with pytest.raises(Exception, match="may not hold a null"):
-        nulls.handle_nulls(df, "fail").collect()
-    with pytest.raises(Exception, match="column n may not hold a null"):
-        nulls.handle_nulls(df, "default", {"n": 0}, ["n"]).collect()
+    # At once, so that no count or aggregate of another column can miss it.
+    with pytest.raises(nulls.NullsFound, match="may not hold a null"):
+        nulls.handle_nulls(df, "fail").count()
+    with pytest.raises(nulls.NullsFound, match="column n may not hold a null"):
+        nulls.handle_nulls(df, "default", {"n": 0}, ["n"]).agg({"name": "count"})
+    with pytest.raises(nulls.NullsFound):
+        nulls.critical_nulls(df, "fail", ["name", "n"])
     with pytest.raises(ValueError):
         nulls.handle_nulls(df, "interpolate")
     counts = {r["column_name"]: r["null_count"] for r in nulls.null_counts(df, df.columns).collect()}

@@ -1,5 +1,6 @@
 """The paths for large tables give the same rows as the small ones."""
 
+import os
 import random
 from collections import Counter
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import scale
 from tidemark.operators.duplicates import flag_duplicates
 from tidemark.operators.stats import profile, with_outliers
-from tidemark.session import CHECKPOINT_KEY, materialise, scratch_dir, store
+from tidemark.session import CHECKPOINT_KEY, materialise, scratch_dir, scratch_scope, store
 
 
 @pytest.fixture
@@ -38,7 +39,7 @@ def test_attach(spark, skewed, limit, heavy, null_safe):
 @pytest.mark.parametrize("limit", [1 << 30, 0])
 def test_keep_matching(spark, skewed, limit):
     keys = store(spark.createDataFrame([("hot", 400), ("k1", 4), ("absent", 1)], "k string, n int"))
-    out = scale.keep_matching(skewed, keys, ["k"], "n", broadcast_bytes=limit, heavy_keys=1)
+    out = scale.keep_matching(skewed, keys, ["k"], "n", broadcast_bytes=limit, parts=2)
     assert Counter(r["k"] for r in out.collect()) == Counter(
         r["k"] for r in skewed.collect() if r["k"] in ("hot", "k1")
     )
@@ -67,7 +68,6 @@ def test_large_paths_match(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(scale, "BROADCAST_BYTES", 0)
     monkeypatch.setattr("tidemark.operators.stats.BROADCAST_BYTES", 0)
     monkeypatch.setattr(scale, "GROUP_LIMIT", 0)
-    monkeypatch.setattr(scale, "HEAVY_KEYS", 2)
     assert profile(events, ["value"], ["event_type"]).count() == 5
     big = with_outliers(events, ["value"], ["event_type"]).orderBy("event_id").collect()
     assert [(r["event_id"], round(r["value_percentile"], 9), r["value_outlier_flag"]) for r in big] == [
@@ -84,7 +84,7 @@ def test_heavy_and_null_keys_are_spread(spark, skewed):
     for k, v in off.items():
         spark.conf.set(k, v)
     try:
-        out = scale.attach(skewed, counts, ["k"], "n", (), 0, 3).withColumn("p", F.spark_partition_id())
+        out = scale.attach(skewed, counts, ["k"], "n", (), 0, 4).withColumn("p", F.spark_partition_id())
         assert "hashpartitioning(k#" in out._jdf.queryExecution().executedPlan().toString()
         sizes = out.groupBy("k", "p").agg(F.count("*").alias("n")).collect()
     finally:
@@ -159,9 +159,9 @@ class Elsewhere:
 
 def test_scratch_folder_of_other_sessions():
     assert scratch_dir(Elsewhere("spark://host", "hdfs:///scratch/")) == "hdfs:///scratch"
-    assert scratch_dir(Elsewhere("local[2]")).startswith("file:///")
-    with pytest.raises(RuntimeError, match=CHECKPOINT_KEY):
-        scratch_dir(Elsewhere("spark://host"))
+    for master in ("local[2]", "spark://host"):
+        with pytest.raises(RuntimeError, match=CHECKPOINT_KEY):
+            scratch_dir(Elsewhere(master))
 
 
 def test_keep_first_and_first_rows(spark, skewed):
@@ -173,3 +173,14 @@ def test_keep_first_and_first_rows(spark, skewed):
     assert kept == want
     top = scale.first_rows(skewed, ["k"], ["i"], 2).groupBy("k").count().collect()
     assert max(r["count"] for r in top) == 2
+
+
+def test_a_flow_leaves_nothing_but_its_outputs(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    with scratch_scope(spark):
+        stored = materialise(df)
+        made = stored.inputFiles()[0].removeprefix("file://")
+        stored.groupBy("k").count().write.parquet(str(tmp_path / "out"))
+        assert os.path.exists(made)
+    assert not os.path.exists(made)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2

@@ -88,7 +88,7 @@ SCHEMA = "name STRING, papers INT, score DOUBLE"
 
 def test_store(spark, snaps, tmp_path):
     store = Store(spark, "one", str(tmp_path / "one"))
-    assert store.load(snaps, {"snapshots": SCHEMA}) == ["snapshots"]
+    assert store.load(snaps, {"snapshots": SCHEMA}).tables == ["snapshots"]
     assert store.tables() == ["snapshots"] and store.exists("snapshots") and not store.exists("nope")
     assert store.count("snapshots") == 16
     assert store.schema("snapshots")["papers"] == "int"
@@ -115,7 +115,8 @@ def test_store_schemas_and_failures(spark, snaps, tmp_path):
     store = Store(spark, "two", str(tmp_path / "two"))
     by_sheet = {"highly_cited_only": "a", "incites_researchers": "b"}
     loaded = store.load(snaps, {"a": SCHEMA, "b": "name STRING, orcid STRING"}, by_sheet, default_schema="a")
-    assert loaded == ["a"]
+    assert loaded.tables == ["a"] and "orcid" in loaded.failures["b"]
+    assert (loaded.rows_in, loaded.rows_stored) == (16, 8)
     assert store.count("a") == 8
     with pytest.raises(LoadFailed, match="missing critical columns"):
         store.load(snaps, {"b": "orcid STRING"})

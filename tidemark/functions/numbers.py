@@ -68,8 +68,10 @@ def rate1(c: Column) -> Column:
 
 
 def sort_number(c: Column) -> Column:
-    """Sort value of a displayed number: ``+1,234`` to 1234, other text to 0."""
-    return F.coalesce(F.regexp_replace(c.cast("string"), "[+,]", "").try_cast("double"), F.lit(0.0))
+    """Sort value of a displayed number: its leading number, ``+1,234`` is 1234, ``-2.5%`` is -2.5; other text is 0."""
+    plain = F.regexp_replace(c.cast("string"), "[+,]", "")
+    leading = F.regexp_extract(plain, r"^\s*(-?(?:Infinity|(?:\d+\.?\d*|\.\d+)(?:[eE]-?\d+)?))", 1)
+    return F.coalesce(leading.try_cast("double"), F.lit(0.0))
 
 
 def with_commas(c: Column) -> Column:

@@ -35,16 +35,25 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
     """One row per (pair, entity) with ``<column>_1`` and ``<column>_2``.
 
     ``rows_1`` and ``rows_2`` tell how many rows the entity has in each
-    period; 0 means it is absent there.
+    period; 0 means it is absent there. Rows without a name are counted: they
+    are one row per pair, without values.
     """
     wanted = df.filter(F.col(spec.period).isin(*spec.periods))
+    paired = _paired(wanted.filter(F.col(spec.entity).isNotNull()), spec)
+    counts = [F.count_if(F.col(spec.period) == p).alias(f"rows_{i}") for i, p in enumerate(spec.periods, 1)]
+    unnamed = wanted.filter(F.col(spec.entity).isNull()).groupBy(*spec.pair_by).agg(*counts)
+    return paired.unionByName(unnamed, allowMissingColumns=True)
+
+
+def _paired(wanted: DataFrame, spec: CompareSpec) -> DataFrame:
+    """``pair_up`` of rows that all have a name."""
     sides = [(i, F.col(spec.period) == p) for i, p in enumerate(spec.periods, 1)]
     counts = [F.count_if(side).alias(f"rows_{i}") for i, side in sides]
     if spec.assume_unique:
-        if not _aggregates_by_hash(df, spec.payload):
-            return _join_sides(df, spec)
+        if not _aggregates_by_hash(wanted, spec.payload):
+            return _join_sides(wanted, spec)
         values = [F.max(F.when(side, F.col(c))).alias(f"{c}_{i}") for i, side in sides for c in spec.payload]
-        return wanted.groupBy(*spec.keys).agg(*counts, *values)
+        return wanted.groupBy(*spec.keys).agg(*counts, *values).withColumns({f"rows_{i}": _once(f"rows_{i}") for i in (1, 2)})
 
     order = [c for c in spec.order_by if c not in spec.payload]
     ranked = [*[F.col(c) for c in spec.order_by], *[F.col(c) for c in spec.payload if c not in spec.order_by]]
@@ -55,6 +64,12 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
     return grouped.select(*spec.keys, "rows_1", "rows_2", *columns)
 
 
+def _once(rows: str) -> Column:
+    """A row count that fails the job where a promised-unique entity repeats."""
+    repeated = F.raise_error(F.lit("an entity repeats inside a snapshot, but the comparison assumes it is unique"))
+    return F.when(F.col(rows) > 1, repeated).otherwise(F.col(rows))
+
+
 def _aggregates_by_hash(df: DataFrame, columns: Sequence[str]) -> bool:
     """Spark aggregates fixed-width columns by hash and others by sort."""
     fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -241,35 +256,34 @@ def fanout_totals(df: DataFrame, spec: CompareSpec) -> DataFrame:
 
     An entity with m rows before and n rows after counts m * n times. The
     numbers follow from the row counts and sums of each side, so no pair of
-    rows is ever built. A metric must not be null.
+    rows is ever built. A pair of rows in which a metric is null on either side
+    adds nothing to that metric's total and mean, so each metric has counts of
+    its own.
     """
     sides = [(i, F.col(spec.period) == p) for i, p in enumerate(spec.periods, 1)]
     per_entity = (
         df.filter(F.col(spec.period).isin(*spec.periods) & F.col(spec.entity).isNotNull())
         .groupBy(*spec.keys)
         .agg(
-            *[F.count_if(side).alias(f"n_{i}") for i, side in sides],
-            *[
-                F.coalesce(F.sum(F.when(side, F.col(m))), F.lit(0)).alias(f"{m}_{i}")
-                for i, side in sides
-                for m in spec.metric_names
-            ],
+            *[F.count_if(side).alias(f"_n_{i}") for i, side in sides],
+            *[F.sum(F.when(side, F.col(m))).alias(f"_sum_{m}_{i}") for i, side in sides for m in spec.metric_names],
+            *[F.count(F.when(side, F.col(m))).alias(f"_n_{m}_{i}") for i, side in sides for m in spec.metric_names],
         )
     )
     # A heavy entity alone may exceed a long, so products are exact decimals.
     wide = "decimal(20,0)"
-    n1, n2 = F.col("n_1").cast(wide), F.col("n_2").cast(wide)
+    n1, n2 = F.col("_n_1").cast(wide), F.col("_n_2").cast(wide)
     pairs = F.sum(n1 * n2)
-    both = (F.col("n_1") > 0) & (F.col("n_2") > 0)
     deltas = []
     for m in spec.metric_names:
         kind = "double" if isinstance(df.schema[m].dataType, T.FractionalType) else wide
-        crossed = n1.cast(kind) * F.col(f"{m}_2").cast(kind) - n2.cast(kind) * F.col(f"{m}_1").cast(kind)
-        total = F.sum(F.when(both, crossed))
-        mean = F.try_divide(total.cast("double"), pairs.cast("double"))
+        k1, k2 = F.col(f"_n_{m}_1").cast(wide), F.col(f"_n_{m}_2").cast(wide)
+        crossed = k1.cast(kind) * F.col(f"_sum_{m}_2").cast(kind) - k2.cast(kind) * F.col(f"_sum_{m}_1").cast(kind)
+        total = F.sum(F.when((k1 > 0) & (k2 > 0), crossed))
+        mean = F.try_divide(total.cast("double"), F.sum(k1 * k2).cast("double"))
         deltas += [total.alias(f"total_{m}_change"), mean.alias(f"avg_{m}_change")]
     grouped = per_entity.groupBy(*spec.pair_by).agg(
-        F.sum("n_1").alias("total_1"), F.sum("n_2").alias("total_2"), pairs.alias("matched"), *deltas
+        F.sum("_n_1").alias("total_1"), F.sum("_n_2").alias("total_2"), pairs.alias("matched"), *deltas
     )
     return grouped.withColumns(
         {

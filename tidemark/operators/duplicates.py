@@ -54,7 +54,7 @@ def flag_duplicates(
     order = [norm[k] for k in keys]
     groups = groups.drop("surplus").withColumn("_one", F.lit(1).cast("bigint"))
     ranked = running_totals(store(groups, "groups"), by, order, "_one")
-    profile = F.concat_ws(" | ", *[F.concat(F.lit(f"{k}:"), F.col(norm[k]).cast("string")) for k in keys])
+    profile = F.concat_ws(" | ", *[F.concat(F.lit(f"{k}:"), F.coalesce(F.col(norm[k]).cast("string"), F.lit(""))) for k in keys])
     numbered = store(
         ranked.select(
             *by,

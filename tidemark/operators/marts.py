@@ -103,10 +103,9 @@ def entities(entry_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _significant(entry_rows: DataFrame) -> DataFrame:
-    """Changed entries whose paper count moved."""
-    return entry_rows.filter((F.col("status") == CHANGED) & (F.col("paper_change") != 0)).withColumn(
-        "name", strip(F.col("name"))
-    )
+    """Changed entries with a name whose paper count moved."""
+    moved = entry_rows.filter((F.col("status") == CHANGED) & (F.col("paper_change") != 0))
+    return moved.withColumn("name", strip(F.col("name"))).filter("name != ''")
 
 
 def _bands(df: DataFrame) -> DataFrame:
@@ -192,10 +191,12 @@ def top_changes(
         top = first_rows(ranked, by, [order, "name", "subject"], n)
     else:
         top = ranked.orderBy(order, "name", "subject").limit(n)
-    # At most n rows per dashboard: small by construction, and stored so that
-    # both uses below see the same rows.
-    top = materialise(top, "top")
-    lookup = cross_field(entry_rows, by).join(F.broadcast(top.select(*by, "name").distinct()), [*by, "name"], "left_semi")
+    # Stored so that both uses below see the same rows, and measured. Only the
+    # entries of these names are rolled up.
+    top = store(top, "top").df
+    names = store(top.groupBy(*by, "name").agg(F.count(F.lit(1)).alias("_weight")), "names")
+    mine = keep_matching(entry_rows.withColumn("name", strip(F.col("name"))), names, [*by, "name"], "_weight")
+    lookup = cross_field(mine, by)
     lookup = lookup.select(*by, "name", "total_score", F.col("category").alias("_category"))
     return top.join(lookup, [*by, "name"], "left").select(
         *top.columns,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,19 +23,24 @@ def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return counts.unpivot(list(by), list(columns), "column_name", "null_count")
 
 
-def never_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fail the job at the first null in one of the columns.
+class NullsFound(ValueError):
+    """A column holds nulls that may not."""
 
-    The test is part of reading the column, so it takes no pass of its own and
-    sees the rows of ``df`` only; a filter could be moved below a join, to rows
-    that are not part of the result.
-    """
 
-    def tested(c: str) -> Column:
-        failure = F.raise_error(F.lit(f"column {c} may not hold a null value"))
-        return F.when(F.col(c).isNull(), failure).otherwise(F.col(c))
+def never_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Raise at once if one of the columns holds a null.
 
-    return df.withColumns({c: tested(c) for c in columns if c in df.columns})
+    All columns are counted in one pass that reads nothing else. A test inside
+    the column's expression would go unnoticed where the column is not read.
+    """
+    guarded = [c for c in dict.fromkeys(columns) if c in df.columns]
+    if not guarded:
+        return df
+    found = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in guarded]).first()
+    bad = [f"column {c} may not hold a null value, {found[c]} found" for c in guarded if found[c]]
+    if bad:
+        raise NullsFound("; ".join(bad))
+    return df
 
 
 def handle_nulls(
@@ -48,15 +53,15 @@ def handle_nulls(
 
     Critical columns may not hold a null under any strategy.
     """
-    df = never_null(df, critical)
+    if strategy not in ("fail", "skip", "default"):
+        raise ValueError(f"unknown null strategy: {strategy}")
+    df = never_null(df, df.columns if strategy == "fail" else critical)
     if strategy == "fail":
-        return never_null(df, df.columns)
+        return df
     if strategy == "skip":
         return df.na.drop("any")
-    if strategy == "default":
-        known = {c: v for c, v in (defaults or {}).items() if c in df.columns}
-        return df.na.fill(known) if known else df
-    raise ValueError(f"unknown null strategy: {strategy}")
+    known = {c: v for c, v in (defaults or {}).items() if c in df.columns}
+    return df.na.fill(known) if known else df
 
 
 def filled_counts(df: DataFrame, defaults: dict[str, object], by: Sequence[str] = ()) -> DataFrame:

@@ -12,10 +12,7 @@ from tidemark.session import Stored, materialise, store
 
 # Largest table that is sent to every executor, checked by measuring it.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Number of the heaviest keys that are joined by broadcast when the table is
-# too large. Any other key holds at most 1/HEAVY_KEYS of the rows.
-HEAVY_KEYS = 1000
-# Largest table of heavy keys, checked in the same way.
+# Largest table of heavy keys that is sent to every executor, checked in the same way.
 HEAVY_BYTES = 64 * 1024 * 1024
 # Most rows of a group that one task ranks, checked by counting.
 GROUP_LIMIT = 250_000
@@ -28,13 +25,14 @@ def attach(
     weight: str,
     null_safe: Sequence[str] = (),
     broadcast_bytes: int | None = None,
-    heavy_keys: int = HEAVY_KEYS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left join a stored table with one row per key onto ``rows``.
 
-    A small table is broadcast. Of a larger one the heaviest keys, by
-    ``weight``, are broadcast and the rest is joined by shuffle, with the rows
-    of heavy and null keys spread over the partitions of that shuffle.
+    A small table is broadcast. Of a larger one the keys with more rows than
+    one of ``parts`` shuffle partitions should get are broadcast, fewer than
+    ``parts`` of them, and the rest is joined by shuffle, with the rows of
+    heavy and null keys spread over the partitions of that shuffle.
     ``weight`` is the number of rows of a key and is not part of the result.
     Columns in ``null_safe`` also match null to null.
     """
@@ -44,7 +42,7 @@ def attach(
     if stored.nbytes <= limit:
         return _left(rows, F.broadcast(values.drop(weight)), on, added, null_safe)
 
-    heavy = _heaviest(values, on, weight, heavy_keys).select(*on, F.struct(*added).alias("_heavy"))
+    heavy = _heaviest(values, on, weight, parts).select(*on, F.struct(*added).alias("_heavy"))
     marked = _left(rows, F.broadcast(heavy), on, ["_heavy"], null_safe)
 
     no_match = F.lit(False)
@@ -70,10 +68,12 @@ def attach(
     return joined.select(*rows.columns, *[found[c].alias(c) for c in added])
 
 
-def _heaviest(values: DataFrame, on: Sequence[str], weight: str, keys: int) -> DataFrame:
-    """The rows of the heaviest keys: at most ``keys``, and fewer if they are wide."""
+def _heaviest(values: DataFrame, on: Sequence[str], weight: str, parts: int | None) -> DataFrame:
+    """The keys that weigh more than 1/parts of all, and fewer if they are wide."""
     order = (F.desc(weight), *on)
-    top = store(values.orderBy(*order).limit(keys), "heavy")
+    parts = parts or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = values.agg(F.sum(weight)).first()[0] or 0
+    top = store(values.filter(F.col(weight) > total / parts), "heavy")
     while top.nbytes > HEAVY_BYTES:
         fewer = min(top.rows - 1, top.rows * HEAVY_BYTES // top.nbytes)
         top = store(top.df.orderBy(*order).limit(fewer), "heavy")

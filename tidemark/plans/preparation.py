@@ -34,9 +34,10 @@ def normalise_category(df: DataFrame, settings: LightTransform) -> DataFrame:
 
 def category_changes(df: DataFrame, settings: LightTransform, by: Sequence[str] = ()) -> DataFrame:
     """How many category values the normalisation rewrites."""
-    old = F.coalesce(F.col(settings.category_column), F.lit(""))
-    new = canonical(F.col(settings.category_column), settings.canonical, settings.unknown_category, settings.default_category)
-    return df.groupBy(*by).agg(
+    c = settings.category_column
+    old = F.coalesce("_old", F.lit(""))
+    new = F.col(c)
+    return normalise_category(df.withColumn("_old", F.col(c)), settings).groupBy(*by).agg(
         F.count(F.lit(1)).alias("records_processed"), F.count_if(old != new).alias("records_changed")
     )
 

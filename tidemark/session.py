@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,7 +14,6 @@ from pyspark.sql import types as T
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Bytes a row of a broadcast table needs beside its values.
 ROW_OVERHEAD = 32
-_local_scratch: dict[str, str] = {}
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,23 +34,33 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables, shared by all executors.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    run without it; it then gets a temporary folder of its own.
+    The session names it in ``spark.checkpoint.dir``; there is no other place.
     """
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
+    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    if not named:
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors can reach")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return _local_scratch[app]
+    return named.rstrip("/")
+
+
+_scopes: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    folder = _scopes[-1] if _scopes else f"{scratch_dir(spark)}/tidemark"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end, when the results are written."""
+    folder = f"{scratch_dir(spark)}/tidemark/scope-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @dataclass(frozen=True)

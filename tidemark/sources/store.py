@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +22,16 @@ class LoadFailed(RuntimeError):
     """Nothing was loaded, or fewer rows than were sent."""
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """What a load stored, and what it left out and why."""
+
+    tables: list[str]
+    failures: dict[str, str]
+    rows_in: int
+    rows_stored: int
+
+
 class Store:
     """Snapshots of one database, one table per schema.
 
@@ -73,39 +84,39 @@ class Store:
         schema_of: dict[str, str] | None = None,
         default_schema: str | None = None,
         clear: bool = True,
-    ) -> list[str]:
+    ) -> Loaded:
         """Load a consolidated frame: clear, then one table per schema.
 
         ``schema_of`` maps a sheet type to a schema name, ``default_schema``
-        serves the others. A table that fails is left out; if none is loaded
-        the call fails. Every table's row count is checked.
+        serves the others and rows without a sheet type. A table that fails is
+        left out and named with the reason; if none is loaded the call fails.
+        Every table's row count is checked against the rows of ``df``.
         """
         schema_of = schema_of or {}
         default_schema = default_schema or next(iter(schemas))
         if clear:
             self.clear()
-        loaded, failures = [], []
+        # One row per sheet type: their number is that of the configured sheets.
+        counts = {r["sheet_type"]: r["n"] for r in df.groupBy("sheet_type").agg(F.count(F.lit(1)).alias("n")).collect()}
+        loaded, failures, total = [], {}, 0
         for name, schema in schemas.items():
-            sheets = [s for s, n in schema_of.items() if n == name]
-            mine = F.col("sheet_type").isin(*sheets)
-            if name == default_schema:
-                others = [s for s, n in schema_of.items() if n != name]
-                mine = ~F.col("sheet_type").isin(*others)
+            wanted = {s for s in counts if schema_of.get(s, default_schema) == name}
+            mine = F.coalesce(F.col("sheet_type").isin(*[s for s in wanted if s is not None]), F.lit(None in wanted))
+            expected = sum(counts[s] for s in wanted)
             try:
-                rows = enforced(df.filter(mine), schema, keep=PARTITIONS)
-                sent = self.create(rows, name, "replace", PARTITIONS)
-                stored = self.count(name)
-                if not sent:
-                    self.drop(name)
+                if not expected:
                     raise LoadFailed("no rows to load")
-                if stored != sent:
-                    raise LoadFailed(f"{sent} rows sent, {stored} stored")
+                self.create(enforced(df.filter(mine), schema, keep=PARTITIONS), name, "replace", PARTITIONS)
+                stored = self.count(name)
+                if stored != expected:
+                    raise LoadFailed(f"{expected} rows expected, {stored} stored")
                 loaded.append(name)
+                total += stored
             except (PySparkException, LoadFailed, ValueError) as e:
-                failures.append(f"{name}: {e}")
+                failures[name] = str(e)
         if not loaded:
-            raise LoadFailed("; ".join(failures))
-        return loaded
+            raise LoadFailed("; ".join(f"{n}: {e}" for n, e in failures.items()))
+        return Loaded(loaded, failures, sum(counts.values()), total)
 
     def drop(self, table: str, if_exists: bool = True) -> None:
         self.spark.sql(f"DROP TABLE {'IF EXISTS' if if_exists else ''} {self._full(table)}")

@@ -1,7 +1,7 @@
 """Snapshot frames built from the driver tables, in Spark and in SQL.
 
 An order is a document of a customer. Customers are the entities, order
-priorities the subjects, and two ranges of order dates the periods.
+priorities the subjects, and the orders before and from a day on the periods.
 """
 
 from __future__ import annotations
@@ -12,17 +12,14 @@ from pyspark.sql import functions as F
 from tidemark.spec import CompareSpec, Metric
 
 PERIODS = ("p1", "p2")
-START, MIDDLE, END = "1995-01-01", "1996-07-01", "1999-01-01"
+# Orders before this day make the first period, all others the second.
+MIDDLE = "1998-04-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _in_range(day: Column) -> Column:
-    return (day >= F.lit(START).cast("timestamp")) & (day < F.lit(END).cast("timestamp"))
-
-
 def _period(day: Column) -> Column:
     return F.when(day < F.lit(MIDDLE).cast("timestamp"), PERIODS[0]).otherwise(PERIODS[1])
 
@@ -32,7 +29,6 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate")
     per_customer = (
         table(spark, sf_dir, "orders")
-        .filter(_in_range(day))
         .groupBy("o_custkey", F.col("o_orderpriority").alias("subject"), _period(day).alias("period"))
         .agg(
             F.count(F.lit(1)).alias("papers"),
@@ -55,7 +51,6 @@ snap AS (
          CAST(sum(CAST(floor(o.o_totalprice) AS BIGINT)) AS BIGINT) AS cited,
          CAST(count(*) FILTER (WHERE o.o_orderstatus = 'F') AS DOUBLE) / count(*) AS score
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE o.o_orderdate >= TIMESTAMP '{START}' AND o.o_orderdate < TIMESTAMP '{END}'
   GROUP BY ALL
 )"""
 
@@ -79,7 +74,7 @@ SHORT_SPEC = CompareSpec(
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: customers repeat inside a snapshot."""
     day = F.col("o_orderdate")
-    orders = table(spark, sf_dir, "orders").filter(_in_range(day))
+    orders = table(spark, sf_dir, "orders")
     names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"))
     return orders.join(names, "o_custkey").select(
         "name",
@@ -96,7 +91,6 @@ raw AS (
          CASE WHEN o.o_orderdate < TIMESTAMP '{MIDDLE}' THEN 'p1' ELSE 'p2' END AS period,
          o.o_orderkey AS seq, CAST(floor(o.o_totalprice) AS BIGINT) AS price
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE o.o_orderdate >= TIMESTAMP '{START}' AND o.o_orderdate < TIMESTAMP '{END}'
 )"""
 
 RAW_SPEC = CompareSpec(

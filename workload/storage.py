@@ -191,13 +191,13 @@ def flow_classes(spark, sf_dir):
     return result.compared.groupBy("subject", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {SNAPSHOTS_SQL} SELECT count(*) AS n_rows, CAST(sum(papers) AS BIGINT) AS papers, count(DISTINCT subject) AS n_subjects FROM snap WHERE period = 'p1'")
+@query(f"WITH {SNAPSHOTS_SQL} SELECT count(*) AS n_rows, CAST(sum(papers) AS BIGINT) AS papers, count(DISTINCT subject) AS n_subjects FROM snap")
 def insert_by_position(spark, sf_dir):
     store = _store(spark)
     rows = snapshots(spark, sf_dir).select("name", "subject", "period", "papers")
     store.create(rows.filter("false"), "target")
-    renamed = rows.filter(F.col("period") == "p1").toDF("a", "b", "c", "d")
-    store.insert(renamed, "target")
+    for period in PERIODS:
+        store.insert(rows.filter(F.col("period") == period).toDF("a", "b", "c", "d"), "target")
     return store.read("target").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("papers").alias("papers"), F.count_distinct("subject").alias("n_subjects")
     )
