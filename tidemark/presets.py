@@ -82,6 +82,7 @@ RULES = (
 )
 
 # Upper limits above which a value looks wrong.
+# Limits, sheets, periods and columns of the researcher data.
 HIGH_VALUES = {
     "times_cited": 500000,
     "highly_cited_papers": 500,

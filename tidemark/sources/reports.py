@@ -20,6 +20,7 @@ from tidemark.operators.compare import CHANGED, ONLY_1, ONLY_2, UNCHANGED
 from tidemark.sources.snapshots import decoded
 from tidemark.spec import CompareSpec
 
+# File names and field names of the report format.
 PATTERN = "*_comparison_report.json"
 SECTIONS = {
     ONLY_1: "researchers_only_in_dataset_1",
@@ -56,21 +57,28 @@ def _parent(path: Column) -> Column:
 
 
 def _subject(path: Column, sheet: Column) -> Column:
-    stem = F.regexp_replace(F.regexp_extract(path, "([^/]+)$", 1), r"\.json$", "")
+    stem = F.regexp_replace(F.regexp_extract(path, "([^/=]+)$", 1), r"\.json$", "")
     base = F.regexp_replace(stem, "_comparison_report$", "")
     suffix = F.concat(F.lit("_"), sheet)
     bare = F.substring(base, F.lit(1), F.length(base) - F.length(suffix))
     return F.when(F.endswith(base, suffix), bare).otherwise(base)
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Nested reports one folder below ``root``, one row per file."""
+def read_documents(spark: SparkSession, root: str, pattern: str = PATTERN, lines: bool = False) -> DataFrame:
+    """Nested reports one folder below ``root``, one row per document.
+
+    A file holds one document. With ``lines`` it holds one per line and is read
+    in parts; what the pattern names may then be a folder of such files, as
+    Spark writes them, and counts as the source.
+    """
     docs = (
         spark.read.schema(DOCUMENT_SCHEMA)
-        .options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-        .json(f"{root}/*/{PATTERN}")
+        .options(multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
+        .json(f"{root}/*/{pattern}")
     )
-    with_path = docs.select("*", decoded(F.col("_metadata.file_path")).alias("source_file"))
+    path = decoded(F.col("_metadata.file_path"))
+    source = F.regexp_replace(path, r"\.json/[^/]*$", ".json") if lines else path
+    with_path = docs.select("*", source.alias("source_file"))
     sheet = _parent(F.col("source_file"))
     return with_path.withColumn("sheet_type", sheet).withColumn(
         "subject", _subject(F.col("source_file"), F.col("sheet_type"))
@@ -184,10 +192,12 @@ def documents(
     duplicates: DataFrame | None = None,
     outliers: DataFrame | None = None,
     sheet: str = "sheet_type",
+    columns: Sequence[str] = (),
 ) -> DataFrame:
     """One nested document per comparison: everything but the entity lists.
 
-    ``duplicates`` and ``outliers`` are the per-pair status summaries.
+    ``duplicates`` and ``outliers`` are the per-pair status summaries;
+    ``columns`` are those of the compared tables.
     """
     pair = list(spec.pair_by)
     subject = [c for c in pair if c != sheet]
@@ -207,12 +217,16 @@ def documents(
         aggregates.alias("aggregate_changes"),
     )
 
+    listed = list(columns) or [spec.entity, *spec.payload]
+
     def info(i: int) -> Column:
         parts = [F.concat_ws("_", *subject), F.lit(spec.periods[i - 1])] + ([F.col(sheet)] if has_sheet else [])
         return F.struct(
             snake_case(F.concat_ws("_", *parts)).alias("table_name"),
             F.lit(spec.periods[i - 1]).alias("period"),
             F.col(f"total_{i}").alias("row_count"),
+            F.lit(len(listed)).alias("column_count"),
+            F.array(*[F.lit(c) for c in listed]).cast("array<string>").alias("columns"),
         )
 
     out = summary

@@ -36,7 +36,8 @@ def read_sheet(
 
     The subject is the name below the sheet folder, without extension. Temporary
     files (``~...``) are skipped. Without a schema, CSV columns are text, which takes
-    the header line only and no pass over the data.
+    the header line only and no pass over the data; JSON columns are found by one,
+    which a schema saves.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format: {fmt}")
@@ -127,12 +128,13 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 
 def extraction_metadata(df: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
-    """Rows, source files and table name of each extracted snapshot.
+    """Rows, source files (the first, and how many) and table name of each extracted snapshot.
 
     A snapshot without rows is not listed.
     """
     found = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.min(SOURCE).alias(SOURCE) if SOURCE in df.columns else F.lit(None).cast("string").alias(SOURCE),
+        F.count_distinct(SOURCE).alias("source_files") if SOURCE in df.columns else F.lit(0).cast("bigint").alias("source_files"),
     )
     return found.withColumn("table_name", table_name(F.col("subject"), F.col("period"), F.col("sheet_type")))
