@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import fold
-from tidemark.operators.scale import attach, keep_first, running_totals
+from tidemark.operators.scale import attach, keep_first, keep_matching, running_totals
 from tidemark.session import store
 
 
@@ -25,6 +27,15 @@ def _key(df: DataFrame, column: str, case_sensitive: bool) -> Column:
     return c
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """256 bits that stand for the values of all columns, so that wide text is not shuffled."""
+    parts = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+
+
 def duplicate_groups(
     df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), case_sensitive: bool = False
 ) -> DataFrame:
@@ -44,35 +55,34 @@ def flag_duplicates(
     """Add ``is_duplicate``, ``duplicate_profile`` and ``duplicate_group_id``.
 
     Groups are numbered ``DUP_0001`` upward within ``by``, in key order. The
-    numbers come from the groups, not from the rows. No row is removed.
+    numbers come from the groups, not from the rows. No row is removed. Rows meet
+    by a digest of their keys.
     """
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"duplicate key columns not found: {missing}")
     norm = {k: f"_key_{k}" for k in keys}
-    groups = duplicate_groups(df, keys, by, case_sensitive).withColumnsRenamed(norm)
     order = [norm[k] for k in keys]
-    groups = groups.drop("surplus").withColumn("_one", F.lit(1).cast("bigint"))
+    keyed = df.withColumns({norm[k]: _key(df, k, case_sensitive) for k in keys})
+    keyed = keyed.withColumn("_digest", _digest(order))
+    on = [*by, "_digest"]
+    counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+    repeated = store(counts, "digests")
+    if fail and repeated.rows:
+        raise DuplicatesFound(f"duplicates found on {list(keys)}")
+    # The keys themselves are read for repeated digests only, to number them in key order.
+    named = keep_matching(keyed.select(*on, *order), repeated, on, "n_rows", null_safe=on)
+    groups = named.groupBy(*on).agg(F.min(F.struct(*order)).alias("_keys")).select(*on, "_keys.*", F.lit(1).cast("bigint").alias("_one"))
     ranked = running_totals(store(groups, "groups"), by, order, "_one")
+    numbers = ranked.select(*on, F.format_string("DUP_%04d", F.col("before") + 1).alias("_group"))
+    weighed = repeated.df.alias("_c").join(numbers.alias("_n"), reduce(and_, [F.col(f"_c.{c}").eqNullSafe(F.col(f"_n.{c}")) for c in on]))
+    numbered = store(weighed.select(*[F.col(f"_c.{c}").alias(c) for c in on], "n_rows", "_group"), "duplicates")
+    joined = attach(keyed, numbered, on, "n_rows", null_safe=on)
     profile = F.concat_ws(" | ", *[F.concat(F.lit(f"{k}:"), F.coalesce(F.col(norm[k]).cast("string"), F.lit(""))) for k in keys])
-    numbered = store(
-        ranked.select(
-            *by,
-            *order,
-            "n_rows",
-            profile.alias("_profile"),
-            F.format_string("DUP_%04d", F.col("before") + 1).alias("_group"),
-        ),
-        "duplicates",
-    )
-    if fail and numbered.rows:
-        raise DuplicatesFound(f"duplicates found on {list(keys)}")
-    keyed = df.withColumns({norm[k]: _key(df, k, case_sensitive) for k in keys})
-    joined = attach(keyed, numbered, [*by, *order], "n_rows", null_safe=[*by, *order])
     return joined.select(
         *df.columns,
         F.col("_group").isNotNull().alias("is_duplicate"),
-        F.coalesce("_profile", F.lit("")).alias("duplicate_profile"),
+        F.when(F.col("_group").isNotNull(), profile).otherwise(F.lit("")).alias("duplicate_profile"),
         F.coalesce("_group", F.lit("")).alias("duplicate_group_id"),
     )
 

@@ -178,15 +178,16 @@ def unique_changes(entry_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def top_changes(
-    entry_rows: DataFrame, direction: str, by: Sequence[str] = (), n: int = TOP_CHANGES
+    entry_rows: DataFrame, direction: str, by: Sequence[str] = (), n: int = TOP_CHANGES, changes: DataFrame | None = None
 ) -> DataFrame:
     """The ``n`` largest increases or decreases with total score and category.
 
-    Ties are broken by name and field.
+    Ties are broken by name and field. ``changes`` are the ``unique_changes``,
+    if they are there already.
     """
     delta = F.col("paper_change")
     wanted, order = {"increase": (delta > 0, delta.desc()), "decrease": (delta < 0, delta.asc())}[direction]
-    ranked = unique_changes(entry_rows, by).filter(wanted)
+    ranked = (unique_changes(entry_rows, by) if changes is None else changes).filter(wanted)
     if by:
         top = first_rows(ranked, by, [order, "name", "subject"], n)
     else:

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import compare as C
 from tidemark.operators import marts as M
+from tidemark.operators.scale import first_rows
 from tidemark.operators.stats import with_outliers
 from tidemark.session import materialise
 from tidemark.sources import reports
@@ -88,15 +90,18 @@ def dashboard(compared: DataFrame, summary: DataFrame, roles: M.Roles) -> dict[s
     """The frames behind each view; entries are stored, as all build on them."""
     by = roles.by
     rows = materialise(M.entries(compared, roles), "entries")
-    cross = M.cross_field(rows, by)
+    cross = materialise(M.cross_field(rows, by), "cross")
+    moved = materialise(M.unique_changes(rows, by), "changes")
+    increases = materialise(M.top_changes(rows, "increase", by, changes=moved), "increases")
+    leading = [F.desc("paper_change"), "name", "subject"]
     return {
         "summary": M.executive_summary(summary, by=by),
-        "summary_top": M.top_changes(rows, "increase", by, M.TOP_SUMMARY),
+        "summary_top": first_rows(increases, by, leading, M.TOP_SUMMARY) if by else increases.orderBy(*leading).limit(M.TOP_SUMMARY),
         "entries": rows,
         "entities": M.entities(rows, by),
         "cross_field": cross,
         "cross_field_counts": M.cross_field_counts(cross, by),
-        "top_increases": M.top_changes(rows, "increase", by),
-        "top_decreases": M.top_changes(rows, "decrease", by),
+        "top_increases": increases,
+        "top_decreases": M.top_changes(rows, "decrease", by, changes=moved),
         "subjects": M.subject_growth(summary, by=by),
     }
