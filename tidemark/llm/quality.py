@@ -35,13 +35,14 @@ class Rule:
     failed: str
 
 
-# Limits in the manner of published web-text filters, as whole-number arithmetic.
+# Limits in the manner of published web-text filters, as whole-number arithmetic. Half of the lines, not less, must
+# repeat: a document of three lines with one line as header and footer is a clean one.
 RULES = (
     Rule("few_words", "n_words < 50"),
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule("many_words", "n_words > 100000"),
     Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("short_words", "word_chars < 3 * n_words"),
     Rule("long_words", "word_chars > 10 * n_words"),
 )
