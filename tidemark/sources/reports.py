@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import comparison_id, dataset_type, display_subject, snake_case
-from tidemark.operators.compare import CHANGED, ONLY_1, ONLY_2, UNCHANGED
+from tidemark.operators.compare import CHANGED, ONLY_1, ONLY_2, UNCHANGED, UNCLASSIFIED, UNNAMED
 from tidemark.sources.snapshots import decoded
 from tidemark.spec import CompareSpec
 
@@ -28,6 +28,8 @@ SECTIONS = {
     CHANGED: "researcher_changes",
     UNCHANGED: "researchers_unchanged",
 }
+# Sections of our own, so that no entity is left out of a report.
+WRITTEN = SECTIONS | {UNCLASSIFIED: "researchers_unclassified", UNNAMED: "rows_without_name"}
 REQUIRED = ("comparison_id", "summary_statistics", "researcher_changes")
 
 _VALUES = (
@@ -145,7 +147,7 @@ def document_entities(docs: DataFrame) -> DataFrame:
 def report_rows(compared: DataFrame, spec: CompareSpec, sheet: str = "sheet_type") -> DataFrame:
     """The classified entities with their comparison id and section."""
     section = F.lit(None).cast("string")
-    for status, name in SECTIONS.items():
+    for status, name in WRITTEN.items():
         section = F.when(F.col("status") == status, name).otherwise(section)
     subject = [c for c in spec.pair_by if c != sheet]
     ids = comparison_id(F.concat_ws("_", *subject), F.col(sheet)) if sheet in spec.pair_by else F.concat_ws("_", *subject)

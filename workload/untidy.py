@@ -294,6 +294,35 @@ def report_rejects(spark, sf_dir):
     return out.groupBy(F.regexp_extract("source_file", "([^/=]+)$", 1).alias("source"), "missing").agg(F.count(F.lit(1)).alias("documents"))
 
 
+@query(
+    f"""WITH {HOLES_SQL},
+one AS (SELECT name, subject, period, sum(price) AS price FROM holes WHERE name IS NOT NULL GROUP BY ALL),
+cmp AS (SELECT coalesce(a.subject, b.subject) AS subject, CASE WHEN b.name IS NULL THEN 'researchers_only_in_dataset_1' WHEN a.name IS NULL THEN 'researchers_only_in_dataset_2'
+    WHEN a.price != b.price THEN 'researcher_changes' WHEN a.price = b.price THEN 'researchers_unchanged' ELSE 'researchers_unclassified' END AS section
+  FROM (SELECT * FROM one WHERE period = 'p1') a FULL OUTER JOIN (SELECT * FROM one WHERE period = 'p2') b ON a.name = b.name AND a.subject = b.subject)
+SELECT section, count(*) AS n, false AS without_name FROM cmp GROUP BY section UNION ALL SELECT 'rows_without_name', count(DISTINCT subject), true FROM holes WHERE name IS NULL"""
+)
+def report_sections(spark, sf_dir):
+    """Every classified row is in a section, also unclassified and unnamed ones."""
+    spec = CompareSpec((Metric("price"),), PERIODS, pair_by=("subject",), assume_unique=True)
+    root = scratch_path(spark, "sections")
+    compared = C.compare(_one_per_name(holes(spark, sf_dir)), spec)
+    reports.write_entities(compared, spec, root)
+    rows = reports.read_entities(spark, root, "name STRING, status STRING")
+    return rows.groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("name").isNull()).alias("without_name"))
+
+
+@query(
+    f"""WITH {HOLES_SQL}, kept AS (SELECT DISTINCT subject, period FROM holes WHERE NOT (subject = '5-LOW' AND period = 'p2') AND NOT (subject = '1-URGENT' AND period = 'p1')),
+pairs AS (SELECT subject, count(*) AS n FROM kept GROUP BY subject)
+SELECT count(*) AS total_pairs, count(*) FILTER (WHERE n = 2) AS successful_comparisons, count(*) FILTER (WHERE n = 1) AS incomplete_pairs, 'one pair is late' AS error FROM pairs"""
+)
+def incomplete_pairs(spark, sf_dir):
+    rows = holes(spark, sf_dir).filter("NOT (subject = '5-LOW' AND period = 'p2') AND NOT (subject = '1-URGENT' AND period = 'p1')")
+    run = reports.run_document(C.pair_coverage(rows, RAW_SPEC), RAW_SPEC, ["one pair is late"], "2000-01-01")
+    return run.select("total_pairs", "successful_comparisons", "incomplete_pairs", F.col("errors")[0].alias("error"))
+
+
 # -- display ------------------------------------------------------------------------
 
 
