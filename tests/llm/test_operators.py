@@ -376,7 +376,7 @@ def test_counts_and_scores(spark, sf_dir, docs):
 
 
 def test_blocks_read_by_two_tasks(spark, sf_dir, monkeypatch):
-    """A block that asks twice is answered by key."""
+    """A block that asks twice gets one answer."""
     want = sorted(map(tuple, scoring.op10_lm_score(spark, sf_dir).collect()))
     ask = scoring._asked
 

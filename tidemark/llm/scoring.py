@@ -41,13 +41,13 @@ from tidemark.llm.registry import query
 from tidemark.llm.tokens import mix, word_hashes
 from tidemark.session import materialise
 
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 4096
 ROUNDS = 200
 PER_OCTAVE = 4  # of the probabilities the weights are learned from
 LEAST_WEIGHT = 1e-6
 _START, _END = (mix(np.array([n], np.uint64), 0xC0FFEE)[0] for n in (1, 2))
 _ASK = "kind int, part int, block string, keys binary, counts binary"
-_ANSWER = "kind int, part int, block string, keys binary, totals binary, tokens bigint, types bigint"
+_ANSWER = "kind int, part int, block string, totals binary, tokens bigint, types bigint"
 _COUNTED = "id bigint, no_id boolean, learn boolean, n_tokens bigint, n_known bigint, base_score double, tokens binary, contexts binary, pairs binary"
 
 
@@ -116,37 +116,30 @@ def _asked(parts: int):
 
 
 def _answered(rows: pd.DataFrame) -> pd.DataFrame:
-    """The totals of one hash range, for each request in the order of its keys."""
+    """The totals of one hash range for each block, in the order of the block's sorted keys.
+
+    A block that two tasks read asks twice; it gets one answer, for the keys of both.
+    """
     keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
     distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.concatenate([_unpacked(c) for c in rows["counts"]])
     total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, which, counts)
-    ends = np.cumsum([0] + [len(k) for k in keys])
-    kind = int(rows["kind"].iloc[0])
+    np.add.at(total, which, np.concatenate([_unpacked(c) for c in rows["counts"]]))
+    kind, part = int(rows["kind"].iloc[0]), int(rows["part"].iloc[0])
     words = total[distinct != mix(np.array([_START]), 1)[0]] if kind == 0 else total[:0]
-    twice = rows["block"].duplicated(keep=False)
-    first = np.arange(len(rows)) == 0
-    return pd.DataFrame(
-        {
-            "kind": rows["kind"], "part": rows["part"], "block": rows["block"],
-            # Only a block that two tasks read asks twice; its answers then name their keys.
-            "keys": [k if t else None for k, t in zip(rows["keys"], twice)],
-            "totals": [_packed(total[which[a:b]]) for a, b in zip(ends, ends[1:])],
-            "tokens": np.where(first, words.sum(), 0), "types": np.where(first, (words > 0).sum(), 0),
-        }
-    )
+    out = []
+    for block, at in rows.groupby("block").indices.items():
+        mine = np.unique(np.concatenate([keys[i] for i in at])) if len(at) > 1 else keys[at[0]]
+        sums = (0, 0) if out else (int(words.sum()), int((words > 0).sum()))
+        out.append((kind, part, block, _packed(total[np.searchsorted(distinct, mine)]), *sums))
+    return pd.DataFrame(out, columns=["kind", "part", "block", "totals", "tokens", "types"])
 
 
 def _totals(distinct: np.ndarray, answers: pd.DataFrame, parts: int) -> np.ndarray:
-    """The totals of sorted keys, put together from the answers of all parts."""
+    """The totals of a block's sorted keys, put together from the answers of all parts."""
     out = np.zeros(len(distinct), np.int64)
     cut = _bounds(distinct, parts)
-    for part, keys, totals in zip(answers["part"], answers["keys"], answers["totals"]):
-        if keys is None or keys is pd.NA:
-            out[cut[part] : cut[part + 1]] = _unpacked(totals)
-        else:
-            out[np.searchsorted(distinct, np.frombuffer(keys, np.uint64))] = _unpacked(totals)
+    for part, totals in zip(answers["part"], answers["totals"]):
+        out[cut[part] : cut[part + 1]] = _unpacked(totals)
     return out
 
 
@@ -285,7 +278,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", learn: str =
     )
     sums = answers.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = int(sums["n"] or 0), int(sums["v"] or 0)
-    both = rows.groupBy("block").cogroup(answers.select("block", "kind", "part", "keys", "totals").groupBy("block"))
+    both = rows.groupBy("block").cogroup(answers.select("block", "kind", "part", "totals").groupBy("block"))
     counted = materialise(both.applyInPandas(_counted(parts, tokens, types), _COUNTED), "counted")
     deleted = counted.filter("learn").select("tokens", "contexts", "pairs").mapInPandas(_deleted(tokens), "cell bigint, n bigint")
     # Cells are rounded probabilities: as many as there are grid points, however large the corpus.
