@@ -50,6 +50,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def pieces(batch: pd.DataFrame, text: str = "text", chars: int = 1 << 22) -> Iterator[pd.DataFrame]:
+    """A batch in runs of rows of about so many characters, which bounds what a task holds at a time."""
+    sizes = batch[text].str.len().fillna(0).to_numpy().astype(np.int64) + 1
+    part = (np.cumsum(sizes) - sizes) // chars
+    for a, b in zip(*((x := np.flatnonzero(np.diff(part, prepend=-1))), [*x[1:], len(batch)])):
+        yield batch.iloc[a:b]
+
+
 def streamed_groups(
     df: DataFrame, keys: Sequence[str], f: Callable[[pd.DataFrame], pd.DataFrame], schema: str, order: Sequence[str] = ()
 ) -> DataFrame:

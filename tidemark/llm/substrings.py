@@ -15,8 +15,8 @@ in a document with a smaller id become spans; spans of a document are merged.
 A window is compared by two independent 64-bit hashes (anchor and window) and
 its place relative to the anchor.
 
-Every batch first settles the repeats inside itself, so a passage that fills
-a third of the corpus sends one phrase per batch to its block. Blocks are
+Every piece of a batch first settles the repeats inside itself, so a passage
+that fills a third of the corpus sends one phrase per piece to its block. Blocks are
 shuffle partitions; phrases, not texts, travel.
 
 Defined cases: null text has no words; a text shorter than a window keeps all
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import joined, partitions, table
+from tidemark.llm.common import joined, partitions, pieces, table
 from tidemark.llm.registry import query
 from tidemark.llm.tokens import window_hashes, word_hashes
 from tidemark.session import store
@@ -43,6 +43,7 @@ from tidemark.session import store
 WINDOW = 50
 GRAM = 20
 NO_ID = (1 << 63) - 1
+PIECE = 1 << 23  # characters that are parsed at a time
 _PHRASE = "anchor bigint, id bigint, text_key bigint, low int, n int, known boolean, windows binary"
 _SPAN = "id bigint, text_key bigint, low int, n int"
 
@@ -88,7 +89,7 @@ def _smaller(keys: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
 
 def _parsed(window: int, gram: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, chars=PIECE)):
             row, low, n, anchor, hashes, first, offset = _phrases(batch["text"], window, gram)
             if not len(row):
                 continue
