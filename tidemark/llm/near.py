@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, joined, streamed_groups, table, whole, whole_groups
+from tidemark.llm.common import components, joined, pieces, streamed_groups, table, whole, whole_groups
 from tidemark.llm.registry import query
 from tidemark.llm.tokens import mix, window_hashes, word_hashes
 from tidemark.operators.scale import attach
@@ -99,7 +99,7 @@ _SKETCH = "id bigint, no_id boolean, text_key bigint, digest binary, signature b
 
 def _sketches(n: int, bands: int, rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             sets = shingles(batch["text"], n)
             full = [i for i, s in enumerate(sets) if len(s)]
             signature = [b""] * len(sets)
@@ -119,7 +119,7 @@ def _sketches(n: int, bands: int, rows: int):
                     digests[i] = np.array([mix(s, 1).sum(), mix(s, 2).sum()], np.uint64).tobytes()
             yield pd.DataFrame(
                 {
-                    "id": batch["id"], "no_id": batch["no_id"], "text_key": batch["text_key"],
+                    "id": batch["id"].to_numpy(), "no_id": batch["no_id"].to_numpy(), "text_key": batch["text_key"].to_numpy(),
                     "digest": digests, "signature": signature, "bands": banded,
                 }
             )
@@ -216,9 +216,9 @@ def _verified(threshold: float):
 
 def _grams(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             sets = shingles(batch["text"], n)
-            yield pd.DataFrame({"digest": batch["digest"], "grams": [s.tobytes() for s in sets]})
+            yield pd.DataFrame({"digest": batch["digest"].to_numpy(), "grams": [s.tobytes() for s in sets]})
 
     return run
 
