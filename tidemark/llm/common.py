@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import Stored, materialise
+from tidemark.session import Stored, materialise, store
 
 # Largest table that is sent to every executor, checked by measuring it.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -126,8 +126,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     def large_star(e: DataFrame) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        # Stored, so that a large one is joined by two plain shuffles, which the skew join can split.
+        least = store(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")), "least")
+        return joined(both, least, F.col("u") == F.col("w")).filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
     def small_star(e: DataFrame) -> DataFrame:
         least = e.groupBy("a").agg(F.min("b").alias("m"))
