@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import joined, partitions, pieces, table
 from tidemark.llm.registry import query
-from tidemark.llm.tokens import window_hashes, word_hashes
+from tidemark.llm.tokens import mix, window_hashes, word_hashes
 from tidemark.session import store
 
 WINDOW = 50
@@ -98,6 +98,8 @@ def _parsed(window: int, gram: int):
             total = np.concatenate([[np.uint64(0)], np.cumsum(hashes, dtype=np.uint64)])
             content = total[first + n] - total[first]
             known = _smaller([content, n, offset, anchor], ids)
+            # A known phrase is a span already; it goes anywhere, not to the block of what may be a frequent passage.
+            anchor = np.where(known, mix(ids.view(np.uint64) + low.astype(np.uint64)), anchor)
             yield pd.DataFrame(
                 {
                     "anchor": anchor.view(np.int64), "id": ids, "text_key": keys, "low": low.astype(np.int32), "n": n.astype(np.int32), "known": known,
