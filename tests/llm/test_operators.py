@@ -152,6 +152,34 @@ def test_index_insert_and_delete(spark):
     assert sorted((r["keep_id"], r["n"]) for r in index.live().collect()) == [(3, 2), (5, 1)]
 
 
+def test_index_keeps_large_and_null_ids(spark):
+    """Longs that a float cannot hold stay what they are beside null ids, also in later updates."""
+    big = (1 << 53) + 1
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "id bigint, text string").coalesce(1).select("id", exact.digest(F.col("text")).alias("digest"))
+
+    index = exact.DigestIndex.empty(spark, 10).insert(batch([(big, "a"), (big - 4, "a"), (None, "b")]))
+    assert sorted((r["keep_id"] or 0, r["n"]) for r in index.live().collect()) == [(0, 1), (big, 2)]
+    index = index.insert(batch([(None, "a"), (big + 2, "c"), (None, "b"), (7, "a")]))
+    assert sorted((r["keep_id"] or 0, r["n"]) for r in index.live().collect()) == [(0, 2), (big, 4), (big + 2, 1)]
+    docs = spark.createDataFrame([(big, "a"), (big - 4, "a"), (None, "b")], "doc_id bigint, text string").coalesce(1)
+    assert sorted(map(tuple, exact.deduplicate(docs).collect()), key=str) == [(big, "a"), (None, "b")]
+
+
+def test_index_grows_by_shards(spark, monkeypatch):
+    monkeypatch.setattr(exact, "SHARD_ROWS", 20)
+    rows = [(i, f"text {i % 900}") for i in range(1000)]
+    batches = [spark.createDataFrame(rows[a : a + 250], "id bigint, text string").select("id", exact.digest(F.col("text")).alias("digest")) for a in range(0, 1000, 250)]
+    index = exact.DigestIndex.empty(spark, 1)
+    first = index.shards
+    for b in batches:
+        index = index.insert(b)
+    assert index.shards > first
+    found = sorted((r["keep_id"], r["n"]) for r in index.delete(batches[0]).live().collect())
+    assert found == [(i, 1) for i in range(250, 1000)]
+
+
 # -- 3 ----------------------------------------------------------------------
 
 

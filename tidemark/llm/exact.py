@@ -11,10 +11,14 @@ a count off a digest and removes it, with its fingerprint, at zero.
 
 Copies are summed per task before they are dealt out, so a text that fills a
 third of the table sends one row per task. A shard gets a bounded number of
-digests, since their number follows the table's.
+digests: an index that has outgrown its shards deals the stored digests out to
+more of them and fills their filters again.
+
+Ids are longs with a flag for null on all paths; a column with nulls would pass
+through pandas as floats, which do not hold every long.
 
 Defined cases: null text counts as empty, so empty and null texts are copies.
-A null id is smaller than any other. Repeated rows (same id and text) are
+Texts of any length travel as digests only. A null id is smaller than any other. Repeated rows (same id and text) are
 copies of each other: all have ``kept``, and ``deduplicate`` leaves one, the
 smallest by its other columns. An empty table gives no rows. Other columns are
 carried by ``deduplicate`` under any name.
@@ -22,7 +26,6 @@ carried by ``deduplicate`` under any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +41,7 @@ from tidemark.session import Stored, materialise, store
 SLOTS = 4
 KICKS = 200
 SHARD_ROWS = 200_000
-_STATE = "shard int, digest binary, keep_id bigint, n bigint, buckets int, fingerprints binary"
+_STATE = "shard int, digest binary, keep_id bigint, no_id boolean, n bigint, buckets int, fingerprints binary"
 
 
 class CuckooFilter:
@@ -142,50 +145,54 @@ class Shard:
             self.bucket(d)[d] = e
 
     def rows(self, shard: int) -> pd.DataFrame:
+        """The live digests, and one row without a digest for the filter."""
         live = [(d, e[0], e[1]) for b in self.content.values() for d, e in b.items()]
-        out = pd.DataFrame(
+        return pd.DataFrame(
             {
                 "shard": shard,
                 "digest": [d for d, _, _ in live] + [None],
-                "keep_id": pd.array([k for _, k, _ in live] + [None], "Int64"),
-                "n": pd.array([n for _, _, n in live] + [None], "Int64"),
-                "buckets": pd.array([None] * len(live) + [self.filter.buckets], "Int32"),
+                "keep_id": np.array([k or 0 for _, k, _ in live] + [0], np.int64),
+                "no_id": [k is None for _, k, _ in live] + [True],
+                "n": np.array([n for _, _, n in live] + [0], np.int64),
+                "buckets": np.array([0] * len(live) + [self.filter.buckets], np.int32),
                 "fingerprints": [None] * len(live) + [self.filter.packed()],
             }
         )
-        return out
+
+
+def _entries(rows: pd.DataFrame) -> list[tuple[bytes, int | None, int]]:
+    ids = [None if no else int(k) for k, no in zip(rows["keep_id"], rows["no_id"])]
+    return list(zip(rows["digest"], ids, rows["n"].astype(int)))
 
 
 def _load(shard_rows: pd.DataFrame) -> Shard:
+    """A shard as it was stored; without a stored filter, one that is filled from the digests."""
     head = shard_rows[shard_rows["digest"].isna()]
-    if not len(head):
-        return Shard()
-    shard = Shard(int(head["buckets"].iloc[0]), head["fingerprints"].iloc[0])
-    live = shard_rows[shard_rows["digest"].notna()]
-    for d, k, n in zip(live["digest"], live["keep_id"], live["n"]):
-        shard.bucket(d)[d] = [None if pd.isna(k) else int(k), int(n)]
+    live = _entries(shard_rows[shard_rows["digest"].notna()])
+    if len(head):
+        shard = Shard(int(head["buckets"].iloc[0]), head["fingerprints"].iloc[0])
+        for d, k, n in live:
+            shard.bucket(d)[d] = [k, n]
+    else:
+        shard = Shard()
+        for d, k, n in live:
+            shard.insert(d, k, n)
     return shard
 
 
 def _updated(insert: bool):
     def run(old: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         shard = _load(old)
-        for d, k, n in zip(batch["digest"], batch["keep_id"], batch["n"]):
+        for d, k, n in _entries(batch):
             if insert:
-                shard.insert(d, None if pd.isna(k) else int(k), int(n))
+                shard.insert(d, k, n)
             else:
-                shard.delete(d, int(n))
+                shard.delete(d, n)
         return shard.rows(int((old if len(old) else batch)["shard"].iloc[0]))
 
     return run
 
 
-def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per digest and batch of the task."""
-    for batch in batches:
-        yield batch.groupby("digest", sort=False).agg(keep_id=("id", "max"), n=("id", "size")).reset_index()
-
-
 @dataclass(frozen=True)
 class DigestIndex:
     """Live digests with the largest id seen and the number of copies, in shards.
@@ -199,23 +206,39 @@ class DigestIndex:
 
     @staticmethod
     def empty(spark: SparkSession, rows: int) -> DigestIndex:
-        """An index for about so many digests; more than that only makes shards larger."""
-        shards = max(2 * partitions(spark), -(-rows // SHARD_ROWS))
-        return DigestIndex(spark.createDataFrame([], _STATE), shards)
+        """An index for about so many digests; with more it grows."""
+        return DigestIndex(spark.createDataFrame([], _STATE), DigestIndex._shards(spark, rows))
+
+    @staticmethod
+    def _shards(spark: SparkSession, rows: int) -> int:
+        return max(2 * partitions(spark), -(-rows // SHARD_ROWS))
 
     def _dealt(self, batch: DataFrame) -> DataFrame:
-        summed = batch.select("digest", F.col("id").cast("long").alias("id")).mapInPandas(
-            _summed, "digest binary, keep_id bigint, n bigint"
-        )
-        return summed.withColumn("shard", self._shard())
+        """One row per digest, summed in each task before the shuffle."""
+        number = F.col("id").cast("long")
+        summed = batch.groupBy("digest").agg(F.max(number).alias("most"), F.count(F.lit(1)).alias("n"))
+        return summed.select(
+            self._shard(), "digest", F.coalesce("most", F.lit(0).cast("long")).alias("keep_id"),
+            F.col("most").isNull().alias("no_id"), "n",
+        )
 
     def _shard(self) -> Column:
-        return F.pmod(F.xxhash64("digest"), F.lit(self.shards)).cast("int")
+        return F.pmod(F.xxhash64("digest"), F.lit(self.shards)).cast("int").alias("shard")
 
     def _update(self, batch: DataFrame, insert: bool) -> DigestIndex:
         """``batch`` has digest (32 bytes) and id."""
         both = self.state.groupBy("shard").cogroup(self._dealt(batch).groupBy("shard"))
-        return DigestIndex(materialise(both.applyInPandas(_updated(insert), _STATE), "digests"), self.shards)
+        stored = store(both.applyInPandas(_updated(insert), _STATE), "digests")
+        return DigestIndex(stored.df, self.shards)._grown(stored.rows)
+
+    def _grown(self, rows: int) -> DigestIndex:
+        """The same digests in more shards, if these have become too large."""
+        if rows <= 2 * self.shards * SHARD_ROWS:
+            return self
+        wider = DigestIndex(self.state, self._shards(self.state.sparkSession, rows))
+        live = self.state.filter(F.col("digest").isNotNull()).withColumn("shard", wider._shard())
+        # Without their filters: a shard fills a new one from its digests.
+        return DigestIndex(materialise(live.select(self.state.columns), "digests"), wider.shards)
 
     def insert(self, batch: DataFrame) -> DigestIndex:
         return self._update(batch, True)
@@ -226,7 +249,8 @@ class DigestIndex:
 
     def live(self) -> DataFrame:
         """digest, keep_id, n of every live digest."""
-        return self.state.filter(F.col("digest").isNotNull()).select("digest", "keep_id", "n")
+        keep = F.when(~F.col("no_id"), F.col("keep_id")).alias("keep_id")
+        return self.state.filter(F.col("digest").isNotNull()).select("digest", keep, "n")
 
 
 def digest(text: Column) -> Column:
