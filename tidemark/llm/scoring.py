@@ -8,16 +8,17 @@ has its own weights. The weights are learned by expectation-maximisation on
 deleted counts, where every training token is predicted from counts without
 itself, so all the training data are held out in turn.
 
-Counts are exact and cover the whole corpus. Texts are worked on in blocks of
-rows. A block asks for each of its distinct n-grams once, by a 64-bit hash,
-and names how often it has it in training; requests are dealt out by hash
-range, summed there, and answered with the totals. So what travels is the
-distinct n-grams of each block, and no table of counts is ever held whole.
-The texts are shuffled once, to meet the answers to their block.
-
-Tokens are the words with A to Z in lower case, then one end. The counts of
-all tokens are written in packed form, so that learning the weights and
-scoring read them without counting again.
+Counts are exact and cover the whole corpus. The corpus is cut into blocks of
+at most ``BLOCK_TOKENS`` tokens, whatever the length of its texts: a long text
+goes over several blocks, and its parts are added up at the end. A block asks
+for each of its distinct n-grams once, by a 64-bit hash, and names how often it
+has it in training; requests are dealt out by hash range, summed there, and
+answered with the totals. So what travels is the distinct n-grams of each
+block, and no table of counts is ever held whole. The texts are read once; what
+they are made of is written as numbers of the n-grams in their block, which are
+then replaced by the totals.
+
+Tokens are the words with A to Z in lower case, then one end.
 
 Defined cases: null counts as empty, which is one token, the end. Without
 training rows every estimate but one over the vocabulary is 0. A null id
@@ -32,23 +33,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, table, whole_groups
+from tidemark.llm.common import partitions, pieces, table, whole_groups
 from tidemark.llm.registry import query
 from tidemark.llm.tokens import mix, word_hashes
 from tidemark.session import materialise
 
-BLOCK_ROWS = 4096
+BLOCK_TOKENS = 1 << 18
+PIECE = 1 << 20  # characters that are cut into words at a time
 ROUNDS = 200
-PER_OCTAVE = 4  # of the probabilities the weights are learned from
+PER_OCTAVE = 4  # cells of probabilities the weights are learned from
 LEAST_WEIGHT = 1e-6
+# Of pair, token and vocabulary, for buckets without training tokens. After a context never seen no pair is known.
+_DEFAULT, _UNSEEN = (0.4, 0.4, 0.2), (0.0, 2 / 3, 1 / 3)
 _START, _END = (mix(np.array([n], np.uint64), 0xC0FFEE)[0] for n in (1, 2))
-_ASK = "kind int, part int, block string, keys binary, counts binary"
+# kind 0: tokens asked for, 1: pairs, 2: the parts of texts in a block
+_ASK = "kind int, part int, block string, keys binary, counts binary, docs binary, tokens binary, before binary, pairs binary"
 _ANSWER = "kind int, part int, block string, totals binary, tokens bigint, types bigint"
-_COUNTED = "id bigint, no_id boolean, learn boolean, n_tokens bigint, n_known bigint, base_score double, tokens binary, contexts binary, pairs binary"
+_COUNTED = "docs binary, tokens binary, contexts binary, pairs binary"
+_PART = "id bigint, no_id boolean, learn boolean, row bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -74,6 +79,10 @@ def _ngrams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return mix(token, 1), mix(before, 1), mix(mix(before, 2) + token, 3), places
 
 
+# Of the part of a text in a block: row, id, no_id, learn, number of tokens.
+_FIELDS = 5
+
+
 def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
     """Where the hash range of each part starts in sorted keys, and the end."""
     limits = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
@@ -81,104 +90,82 @@ def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _asked(parts: int):
-    def ask(block: str, held: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(held, ignore_index=True)
-        token, _, pair, places = _ngrams(rows["text"])
-        learn = np.repeat(rows["learn"].to_numpy(bool), np.diff(places))
+    def ask(block: str, docs: np.ndarray, token: np.ndarray, before: np.ndarray, pair: np.ndarray) -> pd.DataFrame:
+        learn = np.repeat(docs[:, 3], docs[:, 4]).astype(bool)
+        first = np.cumsum(docs[:, 4]) - docs[:, 4]
+        # What stands before a token is the token before, but for the first of a part; the start is seen once per text.
+        head = before[first]
+        starts = int((docs[:, 3].astype(bool) & (head == _START_KEY)).sum())
         out = []
-        for kind, keys in ((0, token), (1, pair)):
+        numbers = []
+        for kind, keys in ((0, np.concatenate([token, head, _START_KEY[None]])), (1, pair)):
             distinct, which = np.unique(keys, return_inverse=True)
-            n = np.bincount(which[learn], minlength=len(distinct))
-            if kind == 0:  # the start is a context, seen once per text
-                distinct = np.append(distinct, mix(np.array([_START]), 1))
-                n = np.append(n, int(rows["learn"].sum()))
-                order = np.argsort(distinct)
-                distinct, n = distinct[order], n[order]
+            n = np.bincount(which[: len(token)][learn], minlength=len(distinct))
+            if kind == 0:
+                n[which[-1]] += starts
             cut = _bounds(distinct, parts)
             out += [
                 (kind, p, block, distinct[a:b].tobytes(), _packed(n[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a
             ]
-        return pd.DataFrame(out, columns=["kind", "part", "block", "keys", "counts"])
+            numbers.append(which)
+        held = (docs, numbers[0][: len(token)], numbers[0][len(token) : -1], numbers[1])
+        out.append((2, 0, block, None, None, *(_packed(x.ravel()) for x in held)))
+        return pd.DataFrame([(*x, *[None] * (9 - len(x))) for x in out], columns=[c.split()[0] for c in _ASK.split(", ")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, held = None, []
-        for batch in batches:
-            for name, rows in batch.groupby("block", sort=False):
-                if name != block and held:
-                    yield ask(block, held)
-                    held = []
-                block = name
-                held.append(rows)
-        if held:
-            yield ask(block, held)
+        for rows in (p for b in batches for p in pieces(b, chars=PIECE)):
+            token, before, pair, places = _ngrams(rows["text"])
+            own = rows[["row", "id", "no_id", "learn"]].to_numpy(np.int64)
+            for a in range(0, len(token), BLOCK_TOKENS):
+                b = min(a + BLOCK_TOKENS, len(token))
+                d, e = np.searchsorted(places, a, "right") - 1, np.searchsorted(places, b)
+                sizes = np.diff(np.clip(places[d : e + 1], a, b))
+                docs = np.column_stack([own[d:e], sizes])
+                yield ask(f"{own[0, 0]}:{a}", docs, token[a:b], before[a:b], pair[a:b])
 
     return run
 
 
-def _answered(rows: pd.DataFrame) -> pd.DataFrame:
-    """The totals of one hash range for each block, in the order of the block's sorted keys.
+_START_KEY = mix(np.array([_START], np.uint64), 1)[0]
 
-    A block that two tasks read asks twice; it gets one answer, for the keys of both.
-    """
+
+def _answered(rows: pd.DataFrame) -> pd.DataFrame:
+    """The totals of one hash range for each block, in the order of the block's sorted keys."""
     keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
     distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, which, np.concatenate([_unpacked(c) for c in rows["counts"]]))
+    total = np.bincount(which, np.concatenate([_unpacked(c) for c in rows["counts"]]).astype(np.float64))
+    total = np.rint(total).astype(np.int64)
     kind, part = int(rows["kind"].iloc[0]), int(rows["part"].iloc[0])
-    words = total[distinct != mix(np.array([_START]), 1)[0]] if kind == 0 else total[:0]
+    words = total[distinct != _START_KEY] if kind == 0 else total[:0]
     out = []
-    for block, at in rows.groupby("block").indices.items():
-        mine = np.unique(np.concatenate([keys[i] for i in at])) if len(at) > 1 else keys[at[0]]
+    at = 0
+    for block, k in zip(rows["block"], keys):
         sums = (0, 0) if out else (int(words.sum()), int((words > 0).sum()))
-        out.append((kind, part, block, _packed(total[np.searchsorted(distinct, mine)]), *sums))
+        out.append((kind, part, block, _packed(total[which[at : at + len(k)]]), *sums))
+        at += len(k)
     return pd.DataFrame(out, columns=["kind", "part", "block", "totals", "tokens", "types"])
 
 
-def _totals(distinct: np.ndarray, answers: pd.DataFrame, parts: int) -> np.ndarray:
-    """The totals of a block's sorted keys, put together from the answers of all parts."""
-    out = np.zeros(len(distinct), np.int64)
-    cut = _bounds(distinct, parts)
-    for part, totals in zip(answers["part"], answers["totals"]):
-        out[cut[part] : cut[part + 1]] = _unpacked(totals)
-    return out
-
-
-def _counted(parts: int, tokens: int, types: int):
-    def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows):
-            return pd.DataFrame({c.split()[0]: [] for c in _COUNTED.split(", ")})
-        token, before, pair, places = _ngrams(rows["text"])
-        kind = answers["kind"].to_numpy()
-        start = mix(np.array([_START]), 1)
-        distinct = np.unique(np.concatenate([token, start]))
-        total = _totals(distinct, answers[kind == 0], parts)
-        c1, context = total[np.searchsorted(distinct, token)], total[np.searchsorted(distinct, before)]
-        distinct, which = np.unique(pair, return_inverse=True)
-        c2 = _totals(distinct, answers[kind == 1], parts)[which]
-        base = np.log10((c1 + 0.5) / (tokens + 0.5 * (types + 1)))
-        cuts = list(zip(places, places[1:]))
-        return pd.DataFrame(
-            {
-                "id": rows["id"].to_numpy(), "no_id": rows["no_id"].to_numpy(), "learn": rows["learn"].to_numpy(),
-                "n_tokens": np.diff(places), "n_known": np.add.reduceat((c1 > 0).astype(np.int64), places[:-1]),
-                "base_score": np.add.reduceat(base, places[:-1]),
-                "tokens": [_packed(c1[a:b]) for a, b in cuts],
-                # What stands before a token is the token before, but for the first.
-                "contexts": [_packed(context[a : a + 1]) for a, _ in cuts],
-                "pairs": [_packed(c2[a:b]) for a, b in cuts],
-            }
-        )
+def _counted(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """The parts of texts in a block with the totals of their n-grams."""
+    if not len(rows):
+        return pd.DataFrame({c.split()[0]: [] for c in _COUNTED.split(", ")})
+    answers = answers.sort_values("part")
+    kind = answers["kind"].to_numpy()
+    c1, c2 = (np.concatenate([_unpacked(t) for t in answers["totals"][kind == k]]) for k in (0, 1))
+    block = rows.iloc[0]
+    found = (c1[_unpacked(block["tokens"])], c1[_unpacked(block["before"])], c2[_unpacked(block["pairs"])])
+    return pd.DataFrame([(block["docs"], *map(_packed, found))], columns=[c.split()[0] for c in _COUNTED.split(", ")])
 
-    return run
 
-
-def _triples(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of tokens, of their contexts and of pairs over several documents, and where each starts."""
-    c1 = [_unpacked(t) for t in rows["tokens"]]
-    context = [np.concatenate([_unpacked(f), c[:-1]]) for f, c in zip(rows["contexts"], c1)]
-    c2 = [_unpacked(p) for p in rows["pairs"]]
-    starts = np.cumsum([0] + [len(c) for c in c1[:-1]])
-    return np.concatenate(c1), np.concatenate(context), np.concatenate(c2), starts
+def _triples(block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of texts, and the counts of tokens, of their contexts and of pairs."""
+    docs = _unpacked(block.docs).reshape(-1, _FIELDS)
+    c1, c2 = _unpacked(block.tokens), _unpacked(block.pairs)
+    context = np.empty_like(c1)
+    context[1:] = c1[:-1]
+    context[np.cumsum(docs[:, 4]) - docs[:, 4]] = _unpacked(block.contexts)
+    return docs, c1, context, c2
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -190,34 +177,36 @@ _NONE = -10_000
 
 
 def _deleted(tokens: int):
-    """How often each (bucket, pair probability, token probability) occurs with the token itself taken out."""
+    """How often each (bucket, pair probability, token probability) occurs with the token itself taken out.
+
+    Probabilities fall into cells of a quarter of an octave; a cell has their sums besides.
+    """
 
     def log(share: np.ndarray) -> np.ndarray:
         seen = share > 0
         return np.where(seen, np.round(np.log2(np.where(seen, share, 1)) * PER_OCTAVE), _NONE).astype(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            c1, context, c2, _ = _triples(batch)
-            context = context - 1
-            p2 = log(np.where(context > 0, (c2 - 1) / np.maximum(context, 1), 0))
-            p1 = log((c1 - 1) / max(tokens - 1, 1))
-            cell = (bucket_of(context).astype(np.int64) << 40) + ((p2 - _NONE) << 20) + (p1 - _NONE)
-            cells, n = np.unique(cell, return_counts=True)
-            yield pd.DataFrame({"cell": cells, "n": n})
+        for block in (x for b in batches for x in b.itertuples()):
+            docs, c1, context, c2 = _triples(block)
+            learn = np.repeat(docs[:, 3], docs[:, 4]).astype(bool)
+            c1, context, c2 = c1[learn], context[learn] - 1, c2[learn]
+            p2 = np.where(context > 0, (c2 - 1) / np.maximum(context, 1), 0)
+            p1 = (c1 - 1) / max(tokens - 1, 1)
+            cell = (bucket_of(context).astype(np.int64) << 40) + ((log(p2) - _NONE) << 20) + (log(p1) - _NONE)
+            cells, which = np.unique(cell, return_inverse=True)
+            yield pd.DataFrame({"cell": cells, "n": np.bincount(which, minlength=len(cells)), "p2": np.bincount(which, p2, len(cells)), "p1": np.bincount(which, p1, len(cells))})
 
     return run
 
 
-def learn_weights(cells: list[tuple[int, int]], types: int) -> np.ndarray:
-    """Weights of pair, token and vocabulary for each bucket, by expectation-maximisation."""
-    weights = np.tile([0.4, 0.4, 0.2], (65, 1))
-    code, n = (np.array(x, np.int64) for x in (zip(*cells) if cells else ((), ())))
-    bucket, p2, p1 = code >> 40, ((code >> 20) & 0xFFFFF) + _NONE, (code & 0xFFFFF) + _NONE
-    exp = lambda p: np.where(p > _NONE, np.exp2(np.maximum(p, -4000) / PER_OCTAVE), 0.0)
-    p = np.stack([exp(p2), exp(p1), np.full(len(n), 1 / (types + 1))], axis=1)
+def learn_weights(cells: list[tuple[int, int, float, float]], types: int) -> np.ndarray:
+    """Weights of pair, token and vocabulary for each bucket, by expectation-maximisation on the means of cells."""
+    weights = np.tile(_DEFAULT, (65, 1))
+    weights[0] = _UNSEEN
+    code, n, p2, p1 = (np.array(x) for x in (zip(*cells) if cells else ((), (), (), ())))
+    bucket = code.astype(np.int64) >> 40
+    p = np.stack([p2 / np.maximum(n, 1), p1 / np.maximum(n, 1), np.full(len(n), 1 / (types + 1))], axis=1)
     for b in np.unique(bucket):
         mine, count = p[bucket == b], n[bucket == b][:, None]
         w = weights[b]
@@ -237,58 +226,52 @@ def learn_weights(cells: list[tuple[int, int]], types: int) -> np.ndarray:
 
 def _scored(weights: np.ndarray, tokens: int, types: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            c1, context, c2, starts = _triples(batch)
+        for block in (x for b in batches for x in b.itertuples()):
+            docs, c1, context, c2 = _triples(block)
+            first = np.cumsum(docs[:, 4]) - docs[:, 4]
             w = weights[bucket_of(context)]
             p = w[:, 0] * (c2 / np.maximum(context, 1)) + w[:, 1] * (c1 / max(tokens, 1)) + w[:, 2] / (types + 1)
-            out = batch[["id", "no_id", "learn", "n_tokens", "n_known", "base_score"]].copy()
-            out["score"] = np.add.reduceat(np.log10(p), starts)
-            yield out
+            yield pd.DataFrame(
+                {
+                    "id": docs[:, 1], "no_id": docs[:, 2].astype(bool), "learn": docs[:, 3].astype(bool), "row": docs[:, 0], "n_tokens": docs[:, 4],
+                    "n_known": np.add.reduceat((c1 > 0).astype(np.int64), first),
+                    "base_score": np.add.reduceat(np.log10((c1 + 0.5) / (tokens + 0.5 * (types + 1))), first),
+                    "score": np.add.reduceat(np.log10(p), first),
+                }
+            )
 
     return run
 
 
-def _blocked(docs: DataFrame, columns: list[Column]) -> DataFrame:
-    """``columns`` with the block of each row, the same whenever it is read: its file and place there."""
-    place = F.floor(F.col("_metadata.row_index") / BLOCK_ROWS).cast("string")
-    block = F.concat_ws(":", F.col("_metadata.file_path"), place).alias("block")
-    try:
-        return docs.select(block, *columns)
-    except AnalysisException:  # not a table of files
-        return materialise(docs.select(*columns), "documents").select(block, "*")
-
-
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", learn: str = "learn") -> DataFrame:
     """id, learn, n_tokens, n_known, train_tokens, base_score and score (log10) of every row; ``learn`` marks training rows."""
     spark = docs.sparkSession
     parts = 4 * partitions(spark)
     number = F.col(f"`{id}`").cast("long")
-    columns = [
-        F.coalesce(number, F.lit(0).cast("long")).alias("id"), number.isNull().alias("no_id"),
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.coalesce(number, F.lit(0).cast("long")).alias("id"), number.isNull().alias("no_id"),
         F.coalesce(F.col(f"`{learn}`"), F.lit(False)).alias("learn"), F.col(f"`{text}`").alias("text"),
-    ]
-    rows = _blocked(docs, columns)
-    asked = rows.select("block", "learn", "text").mapInPandas(_asked(parts), _ASK)
+    )
+    # Written once: rows keep the numbers and blocks they got, also if a task is run again.
+    asked = materialise(rows.mapInPandas(_asked(parts), _ASK), "asked")
     answers = materialise(
-        whole_groups(asked, ["kind", "part"], lambda x, first: pd.concat(
+        whole_groups(asked.filter("kind < 2").select("kind", "part", "block", "keys", "counts"), ["kind", "part"], lambda x, first: pd.concat(
             [_answered(x.iloc[a:b]) for a, b in zip(first, [*first[1:], len(x)])], ignore_index=True), _ANSWER),
         "answers",
     )
     sums = answers.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = int(sums["n"] or 0), int(sums["v"] or 0)
-    both = rows.groupBy("block").cogroup(answers.select("block", "kind", "part", "totals").groupBy("block"))
-    counted = materialise(both.applyInPandas(_counted(parts, tokens, types), _COUNTED), "counted")
-    deleted = counted.filter("learn").select("tokens", "contexts", "pairs").mapInPandas(_deleted(tokens), "cell bigint, n bigint")
+    blocks = asked.filter("kind = 2").select("block", "docs", "tokens", "before", "pairs")
+    both = blocks.groupBy("block").cogroup(answers.select("block", "kind", "part", "totals").groupBy("block"))
+    counted = materialise(both.applyInPandas(_counted, _COUNTED), "counted")
+    deleted = counted.mapInPandas(_deleted(tokens), "cell bigint, n bigint, p2 double, p1 double")
     # Cells are rounded probabilities: as many as there are grid points, however large the corpus.
-    cells = [(r["cell"], r["n"]) for r in deleted.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect()]
-    weights = learn_weights(cells, types)
-    scored = counted.mapInPandas(
-        _scored(weights, tokens, types),
-        "id bigint, no_id boolean, learn boolean, n_tokens bigint, n_known bigint, base_score double, score double",
-    )
-    return scored.select(
+    cells = deleted.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "p2", "p1")]).orderBy("cell")
+    weights = learn_weights([tuple(r) for r in cells.collect()], types)
+    scored = counted.mapInPandas(_scored(weights, tokens, types), _PART)
+    # The parts of a text, nearly always one, are added up.
+    summed = scored.groupBy("row", "id", "no_id", "learn").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    return summed.select(
         F.when(~F.col("no_id"), F.col("id")).alias("id"), "learn", "n_tokens", "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )
