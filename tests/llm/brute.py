@@ -14,6 +14,13 @@ def lower(text):
     return (text or "").translate({c: c + 32 for c in range(65, 91)})
 
 
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(lower(text))
+
+
 def grams(text, n=5):
     w = words(lower(text))
     return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, langid, mixing, near, packing, quality, scoring, substrings, urls
+from tidemark.llm import chat, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, urls
 
 DOCS = "doc_id bigint, text string, lang string, source string, n bigint, kept boolean, _row string"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -180,3 +180,18 @@ def test_chat(spark):
     assert len(by["3"]) == 2 and by["3"][0]["text"] == "t" * 200_000
     assert sum(r["action"] != "insert" for r in found) == len(rows)
     assert chat.repair(spark.createDataFrame([], schema)).isEmpty()
+
+
+def test_lexical(docs, spark):
+    items = spark.createDataFrame(
+        [(1, "p1 p2 w7, REPEATED"), (1, "p1"), (None, "some text"), (2, None), (3, ""), (4, " .,- "), (5, LONG)], "item_id bigint, text string"
+    )
+    found = sorted(((r["item"], r["rank"], r["id"]) for r in lexical.search(docs.withColumn("item", F.lit(1)), items, k=3).collect()), key=str)
+    if docs.isEmpty():
+        assert found == []
+    else:
+        # Equal texts tie, the smaller id first; a null id comes last.
+        assert [f for f in found if f[0] == 5] == [(5, 1, 4), (5, 2, 5)]
+        assert [f for f in found if f[0] == 1] == [(1, 1, 6), (1, 1, 6), (1, 2, 6), (1, 2, 6), (1, 3, 7), (1, 3, 7)]
+        assert (None, 1, None) in found and {f[0] for f in found} == {1, 5, None}
+    assert lexical.search(docs, items.limit(0)).isEmpty()

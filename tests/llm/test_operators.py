@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from check import TABLES, canonical_rows
 from tests.llm import brute
-from tidemark.llm import chat, common, exact, langid, mixing, near, packing, quality, scoring, substrings, tokens, urls
+from tidemark.llm import chat, common, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, tokens, urls
 from tidemark.llm.all import ORACLE, QUERIES
 
 
@@ -37,7 +37,7 @@ def test_sql(spark, sf_dir, name):
 
 def test_every_operator_has_a_query():
     numbers = {name.split("_")[0] for name in QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in (*range(1, 12),)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 
 
@@ -403,29 +403,96 @@ def test_counts_and_scores(spark, sf_dir, docs):
         assert r["score"] == pytest.approx(score, rel=0.001)
 
 
-def test_texts_over_several_blocks(spark, sf_dir, monkeypatch):
+def test_texts_over_several_blocks(spark, sf_dir):
     """Small blocks cut texts; the scores stay the same."""
-    want = {r["doc_id"]: r for r in scoring.op10_lm_score(spark, sf_dir).collect()}
-    ask = scoring._asked
-
-    def small(parts):
-        run = ask(parts)
-
-        def cut(batches):
-            scoring.BLOCK_TOKENS = 37
-            return run(batches)
-
-        return cut
-
-    monkeypatch.setattr(scoring, "_asked", small)
-    found = scoring.op10_lm_score(spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("learn", F.col("doc_id") % 3 != 0)
+    want = {r["id"]: r for r in scoring.score(docs).collect()}
+    found = scoring.score(docs.repartition(3), block_tokens=37).collect()
     assert len(found) == len(want)
     for r in found:
-        w = want[r["doc_id"]]
+        w = want[r["id"]]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (w["n_tokens"], w["n_known"], w["train_tokens"])
         assert (r["base_score"], r["score"]) == (pytest.approx(w["base_score"]), pytest.approx(w["score"]))
 
 
+# -- 11 ---------------------------------------------------------------------
+
+
+def _narrow(indexed, width):
+    """The same with fewer terms in the summaries, in tasks as well."""
+
+    def narrow(terms):
+        run = indexed(terms)
+
+        def set_first(batches):
+            lexical.WIDTH = width
+            yield from run(batches)
+            lexical.WIDTH = 512
+
+        return set_first
+
+    return narrow
+
+
+def _plain_search(docs, items, k):
+    """By scoring every document for every item."""
+    terms = [(i, Counter(brute.terms(t))) for i, t in docs]
+    n_docs, length = sum(bool(c) for _, c in terms), sum(c.total() for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    w = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df.items()}
+    out = []
+    for item, text in items:
+        asked = set(brute.terms(text))
+        found = []
+        for i, c in terms:
+            m = 100 - 50 + 50 * c.total() * n_docs // max(length, 1)
+            score = sum(w[t] * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m)) for t in asked if t in c)
+            if score:
+                found.append((-score, i is None, i))
+        out += [(item, r + 1, i, -s) for r, (s, _, i) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k])]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("pairs", "width"), [(1 << 20, 512), (300, 3)])
+def test_search_in_slices_is_exact(spark, sf_dir, docs, monkeypatch, pairs, width):
+    monkeypatch.setattr(lexical, "PAIRS", pairs)
+    monkeypatch.setattr(lexical, "_indexed", _narrow(lexical._indexed, width))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").limit(20)
+    rows = [(i, t) for i, t, _, _ in docs]
+    found = lexical.search(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), items, k=7)
+    assert sorted(map(tuple, found.collect()), key=str) == _plain_search(rows, [tuple(r)[:2] for r in items.select("item_id", "text").collect()], 7)
+
+
+def test_blocks_are_skipped_only_below_the_bound(spark):
+    """Two topics: the blocks of the other one are skipped, and no better document is missed."""
+    rng = random.Random(2)
+    vocabulary = [[f"{topic}{i}" for i in range(40)] + ["the", "of"] for topic in "ab"]
+    rows = [(i, " ".join(rng.choices(vocabulary[i % 2], k=rng.randrange(5, 60)))) for i in range(1500)]
+    items = [(i, " ".join(rng.choices(vocabulary[i % 2], k=6) + ["the", "a1", "b2"])) for i in range(12)]
+    hashes = [np.unique(tokens.word_hashes([t], lower=True, made_of=tokens.TERMS)[0]) for _, t in items]
+    index = lexical.Index.build(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), hashes)
+    plain = _plain_search(rows, items, 10)
+    opened = skipped = 0
+    for row in index.chunks.toPandas().itertuples():
+        chunk = lexical.Chunk(row)
+        for (item, _), mine in zip(items, index.terms.items):
+            weight, best = np.zeros(len(index.terms.weight), np.int64), lexical.Best(10, 0)
+            weight[mine] = index.terms.weight[mine]
+            a, b = lexical.walk(chunk, mine, weight, best)
+            opened, skipped = opened + a, skipped + b
+            every = chunk.scores(np.arange(len(chunk.ids)), weight)
+            for t in range(len(chunk.lists)):
+                lo, hi = chunk.list_ptr[t], chunk.list_ptr[t + 1]
+                later = np.where(np.arange(len(weight)) >= chunk.lists[t], weight, 0)
+                bound = chunk.bounds(lo, hi, later)
+                for block in range(lo, hi) if chunk.lists[t] in mine else ():
+                    docs = chunk.members[chunk.block_ptr[block] : chunk.block_ptr[block + 1]]
+                    assert bound[block - lo] >= chunk.scores(docs, later).max()
+            assert [(item, r + 1, int(i), int(s)) for r, (i, s) in enumerate(zip(best.id, best.score))] == [p for p in sorted(plain, key=lambda p: p[:2]) if p[0] == item]
+            assert int(best.score[-1]) == np.sort(every)[-10]
+    assert skipped > opened
+
+
 # -- pipeline ----------------------------------------------------------------
 
 

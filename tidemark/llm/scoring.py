@@ -14,9 +14,9 @@ goes over several blocks, and its parts are added up at the end. A block asks
 for each of its distinct n-grams once, by a 64-bit hash, and names how often it
 has it in training; requests are dealt out by hash range, summed there, and
 answered with the totals. So what travels is the distinct n-grams of each
-block, and no table of counts is ever held whole. The texts are read once; what
-they are made of is written as numbers of the n-grams in their block, which are
-then replaced by the totals.
+block, and no table of counts is ever held whole. The texts are read twice, to
+ask and to be written as numbers of the n-grams in their block, which then meet
+the totals. Both times the same files are cut alike; other inputs are written first.
 
 Tokens are the words with A to Z in lower case, then one end.
 
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,16 +42,16 @@ from tidemark.llm.registry import query
 from tidemark.llm.tokens import mix, word_hashes
 from tidemark.session import materialise
 
-BLOCK_TOKENS = 1 << 18
-PIECE = 1 << 20  # characters that are cut into words at a time
+BLOCK_TOKENS = 1 << 20
+PIECE = 6 << 20  # characters of short texts in a block
 ROUNDS = 200
 PER_OCTAVE = 4  # cells of probabilities the weights are learned from
 LEAST_WEIGHT = 1e-6
 # Of pair, token and vocabulary, for buckets without training tokens. After a context never seen no pair is known.
 _DEFAULT, _UNSEEN = (0.4, 0.4, 0.2), (0.0, 2 / 3, 1 / 3)
 _START, _END = (mix(np.array([n], np.uint64), 0xC0FFEE)[0] for n in (1, 2))
-# kind 0: tokens asked for, 1: pairs, 2: the parts of texts in a block
-_ASK = "kind int, part int, block string, keys binary, counts binary, docs binary, tokens binary, before binary, pairs binary"
+_ASK = "kind int, part int, block string, keys binary, counts binary"  # kind 0: tokens, 1: pairs
+_BLOCK = "block string, docs binary, tokens binary, before binary, pairs binary"
 _ANSWER = "kind int, part int, block string, totals binary, tokens bigint, types bigint"
 _COUNTED = "docs binary, tokens binary, contexts binary, pairs binary"
 _PART = "id bigint, no_id boolean, learn boolean, row bigint, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -64,6 +65,10 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), np.int64)
 
 
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+
+
 def _ngrams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys of the tokens, of what stands before each, of both together, and where each text starts and ends."""
     h, bounds = word_hashes(texts, lower=True)
@@ -79,8 +84,26 @@ def _ngrams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return mix(token, 1), mix(before, 1), mix(mix(before, 2) + token, 3), places
 
 
-# Of the part of a text in a block: row, id, no_id, learn, number of tokens.
-_FIELDS = 5
+_FIELDS = 5  # of the part of a text in a block: row, id, no_id, learn, number of tokens
+_START_KEY = mix(np.array([_START], np.uint64), 1)[0]
+
+
+def _blocks(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks with the parts of texts in them, their tokens, what stands before each part, and their pairs."""
+    for rows in (p for b in batches for p in pieces(b, chars=PIECE)):
+        token, before, pair, places = _ngrams(rows["text"])
+        own = rows[["row", "id", "no_id", "learn"]].to_numpy(np.int64)
+        for a in range(0, len(token), size):
+            b = min(a + size, len(token))
+            d, e = np.searchsorted(places, a, "right") - 1, np.searchsorted(places, b)
+            limits = np.clip(places[d : e + 1], a, b)
+            docs = np.column_stack([own[d:e], np.diff(limits)])
+            yield f"{own[0, 0]}:{a}", docs, token[a:b], before[limits[:-1]], pair[a:b]
+
+
+def _tokens_of(token: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """All tokens a block needs: its own, those before its parts, the start."""
+    return np.concatenate([token, before, _START_KEY[None]])
 
 
 def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -89,44 +112,33 @@ def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, limits), len(keys))
 
 
-def _asked(parts: int):
-    def ask(block: str, docs: np.ndarray, token: np.ndarray, before: np.ndarray, pair: np.ndarray) -> pd.DataFrame:
-        learn = np.repeat(docs[:, 3], docs[:, 4]).astype(bool)
-        first = np.cumsum(docs[:, 4]) - docs[:, 4]
-        # What stands before a token is the token before, but for the first of a part; the start is seen once per text.
-        head = before[first]
-        starts = int((docs[:, 3].astype(bool) & (head == _START_KEY)).sum())
-        out = []
-        numbers = []
-        for kind, keys in ((0, np.concatenate([token, head, _START_KEY[None]])), (1, pair)):
-            distinct, which = np.unique(keys, return_inverse=True)
-            n = np.bincount(which[: len(token)][learn], minlength=len(distinct))
-            if kind == 0:
-                n[which[-1]] += starts
-            cut = _bounds(distinct, parts)
-            out += [
-                (kind, p, block, distinct[a:b].tobytes(), _packed(n[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a
-            ]
-            numbers.append(which)
-        held = (docs, numbers[0][: len(token)], numbers[0][len(token) : -1], numbers[1])
-        out.append((2, 0, block, None, None, *(_packed(x.ravel()) for x in held)))
-        return pd.DataFrame([(*x, *[None] * (9 - len(x))) for x in out], columns=[c.split()[0] for c in _ASK.split(", ")])
-
+def _asked(parts: int, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in (p for b in batches for p in pieces(b, chars=PIECE)):
-            token, before, pair, places = _ngrams(rows["text"])
-            own = rows[["row", "id", "no_id", "learn"]].to_numpy(np.int64)
-            for a in range(0, len(token), BLOCK_TOKENS):
-                b = min(a + BLOCK_TOKENS, len(token))
-                d, e = np.searchsorted(places, a, "right") - 1, np.searchsorted(places, b)
-                sizes = np.diff(np.clip(places[d : e + 1], a, b))
-                docs = np.column_stack([own[d:e], sizes])
-                yield ask(f"{own[0, 0]}:{a}", docs, token[a:b], before[a:b], pair[a:b])
+        for block, docs, token, before, pair in _blocks(batches, size):
+            learn = np.repeat(docs[:, 3], docs[:, 4]).astype(bool)
+            out = []
+            for kind, keys in ((0, _tokens_of(token, before)), (1, pair)):
+                distinct, which = np.unique(keys, return_inverse=True)
+                n = np.bincount(which[: len(token)][learn], minlength=len(distinct))
+                if kind == 0:  # the start is a context, seen once per text
+                    n[which[-1]] += int((docs[:, 3].astype(bool) & (before == _START_KEY)).sum())
+                cut = _bounds(distinct, parts)
+                out += [(kind, p, block, distinct[a:b].tobytes(), _packed(n[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            yield _frame(out, _ASK)
 
     return run
 
 
-_START_KEY = mix(np.array([_START], np.uint64), 1)[0]
+def _numbered(size: int):
+    """Blocks with the numbers of their n-grams among the sorted ones."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, docs, token, before, pair in _blocks(batches, size):
+            which = np.unique(_tokens_of(token, before), return_inverse=True)[1]
+            parts = (docs.ravel(), which[: len(token)], which[len(token) :], np.unique(pair, return_inverse=True)[1])
+            yield _frame([(block, *map(_packed, parts))], _BLOCK)
+
+    return run
 
 
 def _answered(rows: pd.DataFrame) -> pd.DataFrame:
@@ -149,13 +161,15 @@ def _answered(rows: pd.DataFrame) -> pd.DataFrame:
 def _counted(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     """The parts of texts in a block with the totals of their n-grams."""
     if not len(rows):
-        return pd.DataFrame({c.split()[0]: [] for c in _COUNTED.split(", ")})
+        return _frame([], _COUNTED)
     answers = answers.sort_values("part")
     kind = answers["kind"].to_numpy()
     c1, c2 = (np.concatenate([_unpacked(t) for t in answers["totals"][kind == k]]) for k in (0, 1))
     block = rows.iloc[0]
-    found = (c1[_unpacked(block["tokens"])], c1[_unpacked(block["before"])], c2[_unpacked(block["pairs"])])
-    return pd.DataFrame([(block["docs"], *map(_packed, found))], columns=[c.split()[0] for c in _COUNTED.split(", ")])
+    tokens, before, pairs = (_unpacked(block[c]) for c in ("tokens", "before", "pairs"))
+    if len(rows) > 1 or max(tokens.max(), before.max()) + 1 != len(c1) or pairs.max() + 1 != len(c2):
+        raise RuntimeError("the documents were not the same when they were read again")
+    return _frame([(block["docs"], _packed(c1[tokens]), _packed(c1[before[:-1]]), _packed(c2[pairs]))], _COUNTED)
 
 
 def _triples(block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -243,26 +257,32 @@ def _scored(weights: np.ndarray, tokens: int, types: int):
     return run
 
 
-def score(docs: DataFrame, id: str = "doc_id", text: str = "text", learn: str = "learn") -> DataFrame:
+def _steady(docs: DataFrame) -> DataFrame:
+    """Rows that come in the same order and tasks whenever they are read: those of files."""
+    try:
+        docs.select("_metadata.row_index")
+        return docs
+    except AnalysisException:
+        return materialise(docs, "documents")
+
+
+def score(docs: DataFrame, id: str = "doc_id", text: str = "text", learn: str = "learn", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """id, learn, n_tokens, n_known, train_tokens, base_score and score (log10) of every row; ``learn`` marks training rows."""
     spark = docs.sparkSession
     parts = 4 * partitions(spark)
     number = F.col(f"`{id}`").cast("long")
-    rows = docs.select(
+    rows = _steady(docs.select(f"`{id}`", f"`{text}`", f"`{learn}`")).select(
         F.monotonically_increasing_id().alias("row"), F.coalesce(number, F.lit(0).cast("long")).alias("id"), number.isNull().alias("no_id"),
         F.coalesce(F.col(f"`{learn}`"), F.lit(False)).alias("learn"), F.col(f"`{text}`").alias("text"),
     )
-    # Written once: rows keep the numbers and blocks they got, also if a task is run again.
-    asked = materialise(rows.mapInPandas(_asked(parts), _ASK), "asked")
     answers = materialise(
-        whole_groups(asked.filter("kind < 2").select("kind", "part", "block", "keys", "counts"), ["kind", "part"], lambda x, first: pd.concat(
+        whole_groups(rows.mapInPandas(_asked(parts, block_tokens), _ASK), ["kind", "part"], lambda x, first: pd.concat(
             [_answered(x.iloc[a:b]) for a, b in zip(first, [*first[1:], len(x)])], ignore_index=True), _ANSWER),
         "answers",
     )
     sums = answers.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = int(sums["n"] or 0), int(sums["v"] or 0)
-    blocks = asked.filter("kind = 2").select("block", "docs", "tokens", "before", "pairs")
-    both = blocks.groupBy("block").cogroup(answers.select("block", "kind", "part", "totals").groupBy("block"))
+    both = rows.mapInPandas(_numbered(block_tokens), _BLOCK).groupBy("block").cogroup(answers.select("block", "kind", "part", "totals").groupBy("block"))
     counted = materialise(both.applyInPandas(_counted, _COUNTED), "counted")
     deleted = counted.mapInPandas(_deleted(tokens), "cell bigint, n bigint, p2 double, p1 double")
     # Cells are rounded probabilities: as many as there are grid points, however large the corpus.

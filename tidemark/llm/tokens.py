@@ -27,11 +27,17 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_hashes(texts: Sequence[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+# Bytes that words are made of; in UTF-8 all bytes of a character beyond ASCII are above 127.
+WORDS = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)])
+TERMS = np.array([c > 127 or chr(c).isalnum() for c in range(256)])
+
+
+def word_hashes(texts: Sequence[str | None], lower: bool = False, made_of: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, text after text, and where each text begins and ends in them.
 
-    Words are runs of characters other than the six ASCII spaces. ``lower``
-    takes A to Z in lower case. Null counts as empty.
+    Words are runs of characters other than the six ASCII spaces, or of the
+    bytes in ``made_of``, which has no line break. ``lower`` takes A to Z in
+    lower case. Null counts as empty.
     """
     raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
     hashes, counts, at = [], np.zeros(len(raw), np.int64), 0
@@ -40,7 +46,7 @@ def word_hashes(texts: Sequence[str | None], lower: bool = False) -> tuple[np.nd
         while end < len(raw) and (size < _PIECE or end == at):
             size += len(raw[end]) + 1
             end += 1
-        h, starts = _hash_piece(b"\n".join(raw[at:end]) + b"\n", lower)
+        h, starts = _hash_piece(b"\n".join(raw[at:end]) + b"\n", lower, made_of)
         begins = np.cumsum([0] + [len(x) + 1 for x in raw[at : end - 1]])
         counts[at:end] = np.diff(np.append(np.searchsorted(starts, begins), len(starts)))
         hashes.append(h)
@@ -49,9 +55,9 @@ def word_hashes(texts: Sequence[str | None], lower: bool = False) -> tuple[np.nd
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), bounds
 
 
-def _hash_piece(joined: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _hash_piece(joined: bytes, lower: bool, made_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     b = np.frombuffer(joined, np.uint8)
-    inside = (b != 32) & ((b < 9) | (b > 13))
+    inside = made_of[b]
     edge = np.flatnonzero(np.diff(inside, prepend=False))  # the last byte is a space, so edges pair up
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
