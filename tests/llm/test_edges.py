@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, urls
+from tidemark.llm import chat, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, urls, warc
 
 DOCS = "doc_id bigint, text string, lang string, source string, n bigint, kept boolean, _row string"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -195,3 +195,23 @@ def test_lexical(docs, spark):
         assert [f for f in found if f[0] == 1] == [(1, 1, 6), (1, 1, 6), (1, 2, 6), (1, 2, 6), (1, 3, 7), (1, 3, 7)]
         assert (None, 1, None) in found and {f[0] for f in found} == {1, 5, None}
     assert lexical.search(docs, items.limit(0)).isEmpty()
+
+
+def test_warc(spark, tmp_path):
+    schema = "page_id bigint, url string, html string, digest string, record string, of int"
+    rows = [
+        (3, "http://a/", "same", None, "x", 1), (3, "http://a/", "same", None, "x", 1), (5, None, "same", None, None, None), (None, "u", "same", None, None, None),
+        (1, "u", None, None, None, None), (2, "u", "", None, None, None), (None, "u", "alone", None, None, None), (None, "u", "alone", None, None, None),
+        ((1 << 53) + 1, "http://ü/ ", "l\u00f6ng " * 200_000, None, None, None), ((1 << 53) + 3, "u", "l\u00f6ng " * 200_000, None, None, None),
+    ]
+    warc.write(spark.createDataFrame(rows, schema), f"{tmp_path}/some")
+    found = sorted(((r["record"], r["type"], r["refers_to"], r["bytes"]) for r in warc.records(spark, f"{tmp_path}/some").collect()), key=str)
+    big = (1 << 53) + 1
+    assert found == sorted(
+        [
+            (3, "response", None, 4), (3, "response", None, 4), (5, "revisit", 3, 4), (None, "revisit", 3, 4), (1, "response", None, 0), (2, "revisit", 1, 0),
+            (None, "response", None, 5), (None, "response", None, 5), (big, "response", None, 1_200_000), (big + 2, "revisit", big, 1_200_000),
+        ], key=str,
+    )
+    warc.write(spark.createDataFrame([], schema), f"{tmp_path}/none")
+    assert warc.records(spark, f"{tmp_path}/none").isEmpty()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from check import TABLES, canonical_rows
 from tests.llm import brute
-from tidemark.llm import chat, common, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, tokens, urls
+from tidemark.llm import chat, common, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, tokens, urls, warc
 from tidemark.llm.all import ORACLE, QUERIES
 
 
@@ -37,7 +37,7 @@ def test_sql(spark, sf_dir, name):
 
 def test_every_operator_has_a_query():
     numbers = {name.split("_")[0] for name in QUERIES}
-    assert numbers == {f"op{n}" for n in (*range(1, 12),)}
+    assert numbers == {f"op{n}" for n in (*range(1, 12), 13)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 
 
@@ -493,6 +493,68 @@ def test_blocks_are_skipped_only_below_the_bound(spark):
     assert skipped > opened
 
 
+# -- 13 ---------------------------------------------------------------------
+
+
+def test_archives_hold_every_payload(spark, tmp_path):
+    """Chunks of any bytes come back in order, with running digests; only the first of equal payloads is held."""
+    rng = random.Random(13)
+    big = rng.randbytes(200_000)
+    payloads = [b"", b"\r\n\r\nWARC/1.1\r\n", b"\n", b"\r", b"0\r\n\r\n", big, big[:4096], big[:4097], b"\xff\xfe\x00", big, b"", b"\n" * 5000]
+    rows = [(100 - i, f"http://h/{i} a\n", bytearray(p)) for i, p in enumerate(payloads)]
+    path = f"{tmp_path}/archive"
+    warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html binary").repartition(3), path, chunk=4096)
+    found = {}
+    for r in warc.chunks(spark, path, chunk=4096).collect():
+        found.setdefault(r["record"], []).append(r)
+    assert sorted(found) == sorted(i for i, _, _ in rows)
+    for i, _, p in rows:
+        mine = sorted(found[i], key=lambda r: r["chunk"])
+        first = min(j for j, _, q in rows if q == p)
+        assert all(r["url"] == f"http://h/{100 - i}%20a%0A" for r in mine)
+        assert (mine[-1]["bytes"], mine[-1]["digest"]) == (len(p), warc.base32(hashlib.sha1(p).digest()))
+        assert (mine[0]["type"], mine[0]["refers_to"]) == (("response", None) if first == i else ("revisit", first))
+        if first == i:
+            assert b"".join(r["data"] for r in mine) == p and [r["last"] for r in mine] == [False] * (len(mine) - 1) + [True]
+            assert len(mine) == max(1, -(-len(p) // 4096))
+            so_far = b""
+            for r in mine:
+                so_far += r["data"]
+                assert (r["bytes"], r["digest"]) == (len(so_far), warc.base32(hashlib.sha1(so_far).digest()))
+
+
+def _frames(data, size):
+    import pandas as pd
+
+    lines = data.split(b"\n")[:-1]
+    return iter([pd.DataFrame({"value": lines[a : a + size]}) for a in range(0, len(lines), size)])
+
+
+def test_reader_takes_plain_responses_and_rejects_corrupt_ones():
+    body = b"a\r\nb\n" * 30
+    http = b"HTTP/1.0 200 OK\r\nX-A:  b \r\n\r\n" + body
+    digest = warc.base32(hashlib.sha1(body).digest()).encode()
+
+    def record(digest, length):
+        head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:7>\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: %d\r\n\r\n"
+        return head % (digest, length) + http + b"\r\n\r\n"
+
+    other = b"WARC/1.0\r\nWARC-Type: request\r\nContent-Length: 5\r\n\r\nGET /\r\n\r\n"
+    for size in (1, 3, 1000):
+        rows = list(warc.read_chunks(_frames(other + record(digest, len(http)), size), 64))
+        assert b"".join(r[-1] for r in rows) == body and rows[-1][0] == 7 and len(rows) == -(-len(body) // 64)
+    for bad in (record(b"A" * 32, len(http)), record(digest, len(http) - 1), record(digest, len(http))[:-20], b"no archive\r\n"):
+        with pytest.raises(warc.CorruptArchive):
+            list(warc.read_chunks(_frames(bad + b"\n", 4), 64))
+
+
+def test_small_payloads_are_not_revisited(spark, tmp_path):
+    rows = [(i, None, "x" * (i // 2)) for i in range(8)]
+    warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html string"), f"{tmp_path}/a", least=2)
+    found = sorted((r["record"], r["type"], r["refers_to"]) for r in warc.records(spark, f"{tmp_path}/a").collect())
+    assert found == [(i, "revisit" if i in (5, 7) else "response", {5: 4, 7: 6}.get(i)) for i in range(8)]
+
+
 # -- pipeline ----------------------------------------------------------------
 
 
