@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, urls, warc
+from tidemark.llm import chat, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, trie, urls, warc
 
 DOCS = "doc_id bigint, text string, lang string, source string, n bigint, kept boolean, _row string"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -215,3 +215,25 @@ def test_warc(spark, tmp_path):
     )
     warc.write(spark.createDataFrame([], schema), f"{tmp_path}/none")
     assert warc.records(spark, f"{tmp_path}/none").isEmpty()
+
+
+def test_trie(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string, depth int, conv string, pa bigint"
+    rows = [
+        (1, 0, "user", "hi", 9, "x", 1), (1, None, None, None, 9, "x", 1), (1, 1, "user", "hi", 9, "x", 1), (1, 1, "user", "hi", 9, "x", 1),
+        (2, None, "", "", None, None, None), (2, 0, "user", "hi", 1, None, 1), (3, 4, "user", "t" * 200_000, 1, None, 1), (None, 0, "user", "hi", 1, None, 1),
+        (None, None, None, None, None, None, None),
+    ]
+    turns = trie.sequences(spark.createDataFrame(rows, schema))
+    found = trie.nodes(turns, turns.select("conv").distinct()).collect()
+    by = {(r["conv_id"], r["depth"]): (r["parent_conv_id"], r["n_convs"], r["n_children"], r["n_leaves"], r["saved_tokens"]) for r in found}
+    # The turn without a number comes first; the turn that is there twice counts twice.
+    assert by == {
+        (1, 0): (None, 3, 2, 2, 2), (1, 1): (1, 2, 1, 1, 2), (1, 2): (1, 2, 1, 1, 2), (1, 3): (1, 1, 1, 1, 0), (1, 4): (1, 1, 0, 1, 0),
+        (3, 1): (1, 1, 0, 1, 0),
+    }
+    none = trie.sequences(spark.createDataFrame([], schema))
+    assert trie.nodes(none, none.select("conv").distinct()).isEmpty()
+    # Conversations without turns are members of the root alone.
+    alone = trie.nodes(none, spark.createDataFrame([(4,), (5,)], "conv bigint")).collect()
+    assert [tuple(r)[:7] for r in alone] == [(4, 0, None, 2, 0, 1, 0)] and alone[0]["ends_sha256"] == trie.ends_hash([4, 5])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from check import TABLES, canonical_rows
 from tests.llm import brute
-from tidemark.llm import chat, common, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, tokens, urls, warc
+from tidemark.llm import chat, common, exact, langid, lexical, mixing, near, packing, quality, scoring, substrings, tokens, trie, urls, warc
 from tidemark.llm.all import ORACLE, QUERIES
 
 
@@ -37,7 +37,7 @@ def test_sql(spark, sf_dir, name):
 
 def test_every_operator_has_a_query():
     numbers = {name.split("_")[0] for name in QUERIES}
-    assert numbers == {f"op{n}" for n in (*range(1, 12), 13)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 
 
@@ -493,6 +493,75 @@ def test_blocks_are_skipped_only_below_the_bound(spark):
     assert skipped > opened
 
 
+# -- 12 ---------------------------------------------------------------------
+
+
+def _plain_trie(seqs):
+    """Rows of the trie of conv -> list of (role, text), by grouping all prefixes."""
+    members = {}
+    for c, turns in seqs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    children = Counter(k[:-1] for k in members if k)
+    leaves, saved = Counter(), Counter()
+    for k, m in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1]) if k else 0
+    return sorted(
+        (
+            min(m), len(k), min(members[k[:-1]]) if k else None, len(m), children[k], leaves[k], saved[k],
+            hashlib.sha256(",".join(map(str, sorted(c for c in m if len(seqs[c]) == len(k)))).encode()).hexdigest(),
+        )
+        for k, m in members.items()
+    )
+
+
+@pytest.mark.parametrize(("container", "slice_turns", "seed"), [(50_000, 4096, 1), (6, 3, 2), (0, 1, 3), (25, 2, 4)])
+def test_trie(spark, container, slice_turns, seed):
+    rng = random.Random(seed)
+    seqs = {}
+    for c in rng.sample(range(-20, 400), 60):
+        old = rng.choice(list(seqs.values())) if seqs and rng.random() < 0.8 else []
+        new = [(rng.choice(["user", ""]), rng.choice(["", "a", "bb", "\u00fc"])) for _ in range(rng.randrange(0, 4))]
+        seqs[c] = old[: rng.randrange(0, len(old) + 1)] + new
+    for c in range(500, 520):  # copies of one conversation, one of them longer than all
+        seqs[c] = [("user", "a")] * 7 + [("user", str(c))] * (c % 2)
+    seqs[520] = [("user", "a")] * 40
+    rows = [(c, d, r, t) for c, turns in seqs.items() for d, (r, t) in enumerate(turns)]
+    turns = trie.sequences(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3))
+    convs = spark.createDataFrame([(c,) for c in seqs], "conv bigint")
+    found = trie.nodes(turns, convs, container, slice_turns).collect()
+    assert sorted(tuple(r) for r in found) == _plain_trie(seqs)
+
+
+def test_ids_that_end_in_a_node_are_hashed_in_pieces(spark, monkeypatch):
+    ids = random.Random(4).sample(range(10**12), 3000) + [-5, 3]
+    rows = [(1, 2, i) for i in ids] + [(1, 3, i) for i in ids[:5]]
+    found = {(r["pa"], r["pb"]): r["ends_sha256"] for r in trie._ends(spark.createDataFrame(rows, "pa bigint, pb bigint, conv bigint")).collect()}
+    assert found == {(1, 2): trie.ends_hash(ids), (1, 3): trie.ends_hash(ids[:5])}
+    frames = [spark.createDataFrame(sorted((1, 2, i) for i in ids), "pa bigint, pb bigint, conv bigint").toPandas()]
+    monkeypatch.setattr(trie, "PIECE", 80)
+    pieces = list(trie._packed(iter(frames)))
+    assert sum(map(len, pieces)) > 250
+    assert [tuple(r)[2] for f in trie._hashed(iter(pieces)) for r in f.itertuples(index=False)] == [trie.ends_hash(ids)]
+
+
+def test_rebuilt_conversations(spark):
+    rows = [(c, t, "user", f"{c}.{t}") for c in (0, 1, 7, 42, 100, 142, 199, 205) for t in range(c % 4 + 2)]
+    turns = trie.sequences(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    convs = turns.select("conv").distinct()
+    own = {r["ha"]: (r["conv"], r["depth"]) for r in turns.collect()}
+    found = {}
+    for r in trie.rebuilt(turns, convs).orderBy("conv", "depth").collect():
+        found.setdefault(r["conv"], []).append((own[r["ha"]], r["depth"]))
+    for c in (0, 1, 7, 42, 100, 142, 199, 205):
+        h, base = zlib.crc32(str(c).encode()) % 6, c - c % 100
+        have = {i: [(i, t + 1) for t in range(i % 4 + 2)] for i in (0, 1, 7, 42, 100, 142, 199, 205)}
+        want = have.get(base, [])[:h] + have[c][h:]
+        assert found.get(c, []) == [(x, d + 1) for d, x in enumerate(want)]
+
+
 # -- 13 ---------------------------------------------------------------------
 
 
