@@ -144,6 +144,73 @@ def test_reconcile(spark, snaps, tmp_path):
     }
 
 
+def test_a_load_may_read_what_it_replaces_and_a_failed_one_changes_nothing(spark, snaps, tmp_path, monkeypatch):
+    store = Store(spark, "four", str(tmp_path / "four"))
+    store.load(snaps, {"t": SCHEMA, "other": SCHEMA}, {"highly_cited_only": "t"}, "other")
+    report = store.load(store.read("t").filter("papers > 1"), {"t": SCHEMA}, counters={"papers": F.sum("papers")})
+    assert (report.rows_in, report.rows_stored, report.counted) == (4, 4, {"t": {"papers": 10}})
+    assert store.tables() == ["t"] and store.count("t") == 4  # ``other`` was cleared
+    with pytest.raises(LoadFailed):
+        store.load(snaps, {"t": "name STRING, orcid STRING"})
+    with pytest.raises(LoadFailed):
+        store.load(snaps.filter("false"), {"t": SCHEMA})
+    assert store.count("t") == 4 and len(os.listdir(tmp_path / "four")) == 1
+    # Broken off between the two renames, the former table comes back.
+    rename, calls = Store._rename, []
+
+    def once(self, old, new):
+        calls.append(old)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        rename(self, old, new)
+
+    monkeypatch.setattr(Store, "_rename", once)
+    with pytest.raises(KeyboardInterrupt):
+        store.create(snaps, "t")
+    monkeypatch.undo()
+    assert not store.exists("t")
+    assert Store(spark, "four").count("t") == 4
+
+
+UNTIDY = """Name,Papers,Cited
+Ada,1,2
+b,1
+c,3,4,EXTRA
+"two
+lines",5,6
+"q""x, y",7,8
+d,9,10,, ,
+e,,,
+,,,,
+f,1,"unclosed
+"""
+
+
+def test_records_that_cannot_be_read_are_reported(spark, tmp_path):
+    write(f"{tmp_path}/s/a.csv", UNTIDY)
+    checked = S.read_checked(spark, f"{tmp_path}/s")
+    kept = {r["Name"]: (r["Papers"], r["Cited"]) for r in S.kept_rows(checked).collect()}
+    assert kept["Ada"] == ("1", "2") and kept["two\nlines"] == ("5", "6") and kept["d"] == ("9", "10") and kept["e"] == (None, None)
+    assert "b" not in kept and "c" not in kept
+    rejects = {r[S.RAW].strip(): r[S.REASON] for r in S.rejected_rows(checked).collect()}
+    assert rejects["b,1"] == "missing fields" and rejects["c,3,4,EXTRA"] == "surplus fields"
+    counts = S.file_outcomes(checked).first()
+    assert counts["repaired"] == 3 and counts["good"] + counts["rejected"] == 6
+    # Line by line, a broken record is rejected, not read as two.
+    lines = S.read_checked(spark, f"{tmp_path}/s", multiline=False)
+    assert not {"two", "lines"} & {r["Name"] for r in S.kept_rows(lines).collect()}
+    everything = S.read_rejects(spark, {"feb": str(tmp_path)}, ["s", "none"])
+    assert {(r["sheet_type"], r["period"], r["subject"]) for r in everything.collect()} == {("s", "feb", "a")}
+
+
+def test_json_lines_that_cannot_be_read_are_reported(spark, tmp_path):
+    write(f"{tmp_path}/s/a.json", json.dumps({"Name": "Ada", "Papers": 1}) + "\n{broken\n")
+    for schema in (None, "Name STRING, Papers STRING"):
+        checked = S.read_checked(spark, f"{tmp_path}/s", "json", schema)
+        assert [r["Name"] for r in S.kept_rows(checked).collect()] == ["Ada"]
+        assert [(r[S.REASON], r[S.RAW]) for r in S.rejected_rows(checked).collect()] == [("unreadable", "{broken")]
+
+
 def entity(name, papers=1):
     return {"name": name, "esi_field": "Physics", "highly_cited_papers": papers, "indicative_cross_field_score": 0.5, "hot_papers": 0, "times_cited": 9}
 

@@ -1,12 +1,19 @@
-"""The table store: partitioned tables in the session catalog."""
+"""The table store: partitioned tables in the session catalog.
+
+A table that is replaced is staged first: written under a name and in a folder of
+its own and checked there. Only then does the catalog entry move, by renaming,
+which touches no data. So a load that fails leaves the rows there were, and a
+load may read the tables it replaces.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +23,8 @@ from tidemark.operators.scale import first_rows
 from tidemark.operators.shape import column_difference, enforced
 
 PARTITIONS = ("sheet_type", "period", "subject")
+# Tables on their way in and out; no table of a user begins so.
+_STAGED, _FORMER = "_staged__", "_former__"
 
 
 class LoadFailed(RuntimeError):
@@ -24,12 +33,16 @@ class LoadFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Loaded:
-    """What a load stored, and what it left out and why."""
+    """What a load stored, and what it left out and why.
+
+    ``counted`` holds the counters that were asked for, by table.
+    """
 
     tables: list[str]
     failures: dict[str, str]
     rows_in: int
     rows_stored: int
+    counted: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 class Store:
@@ -44,33 +57,99 @@ class Store:
         self.database = database
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
+        self.recover()
 
     def _full(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
     # -- writing ----------------------------------------------------------
 
-    def create(self, df: DataFrame, table: str, if_exists: str = "replace", partitions: Sequence[str] = ()) -> int:
+    def create(
+        self,
+        df: DataFrame,
+        table: str,
+        if_exists: str = "replace",
+        partitions: Sequence[str] = (),
+        buckets: int = 0,
+        bucket_by: Sequence[str] = ("name",),
+    ) -> int:
         """Create a table from a frame; returns the number of rows written.
 
         Rows are rebalanced by the partition columns first: adaptive execution
         splits a heavy partition over several tasks and files and merges light
-        ones, so their number follows the size of the data.
+        ones, so their number follows the size of the data. With ``buckets``
+        the rows of a key in ``bucket_by`` lie together, so that joins and
+        aggregates by it need no shuffle.
         """
-        modes = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
-        if if_exists not in modes:
+        if if_exists not in ("replace", "append", "fail"):
             raise ValueError(f"unknown mode: {if_exists}")
         if if_exists == "fail" and self.exists(table):
             raise LoadFailed(f"table {table} exists")
-        if partitions:
-            df = df.hint("rebalance", *partitions)
+        if if_exists == "append" and self.exists(table):
+            return self._write(df, table, partitions, 0, (), "append", None)
+        staged = f"{_STAGED}{table}__{uuid.uuid4().hex}"
+        n = self._stage(df, staged, partitions, buckets, bucket_by)
+        self._switch(staged, table)
+        return n
+
+    def _write(self, df, table, partitions, buckets, bucket_by, mode, path) -> int:
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(modes[if_exists]).format("parquet")
+        if buckets:
+            df = df.repartition(buckets, *bucket_by)
+        elif partitions:
+            df = df.hint("rebalance", *partitions)
+        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).format("parquet")
         if partitions:
             writer = writer.partitionBy(*partitions)
+        if buckets:
+            writer = writer.bucketBy(buckets, *bucket_by)
+        if path:
+            writer = writer.option("path", path)
         writer.saveAsTable(self._full(table))
         return seen.get["n"]
 
+    def _stage(self, df, staged, partitions, buckets=0, bucket_by=()) -> int:
+        """Write a table beside the others; what is left of one that fails goes."""
+        root = self.spark.catalog.getDatabase(self.database).locationUri.rstrip("/")
+        try:
+            return self._write(df, staged, partitions, buckets, bucket_by, "errorifexists", f"{root}/{staged}")
+        except BaseException:
+            self._remove(staged, f"{root}/{staged}")
+            raise
+
+    def _switch(self, staged: str, table: str) -> None:
+        """Give the staged table its name; the former one goes afterwards."""
+        former = f"{_FORMER}{table}"
+        if self.exists(table):
+            self._rename(table, former)
+        self._rename(staged, table)
+        if self.exists(former):
+            self._remove(former)
+
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self._full(old)} RENAME TO {self._full(new)}")
+        self.spark.catalog.refreshTable(self._full(new))
+
+    def recover(self) -> None:
+        """Finish a switch that was broken off: a former table gets its name back unless the new one has it."""
+        for t in self._names():
+            if t.startswith(_FORMER):
+                table = t.removeprefix(_FORMER)
+                if self.exists(table):
+                    self._remove(t)
+                else:
+                    self._rename(t, table)
+
+    def _remove(self, table: str, path: str | None = None) -> None:
+        """Drop a table with its files, which lie in a folder of their own."""
+        if self.exists(table):
+            place = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._full(table)}").filter("col_name = 'Location'").first()
+            path = path or (place["data_type"] if place else None)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._full(table)}")
+        if path:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def insert(self, df: DataFrame, table: str) -> None:
         """Append by position, as the table's columns are ordered."""
         if not self.exists(table):
@@ -84,42 +163,58 @@ class Store:
         schema_of: dict[str, str] | None = None,
         default_schema: str | None = None,
         clear: bool = True,
+        counters: dict[str, Column] | None = None,
+        buckets: int = 0,
     ) -> Loaded:
-        """Load a consolidated frame: clear, then one table per schema.
+        """Load a consolidated frame: one table per schema, all staged, then switched.
 
         ``schema_of`` maps a sheet type to a schema name, ``default_schema``
         serves the others and rows without a sheet type. A table that fails is
-        left out and named with the reason; if none is loaded the call fails.
-        Every table's row count is checked against the rows of ``df``.
+        named with the reason and keeps the rows it had; if none is loaded the call
+        fails and nothing has changed. With ``clear`` tables that are no schema go. Each
+        table is written in one pass, in which its rows and the aggregates in
+        ``counters`` are counted before they are cast; what was stored is checked against that.
         """
         schema_of = schema_of or {}
         default_schema = default_schema or next(iter(schemas))
-        if clear:
-            self.clear()
-        # One row per sheet type: their number is that of the configured sheets.
-        counts = {r["sheet_type"]: r["n"] for r in df.groupBy("sheet_type").agg(F.count(F.lit(1)).alias("n")).collect()}
-        loaded, failures, total = [], {}, 0
+        target = F.lit(default_schema)
+        for sheet, name in schema_of.items():
+            target = F.when(F.col("sheet_type") == sheet, F.lit(name)).otherwise(target)
+        measures = {"_rows": F.count(F.lit(1)), **(counters or {})}
+        staged, failures, counted = {}, {}, {}
+        rows_in = 0
         for name, schema in schemas.items():
-            wanted = {s for s in counts if schema_of.get(s, default_schema) == name}
-            mine = F.coalesce(F.col("sheet_type").isin(*[s for s in wanted if s is not None]), F.lit(None in wanted))
-            expected = sum(counts[s] for s in wanted)
+            mine = df if not schema_of and name == default_schema else df.filter(target == name)
+            seen = Observation()
+            place = f"{_STAGED}{name}__{uuid.uuid4().hex}"
             try:
-                if not expected:
-                    raise LoadFailed("no rows to load")
-                self.create(enforced(df.filter(mine), schema, keep=PARTITIONS), name, "replace", PARTITIONS)
-                stored = self.count(name)
-                if stored != expected:
-                    raise LoadFailed(f"{expected} rows expected, {stored} stored")
-                loaded.append(name)
-                total += stored
+                taken = mine.observe(seen, *[m.alias(n) for n, m in measures.items()])
+                stored = self._stage(enforced(taken, schema, keep=PARTITIONS), place, PARTITIONS, buckets, ("name",))
+                counted[name] = seen.get
+                expected = counted[name].pop("_rows")
+                rows_in += expected
+                if not expected or stored != expected or self.count(place) != expected:
+                    self._remove(place)
+                    raise LoadFailed(f"{expected} rows expected, {stored} stored" if expected else "no rows to load")
+                staged[name] = place
             except (PySparkException, LoadFailed, ValueError) as e:
                 failures[name] = str(e)
-        if not loaded:
+                if name not in counted:
+                    rows_in += mine.count()
+        if not staged:
             raise LoadFailed("; ".join(f"{n}: {e}" for n, e in failures.items()))
-        return Loaded(loaded, failures, sum(counts.values()), total)
+        total = sum(self.count(place) for place in staged.values())
+        for name, place in staged.items():
+            self._switch(place, name)
+        if clear:
+            for t in set(self.tables()) - set(schemas):
+                self.drop(t)
+        return Loaded(list(staged), failures, rows_in, total, {n: c for n, c in counted.items() if n in staged and counters})
 
     def drop(self, table: str, if_exists: bool = True) -> None:
-        self.spark.sql(f"DROP TABLE {'IF EXISTS' if if_exists else ''} {self._full(table)}")
+        if not if_exists and not self.exists(table):
+            raise LoadFailed(f"table {table} does not exist")
+        self._remove(table)
 
     def clear(self) -> None:
         for t in self.tables():
@@ -134,6 +229,9 @@ class Store:
         return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
     def tables(self) -> list[str]:
+        return [t for t in self._names() if not t.startswith((_STAGED, _FORMER))]
+
+    def _names(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary)
 
     def schema(self, table: str) -> dict[str, str]:
