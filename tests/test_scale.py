@@ -2,12 +2,14 @@
 
 import os
 import random
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import scale
+from tidemark.operators import duplicates, scale, stats
 from tidemark.operators.duplicates import flag_duplicates
 from tidemark.operators.stats import profile, with_outliers
 from tidemark.session import CHECKPOINT_KEY, materialise, scratch_dir, scratch_scope, store
@@ -184,3 +186,59 @@ def test_a_flow_leaves_nothing_but_its_outputs(spark, tmp_path):
         assert os.path.exists(made)
     assert not os.path.exists(made)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_wide_rows_move_once_for_all_ranks(spark, monkeypatch):
+    """Beyond the broadcast limit, only one shuffle carries the other columns, however many fields are ranked."""
+    rows = [(i % 3, float(i % 17), float(i % 5) if i % 4 else None, float("nan") if i % 6 == 0 else -float(i), f"wide {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, c double, payload string")
+    key = ["g", "payload"]
+    fields = ["a", "b", "c"]
+    want = sorted(map(tuple, stats.with_outliers(df, fields, ["g"]).select(*key, *stats.statistics_columns(fields)).collect()))
+    monkeypatch.setattr(stats, "BROADCAST_BYTES", 0)
+    out = stats.with_outliers(df, fields, ["g"])
+    plan_text = out._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan_text.splitlines() if re.search(r"Scan parquet.*payload", line)]
+    assert len(wide) == 1 and len(re.findall(r"Exchange hashpartitioning\(_row", plan_text)) <= 2
+    got = sorted(map(tuple, out.select(*key, *stats.statistics_columns(fields)).collect()))
+    assert [[pytest.approx(x) if isinstance(x, float) else x for x in r] for r in want] == [list(r) for r in got]
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 50, 4])
+def test_quartiles_from_brackets_are_exact(spark, monkeypatch, accuracy):
+    """Also where the sketch is so coarse that brackets miss: the margin is none, and a group gets its whole range."""
+    monkeypatch.setattr(stats, "ACCURACY", accuracy)
+    if accuracy == 4:
+        monkeypatch.setattr(stats, "MARGIN", 0.001)
+    rng = np.random.default_rng(7)
+    columns = {0: rng.normal(size=3001), 1: np.round(rng.normal(size=2000), 1), 2: np.full(500, 3.5), 3: rng.exponential(size=7), 4: np.repeat([1.0, 9.0], [900, 300])}
+    rows = [(g, float(v)) for g, vs in columns.items() for v in vs] + [(5, None)]
+    found = {r["g"]: r for r in stats.profile(spark.createDataFrame(rows, "g int, v double"), ["v"], ["g"]).collect()}
+    assert sorted(found) == [0, 1, 2, 3, 4]
+    for g, vs in columns.items():
+        assert (found[g]["q1"], found[g]["q3"]) == (pytest.approx(np.quantile(vs, 0.25), abs=1e-12), pytest.approx(np.quantile(vs, 0.75), abs=1e-12))
+        assert (found[g]["n"], found[g]["min"], found[g]["max"]) == (len(vs), vs.min(), vs.max())
+        assert found[g]["std"] == pytest.approx(np.std(vs, ddof=1)) and found[g]["std_pop"] == pytest.approx(np.std(vs))
+
+
+def test_brackets_keep_few_values(spark):
+    """Of 60,000 different values, the second pass counts a small part."""
+    df = spark.range(60_000).select(F.col("id").cast("double").alias("v"))
+    moments = stats._moments(df, ["v"], [])
+    row = moments.df.first()
+    inside = sum(row[hi] - row[lo] + 1 for lo, hi in (stats.EDGES[:2], stats.EDGES[2:]))
+    assert inside < 600
+    assert stats.profile(df, ["v"]).first()["q1"] == 14_999.75
+
+
+def test_duplicate_numbers_compare_beginnings_first(spark, monkeypatch):
+    """Long keys with equal beginnings, zeros of both signs, and groups in slices keep their numbers."""
+    texts = ["b" * 70 + "2", "b" * 70 + "1", "a", "b" * 70 + "1", "b" * 70 + "2", "c", "a"]
+    df = spark.createDataFrame([(t, 1) for t in texts], "t string, n int")
+    want = {"a": "DUP_0001", "b" * 70 + "1": "DUP_0002", "b" * 70 + "2": "DUP_0003", "c": ""}
+    for limit in (duplicates.BEGINNING, 0):
+        monkeypatch.setattr(scale, "GROUP_BYTES", 64 * 1024 * 1024 if limit else 1)
+        assert {r["t"]: r["duplicate_group_id"] for r in duplicates.flag_duplicates(df, ["t"]).collect()} == want
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 1), (float("nan"), 1), (float("nan"), 1), (2.0, 1)], "x double, n int")
+    assert [r["is_duplicate"] for r in duplicates.flag_duplicates(zeros, ["x"]).orderBy("x").collect()] == [True, True, False, True, True]
+    assert sorted(r["n_rows"] for r in duplicates.duplicate_groups(zeros, ["x"]).collect()) == [2, 2]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add, and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,38 +36,42 @@ def pair_up(df: DataFrame, spec: CompareSpec) -> DataFrame:
 
     ``rows_1`` and ``rows_2`` tell how many rows the entity has in each
     period; 0 means it is absent there. Rows without a name are counted: they
-    are one row per pair, without values.
+    are one row per pair, without values. With ``assume_unique`` an entity that
+    repeats fails the job, whichever columns are read. Over a table that is
+    stored in buckets by name, nothing is shuffled.
     """
     wanted = df.filter(F.col(spec.period).isin(*spec.periods))
-    paired = _paired(wanted.filter(F.col(spec.entity).isNotNull()), spec)
+    if not spec.assume_unique or _aggregates_by_hash(wanted, spec.payload):
+        return _grouped(wanted, spec)
+    paired = _join_sides(wanted.filter(F.col(spec.entity).isNotNull()), spec)
     counts = [F.count_if(F.col(spec.period) == p).alias(f"rows_{i}") for i, p in enumerate(spec.periods, 1)]
     unnamed = wanted.filter(F.col(spec.entity).isNull()).groupBy(*spec.pair_by).agg(*counts)
     return paired.unionByName(unnamed, allowMissingColumns=True)
 
 
-def _paired(wanted: DataFrame, spec: CompareSpec) -> DataFrame:
-    """``pair_up`` of rows that all have a name."""
+def _grouped(wanted: DataFrame, spec: CompareSpec) -> DataFrame:
+    """``pair_up`` by one aggregate; rows without a name are a group of their pair."""
     sides = [(i, F.col(spec.period) == p) for i, p in enumerate(spec.periods, 1)]
+    named = F.col(spec.entity).isNotNull()
     counts = [F.count_if(side).alias(f"rows_{i}") for i, side in sides]
     if spec.assume_unique:
-        if not _aggregates_by_hash(wanted, spec.payload):
-            return _join_sides(wanted, spec)
-        values = [F.max(F.when(side, F.col(c))).alias(f"{c}_{i}") for i, side in sides for c in spec.payload]
-        return wanted.groupBy(*spec.keys).agg(*counts, *values).withColumns({f"rows_{i}": _once(f"rows_{i}") for i in (1, 2)})
+        values = [F.max(F.when(side & named, F.col(c))).alias(f"{c}_{i}") for i, side in sides for c in spec.payload]
+        grouped = wanted.groupBy(*spec.keys).agg(*counts, *values)
+        return grouped.filter(_once(F.when(named, F.greatest("rows_1", "rows_2"))))
 
     order = [c for c in spec.order_by if c not in spec.payload]
     ranked = [*[F.col(c) for c in spec.order_by], *[F.col(c) for c in spec.payload if c not in spec.order_by]]
     whole = F.struct(*ranked)
-    first = [F.min(F.when(side, whole)).alias(f"_side_{i}") for i, side in sides]
+    first = [F.min(F.when(side & named, whole)).alias(f"_side_{i}") for i, side in sides]
     grouped = wanted.groupBy(*spec.keys).agg(*counts, *first)
     columns = [F.col(f"_side_{i}")[c].alias(f"{c}_{i}") for i, _ in sides for c in (*spec.payload, *order)]
     return grouped.select(*spec.keys, "rows_1", "rows_2", *columns)
 
 
-def _once(rows: str) -> Column:
-    """A row count that fails the job where a promised-unique entity repeats."""
+def _once(rows: Column) -> Column:
+    """A condition that fails the job where a promised-unique entity repeats; as a filter it is never pruned."""
     repeated = F.raise_error(F.lit("an entity repeats inside a snapshot, but the comparison assumes it is unique"))
-    return F.when(F.col(rows) > 1, repeated).otherwise(F.col(rows))
+    return F.when(rows > 1, repeated).otherwise(F.lit(True))
 
 
 def _aggregates_by_hash(df: DataFrame, columns: Sequence[str]) -> bool:
@@ -80,23 +84,25 @@ def _join_sides(df: DataFrame, spec: CompareSpec) -> DataFrame:
     """Pair unique entities by a full outer join, which sorts each side once.
 
     With text among the values this is cheaper than an aggregate that sorts
-    before and after the shuffle and has nothing to combine.
+    before and after the shuffle and has nothing to combine. The rows of an entity
+    are counted in the partitions and the order that the join needs anyway. A pair
+    is one struct, as its columns may be null.
     """
+    pair = F.struct(*[F.col(k) for k in spec.pair_by]) if spec.pair_by else F.lit(0)
 
     def side(i: int) -> DataFrame:
-        keys = [F.col(k).alias(f"_k{i}_{k}") for k in spec.keys]
         values = [F.col(c).alias(f"{c}_{i}") for c in spec.payload]
         rows = df.filter(F.col(spec.period) == spec.periods[i - 1])
-        return rows.select(*keys, F.lit(1).cast("bigint").alias(f"rows_{i}"), *values)
-
-    cond = F.col(f"_k1_{spec.entity}") == F.col(f"_k2_{spec.entity}")
-    for k in spec.pair_by:
-        cond = cond & F.col(f"_k1_{k}").eqNullSafe(F.col(f"_k2_{k}"))
-    joined = side(1).join(side(2), cond, "full_outer")
-    # Which side a row comes from decides its keys; a pair column may be null.
-    keys = [F.when(F.col("rows_1").isNotNull(), F.col(f"_k1_{k}")).otherwise(F.col(f"_k2_{k}")).alias(k) for k in spec.keys]
-    counts = [F.coalesce(f"rows_{i}", F.lit(0)).alias(f"rows_{i}") for i in (1, 2)]
-    return joined.select(*keys, *counts, *[f"{c}_{i}" for i in (1, 2) for c in spec.payload])
+        keyed = rows.select(pair.alias(f"_pair_{i}"), F.col(spec.entity).alias(f"_entity_{i}"), *values)
+        same = F.count(F.lit(1)).over(Window.partitionBy(f"_pair_{i}", f"_entity_{i}"))
+        return keyed.withColumn(f"rows_{i}", same).filter(_once(F.col(f"rows_{i}")))
+
+    cond = (F.col("_pair_1") == F.col("_pair_2")) & (F.col("_entity_1") == F.col("_entity_2"))
+    joined = side(1).join(side(2), cond, "full_outer").withColumn("_pair", F.coalesce("_pair_1", "_pair_2"))
+    keys = [F.col("_pair")[k].alias(k) for k in spec.pair_by]
+    counts = [F.coalesce(f"rows_{i}", F.lit(0)).cast("bigint").alias(f"rows_{i}") for i in (1, 2)]
+    named = F.coalesce("_entity_1", "_entity_2").alias(spec.entity)
+    return joined.select(*keys, named, *counts, *[f"{c}_{i}" for i in (1, 2) for c in spec.payload])
 
 
 def differs(m: Metric) -> Column:

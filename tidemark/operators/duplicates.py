@@ -12,7 +12,11 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import fold
 from tidemark.operators.scale import attach, keep_first, keep_matching, running_totals
-from tidemark.session import store
+from tidemark.session import Stored, store
+
+
+# Characters of a key that groups are ordered by at first.
+BEGINNING = 64
 
 
 class DuplicatesFound(ValueError):
@@ -20,7 +24,10 @@ class DuplicatesFound(ValueError):
 
 
 def _key(df: DataFrame, column: str, case_sensitive: bool) -> Column:
+    """The value that rows are compared by; there is one zero, whatever its sign."""
     c = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(c == 0, F.lit(0.0).cast(df.schema[column].dataType)).otherwise(c)
     if isinstance(df.schema[column].dataType, T.StringType):
         c = c if case_sensitive else fold(c)
         return F.coalesce(c, F.lit(""))
@@ -56,7 +63,8 @@ def flag_duplicates(
 
     Groups are numbered ``DUP_0001`` upward within ``by``, in key order. The
     numbers come from the groups, not from the rows. No row is removed. Rows meet
-    by a digest of their keys.
+    by a digest of their keys, and groups are ordered by the beginning of their first
+    key; whole keys are compared where beginnings are equal.
     """
     missing = [k for k in keys if k not in df.columns]
     if missing:
@@ -72,8 +80,8 @@ def flag_duplicates(
         raise DuplicatesFound(f"duplicates found on {list(keys)}")
     # The keys themselves are read for repeated digests only, to number them in key order.
     named = keep_matching(keyed.select(*on, *order), repeated, on, "n_rows", null_safe=on)
-    groups = named.groupBy(*on).agg(F.min(F.struct(*order)).alias("_keys")).select(*on, "_keys.*", F.lit(1).cast("bigint").alias("_one"))
-    ranked = running_totals(store(groups, "groups"), by, order, "_one")
+    groups = named.groupBy(*on).agg(F.min(F.struct(*order)).alias("_keys"))
+    ranked = running_totals(_sortable(groups, by, order), by, ["_begin", "_whole"], "_one")
     numbers = ranked.select(*on, F.format_string("DUP_%04d", F.col("before") + 1).alias("_group"))
     weighed = repeated.df.alias("_c").join(numbers.alias("_n"), reduce(and_, [F.col(f"_c.{c}").eqNullSafe(F.col(f"_n.{c}")) for c in on]))
     numbered = store(weighed.select(*[F.col(f"_c.{c}").alias(c) for c in on], "n_rows", "_group"), "duplicates")
@@ -87,6 +95,17 @@ def flag_duplicates(
     )
 
 
+def _sortable(groups: DataFrame, by: Sequence[str], order: Sequence[str]) -> Stored:
+    """Groups with ``_begin``, the first key or its beginning, and all keys as ``_whole`` where that is shared."""
+    first = F.col("_keys")[order[0]]
+    text = isinstance(groups.schema["_keys"].dataType[order[0]].dataType, T.StringType)
+    kept = store(groups.withColumn("_begin", F.left(first, F.lit(BEGINNING)) if text else first), "groups")
+    shared = kept.df.groupBy(*by, "_begin").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    marked = attach(kept.df, store(shared.withColumn("_shared", F.lit(True)), "beginnings"), [*by, "_begin"], "_n", null_safe=[*by, "_begin"])
+    sortable = marked.select(*[c for c in groups.columns if c != "_keys"], "_begin", F.when(F.col("_shared"), F.col("_keys")).alias("_whole"), F.lit(1).cast("bigint").alias("_one"))
+    return store(sortable, "sortable")
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), case_sensitive: bool = True) -> DataFrame:
     """Per group: duplicate keys, rows they hold, rows that are surplus."""
     return (

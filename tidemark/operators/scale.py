@@ -16,6 +16,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HEAVY_BYTES = 64 * 1024 * 1024
 # Most rows of a group that one task ranks, checked by counting.
 GROUP_LIMIT = 250_000
+# Most bytes of a table whose groups are ranked without looking at their sizes, by its measure.
+GROUP_BYTES = 64 * 1024 * 1024
 
 
 def attach(
@@ -114,7 +116,7 @@ def running_totals(
 
     Adds ``before`` and ``total``, plus the group totals of the expressions in
     ``sums``. ``cells`` is a stored table of distinct (by, order) keys. Where
-    its groups are small, a window per group does. Otherwise rows are cut into
+    its groups are small, in rows and in bytes, a window per group does. Otherwise rows are cut into
     slices by range partitioning, each slice is summed on its own and gets the
     total of the slices before it.
     """
@@ -123,6 +125,9 @@ def running_totals(
     group = Window.partitionBy(*by)
     to_previous = (Window.unboundedPreceding, -1)
     limit = GROUP_LIMIT if group_limit is None else group_limit
+    # Bytes of a group are taken from the average row, so that long keys are cut as well.
+    width = cells.nbytes / max(cells.rows, 1)
+    limit = min(limit, GROUP_BYTES / max(width, 1))
     if cells.rows <= limit or _largest_group(stored, by) <= limit:
         before = F.sum(weight).over(group.orderBy(*order).rowsBetween(*to_previous))
         return stored.select(

@@ -1,8 +1,14 @@
 """Spread, ranks and outliers of numeric columns, per group.
 
-The work is done on *cells*: distinct values with their number of rows. They
-are counted before the shuffle, so a value that fills a third of a table is
-one cell, and a group of any size is ranked slice by slice.
+Statistics take two passes. The first is one aggregate: count, mean, deviation and,
+from a mergeable sketch, a narrow bracket around each quartile. In the second
+all values outside the brackets snap to their edges, and what is left is
+counted: exact quartiles from about a thousandth of the distinct values.
+
+Ranks need every value. They work on *cells*, distinct values with their number
+of rows, which are counted before the shuffle, so a value that fills a third of a
+table is one cell, and a group of any size is ranked slice by slice. They
+come back to the rows by a row key, once for all fields.
 """
 
 from __future__ import annotations
@@ -19,24 +25,30 @@ from tidemark.functions.labels import outlier_flag, outlier_severity, outside_fe
 from tidemark.functions.numbers import not_nan, percent
 from tidemark.operators.rules import count_violations
 from tidemark.operators.scale import BROADCAST_BYTES, attach, running_totals
-from tidemark.session import Stored, measure, store
+from tidemark.session import Stored, materialise, store
 
+# Distinct ranks the sketch of a first pass tells apart, and the half width of a bracket in these.
+ACCURACY, MARGIN = 10_000, 3
+QUARTILES = (("q1", 0.25), ("q3", 0.75))
+EDGES = ("_q1_lo", "_q1_hi", "_q3_lo", "_q3_hi")
 STATS = ("n", "mean", "std", "std_pop", "min", "max", "q1", "q3", "iqr")
 HIGH_OUTLIER_RATE = 20.0
 
 
+def _long(df: DataFrame, fields: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """One row per value that is there: ``keep``, field, value."""
+    numbers = df.select(*keep, *[not_nan(F.col(f)).alias(f) for f in fields])
+    return numbers.unpivot(list(keep), list(fields), "field", "value").filter("value IS NOT NULL")
+
+
 def count_cells(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> Stored:
     """Distinct values per (by, field) and how many rows hold them."""
-    numbers = df.select(*by, *[not_nan(F.col(f)).alias(f) for f in fields])
-    long = numbers.unpivot(list(by), list(fields), "field", "value").filter("value IS NOT NULL")
-    return store(long.groupBy(*by, "field", "value").agg(F.count(F.lit(1)).alias("n")), "cells")
+    return store(_long(df, fields, by).groupBy(*by, "field", "value").agg(F.count(F.lit(1)).alias("n")), "cells")
 
 
 def ranked(cells: Stored, by: Sequence[str] = ()) -> DataFrame:
-    """The cells with the rows before them, the group's rows and its mean."""
-    weighted = {"_sum": F.col("value") * F.col("n")}
-    totals = running_totals(cells, [*by, "field"], ["value"], "n", weighted)
-    return totals.withColumn("mean", F.col("_sum") / F.col("total")).drop("_sum")
+    """The cells with the rows before them and the group's rows."""
+    return running_totals(cells, [*by, "field"], ["value"], "n")
 
 
 def _at_rank(rank: Column) -> Column:
@@ -44,45 +56,65 @@ def _at_rank(rank: Column) -> Column:
     return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
 
 
-def field_stats(ranked_cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, both standard deviations, exact interpolated quartiles."""
-    aggregates = [
-        F.max("total").alias("n_"),
-        F.max("mean").alias("mean_"),
-        F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2))).alias("ssd"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    for name, q in (("q1", 0.25), ("q3", 0.75)):
+def _moments(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> Stored:
+    """First pass: one row per (by, field) with count, mean, deviations, range and the brackets of the quartiles."""
+    share = F.array(*[F.lit(q + side * MARGIN / ACCURACY) for _, q in QUARTILES for side in (-1, 1)])
+    value = F.col("value")
+    grouped = _long(df, fields, by).groupBy(*by, "field").agg(
+        F.count(F.lit(1)).alias("total"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.stddev_pop(value).alias("std_pop"),
+        F.min(value).alias("min"), F.max(value).alias("max"), F.percentile_approx(value, share, ACCURACY).alias("_edges"),
+    )
+    # Where ranks are fewer than the sketch tells apart, the bracket is the whole range.
+    few = F.col("total") <= ACCURACY
+    edges = {c: F.when(few, F.col("min" if c.endswith("lo") else "max")).otherwise(F.col("_edges")[i]) for i, c in enumerate(EDGES)}
+    return store(grouped.withColumns(edges).drop("_edges"), "moments")
+
+
+def _bracketed(df: DataFrame, fields: Sequence[str], by: Sequence[str], moments: Stored) -> Stored:
+    """Second pass: (by, field), the values beside each quartile, and whether these lie in the brackets."""
+    on = [*by, "field"]
+    brackets = replace(moments, df=moments.df.select(*on, *EDGES, F.col("total").alias("_weight")))
+    value, (lo1, hi1, lo3, hi3) = F.col("value"), (F.col(c) for c in EDGES)
+    inside = value.between(lo1, hi1) | value.between(lo3, hi3)
+    edge = F.when(value < lo1, lo1).when(value < lo3, lo3).otherwise(hi3)
+    near = attach(_long(df, fields, by), brackets, on, "_weight", null_safe=by)
+    snapped = near.select(*on, F.when(inside, value).otherwise(edge).alias("to"), (~inside & (value < edge)).alias("up"), (~inside & (value > edge)).alias("down"))
+    counted = snapped.groupBy(*on, "to").agg(F.count(F.lit(1)).alias("n"), F.count_if("up").alias("up"), F.count_if("down").alias("down"))
+    cells = ranked(store(counted.withColumnRenamed("to", "value"), "cells"), by)
+    picks, sure = [], F.lit(True)
+    for name, q in QUARTILES:
         position = (F.col("total") - 1) * F.lit(q)
-        aggregates.append(_at_rank(F.floor(position)).alias(f"{name}_low"))
-        aggregates.append(_at_rank(F.ceil(position)).alias(f"{name}_high"))
+        for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
+            picks.append(_at_rank(rank).alias(f"{name}_{side}"))
+            here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+            known = (rank >= F.col("before") + F.col("up")) & (rank < F.col("before") + F.col("n") - F.col("down"))
+            sure = sure & (~here | known)
+    return store(cells.groupBy(*on).agg(*picks, F.bool_and(sure).alias("sure"), F.lit(1).alias("_one")), "quartiles")
+
+
+def field_stats(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Count, mean, both standard deviations, exact interpolated quartiles."""
+    on = [*by, "field"]
+    moments = _moments(df, fields, by)
+    found = _bracketed(df, fields, by, moments)
+    if not found.df.filter("NOT sure").isEmpty():
+        # The sketch promises brackets that hold; a group in which one does not gets its whole range.
+        doubtful = attach(moments.df, replace(found, df=found.df.select(*on, "sure", "_one")), on, "_one", null_safe=by)
+        wide = {c: F.when(F.col("sure"), F.col(c)).otherwise(F.col("min" if c.endswith("lo") else "max")) for c in EDGES}
+        found = _bracketed(df, fields, by, store(doubtful.withColumns(wide).drop("sure"), "moments"))
 
     def quartile(name: str, q: float) -> Column:
-        position = (F.col("n_") - 1) * F.lit(q)
+        position = (F.col("total") - 1) * F.lit(q)
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         return (low + (high - low) * (position - F.floor(position))).alias(name)
 
-    grouped = ranked_cells.groupBy(*by, "field").agg(*aggregates)
-    quartiles = grouped.select("*", quartile("q1", 0.25), quartile("q3", 0.75))
-    return quartiles.select(
-        *by,
-        "field",
-        F.col("n_").alias("n"),
-        F.col("mean_").alias("mean"),
-        F.sqrt(F.try_divide(F.col("ssd"), F.col("n_") - 1)).alias("std"),
-        F.sqrt(F.col("ssd") / F.col("n_")).alias("std_pop"),
-        "min",
-        "max",
-        "q1",
-        "q3",
-        (F.col("q3") - F.col("q1")).alias("iqr"),
-    )
+    both = attach(moments.df.drop(*EDGES), found, on, "_one", null_safe=by).select("*", *[quartile(*q) for q in QUARTILES])
+    return both.select(*on, F.col("total").alias("n"), "mean", "std", "std_pop", "min", "max", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
 
 
 def profile(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Statistics of each field in each group."""
-    return field_stats(ranked(count_cells(df, fields, by), by), by)
+    return field_stats(df, fields, by)
 
 
 def percent_rank_of_cell() -> Column:
@@ -90,6 +122,26 @@ def percent_rank_of_cell() -> Column:
     return F.when(F.col("total") > 1, F.col("before") / (F.col("total") - 1) * 100).otherwise(F.lit(0.0))
 
 
+def _with_ranks(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Add ``_<field>_rank``, the percent rank of each value in its group, or null.
+
+    Ranks that may be broadcast are looked up row by row. Others meet narrow rows of
+    a row key and one value, are put together by that key, and join the wide rows
+    once, however many fields there are.
+    """
+    cells = store(ranked(count_cells(df, fields, by), by).select(*by, "field", "value", "n", percent_rank_of_cell().alias("rank")), "ranked")
+    if cells.nbytes <= BROADCAST_BYTES:
+        for f in fields:
+            mine = cells.df.filter(F.col("field") == f).select(*by, F.col("value").alias(f"_{f}_key"), F.col("rank").alias(f"_{f}_rank"), "n")
+            df = attach(df.withColumn(f"_{f}_key", not_nan(F.col(f))), replace(cells, df=mine), [*by, f"_{f}_key"], "n", null_safe=by)
+        return df
+    # Stored, so that a row keeps its key.
+    rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    long = attach(_long(rows, fields, ["_row", *by]), cells, [*by, "field", "value"], "n", null_safe=by)
+    per_row = long.groupBy("_row").agg(*[F.max(F.when(F.col("field") == f, F.col("rank"))).alias(f"_{f}_rank") for f in fields])
+    return rows.join(per_row, "_row", "left").drop("_row")
+
+
 def with_outliers(
     df: DataFrame,
     fields: Sequence[str],
@@ -102,14 +154,8 @@ def with_outliers(
     Missing values get 0, 0 and ``None``. The rows themselves are not moved
     when the statistics and cells are small enough to broadcast.
     """
-    cells = count_cells(df, fields, by)
-    ranks = ranked(cells, by)
-    if percentiles:
-        # Read once for the statistics and once per field.
-        cells = store(ranks, "ranked")
-        ranks = cells.df
     wide = (
-        field_stats(ranks, by)
+        field_stats(df, fields, by)
         .groupBy(*by)
         .agg(
             F.max("n").alias("_weight"),
@@ -122,14 +168,7 @@ def with_outliers(
     )
     out = attach(df, store(wide, "stats"), by, "_weight", null_safe=by)
     if percentiles:
-        for f in fields:
-            mine = cells.df.filter(F.col("field") == f).select(
-                *by, F.col("value").alias(f"_{f}_key"), percent_rank_of_cell().alias(f"_{f}_rank"), "n"
-            )
-            # If all cells together may be broadcast, so may those of one field.
-            part = replace(cells, df=mine) if cells.nbytes <= BROADCAST_BYTES else measure(mine)
-            out = out.withColumn(f"_{f}_key", not_nan(F.col(f)))
-            out = attach(out, part, [*by, f"_{f}_key"], "n", null_safe=by)
+        out = _with_ranks(out, fields, by)
 
     added: list[Column] = []
     for f in fields:
@@ -151,23 +190,18 @@ def outlier_report(
     df: DataFrame, fields: Sequence[str], by: Sequence[str] = (), threshold: float = 3.0
 ) -> DataFrame:
     """Rows outside the fences and rows beyond ``threshold`` population z."""
-    cells = count_cells(df, fields, by)
     stats = store(
-        field_stats(ranked(cells, by), by).select(
+        field_stats(df, fields, by).select(
             *by, "field", "q1", "q3", "mean", F.col("std_pop").alias("std"), F.col("n").alias("_weight")
         ),
         "stats",
     )
-    joined = attach(cells.df, stats, [*by, "field"], "_weight", null_safe=by)
+    joined = attach(_long(df, fields, by), stats, [*by, "field"], "_weight", null_safe=by)
     z = F.abs(z_score(F.col("value"), F.col("mean"), F.col("std")))
-
-    def rows_where(test: Column) -> Column:
-        return F.sum(F.when(test, F.col("n")).otherwise(F.lit(0)))
-
     return joined.groupBy(*by, "field").agg(
-        F.sum("n").alias("n"),
-        rows_where(outside_fences(F.col("value"), F.col("q1"), F.col("q3"))).alias("iqr_outliers"),
-        rows_where(z > threshold).alias("z_outliers"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(outside_fences(F.col("value"), F.col("q1"), F.col("q3"))).alias("iqr_outliers"),
+        F.count_if(z > threshold).alias("z_outliers"),
     )
 
 

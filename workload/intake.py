@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import compare as C
 from tidemark.session import scratch_path
 from tidemark.sources import snapshots as source
 from tidemark.sources.store import LoadFailed
+from workload.comparison import SHORT_SQL
 from workload.frames import PERIODS, SNAPSHOTS_SQL, table
 from workload.registry import query
-from workload.storage import SCHEMA, loaded
+from workload.storage import SCHEMA, SHEET_SPEC, loaded, new_store, sheet_snapshots
 
 # -- files with broken records ---------------------------------------------------
 
@@ -87,3 +89,12 @@ def load_over_itself(spark, sf_dir):
     return store.read("snapshots").groupBy("subject", "period").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("papers").alias("papers"), F.count_if(F.col("period") == PERIODS[0]).alias("loaded_twice")
     )
+
+
+@query(f"{SHORT_SQL} SELECT subject, status, count(*) AS n, CAST(sum(CASE WHEN status NOT LIKE 'only_in%' THEN papers_2 - papers_1 END) AS BIGINT) AS papers_change FROM cmp GROUP BY ALL")
+def bucketed_comparison(spark, sf_dir):
+    """Snapshots that are stored in buckets by name are compared without a shuffle."""
+    store = new_store(spark)
+    store.load(sheet_snapshots(spark, sf_dir), {"snapshots": SCHEMA}, buckets=8)
+    compared = C.compare(store.read("snapshots"), SHEET_SPEC)
+    return compared.groupBy("subject", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("papers_change").alias("papers_change"))
