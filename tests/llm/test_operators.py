@@ -236,6 +236,50 @@ def test_packing_keeps_every_word_and_rule(spark, sf_dir, docs):
         assert len(rows) == 1 or max(Counter(r["source"] for r in rows).values()) <= packing.PER_SOURCE
 
 
+def _with_partitions(spark, n, f):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        return f()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_packing_and_mix_do_not_depend_on_partitions(spark, sf_dir):
+    for query in (packing.op5_best_fit_packing, mixing.op6_source_mix):
+        few, many = (_with_partitions(spark, n, lambda: sorted(map(str, query(spark, sf_dir).collect()))) for n in (4, 16))
+        assert few == many
+
+
+def test_fill_of_bins(spark, sf_dir, docs):
+    placed = packing.op5_best_fit_packing(spark, sf_dir)
+    bins = {(r["shard"], r["bin"]): r["filled"] for r in placed.collect()}
+    found = packing.fill(placed).first()
+    assert (found["n_bins"], found["n_words"]) == (len(bins), sum(bins.values())) == (len(bins), sum(len(brute.words(t)) for _, t, _, _ in docs))
+    assert found["fill"] == pytest.approx(sum(bins.values()) / len(bins) / packing.CAPACITY) and found["fill"] > 0.75
+
+
+def test_packing_is_best_fit_decreasing(spark):
+    """The whole result, against trying all bins for every document of the one shard."""
+    rng = random.Random(21)
+    rows = [(i, " ".join("w" for _ in range(rng.randrange(0, 70))) + f" {rng.randrange(90)}", rng.choice("abc")) for i in range(150)]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3), capacity=100).collect()
+    cluster = {r["id"]: r["cluster"] for r in found}
+    size = {i: len(brute.words(t)) for i, t, _ in rows}
+    source = {i: s for i, _, s in rows}
+    bins, want = [], {}
+    for i in sorted(size, key=lambda i: (-size[i], i, source[i], cluster[i])):
+        fits = [
+            (100 - sum(size[j] for j in b), k) for k, b in enumerate(bins)
+            if sum(size[j] for j in b) + size[i] <= 100 and all(cluster[j] != cluster[i] for j in b) and sum(source[j] == source[i] for j in b) < 2
+        ]
+        if not fits:
+            bins.append([])
+        want[i] = min(fits)[1] if fits else len(bins) - 1
+        bins[want[i]].append(i)
+    assert {r["id"]: r["bin"] for r in found} == want
+
+
 def test_best_fit_is_the_tightest_compatible_bin():
     rng = random.Random(9)
     bins, plain = packing.Bins(100, 2), []

@@ -29,12 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import n_words, partitions, table
+from tidemark.llm.common import n_words, table
 from tidemark.llm.registry import query
 from tidemark.session import materialise, store
 
 MOST_COPIES = 3
-STEPS = 40
+STEPS = 100  # many times what Newton's method and the bracket need
 TOLERANCE = 1e-4  # of a target; rounding settles the rest
 BUCKET_ROWS = 20_000
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -114,6 +114,8 @@ def tilts(cells: DataFrame, wanted: DataFrame, cap: int = MOST_COPIES) -> DataFr
         )
         if state.filter(~F.col("done")).isEmpty():
             break
+    else:
+        raise RuntimeError(f"the tilts did not settle in {STEPS} steps")
     return state.select("source", "mean", "tilt")
 
 
@@ -166,7 +168,8 @@ def copies(
     plan = _copies_of_cells(filled, wanted, tilts(filled, wanted, cap), cap)
 
     # Spread the extra copies of a cell over buckets, in proportion to their rows.
-    buckets = max(4 * partitions(sized.sparkSession), -(-rows // BUCKET_ROWS))
+    # Their number comes from the rows alone, so that the choice does not depend on how a session is set up.
+    buckets = max(1, -(-rows // BUCKET_ROWS))
     pick = F.xxhash64(*order)
     dealt = sized.withColumns({"_pick": pick, "_bucket": F.pmod(F.shiftright(pick, 20), F.lit(buckets))})
     parts = dealt.groupBy("source", "size", "_bucket").agg(F.count(F.lit(1)).alias("_m"))

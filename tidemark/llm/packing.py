@@ -20,8 +20,9 @@ a bit of its own and no compatible bin is passed over.
 Defined cases: null or empty texts have size 0 and take a place in a bin
 without filling it; null sources are one source; a null cluster conflicts with
 nothing; repeated rows are documents of their own (and, with the same text, of
-one cluster); an empty table gives no rows. Results do not depend on the order
-of the input.
+one cluster); an empty table gives no rows; other columns are left out, under any
+name. Results depend neither on the order of the input nor on settings of
+the session.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, n_words, partitions, streamed_groups, table, whole
+from tidemark.llm.common import ascii_lower, n_words, streamed_groups, table, whole
 from tidemark.llm.registry import query
 from tidemark.session import store
 
@@ -129,7 +130,8 @@ def pack(
         (cluster_of(t) if cluster is None else cluster).alias("cluster"),
     )
     stored = store(items, "items")
-    shards = max(4 * partitions(docs.sparkSession), -(-stored.rows // shard_rows))
+    # From the rows alone, so that bins do not depend on how a session is set up.
+    shards = max(1, -(-stored.rows // shard_rows))
     # Repeated rows differ in ``turn``, so that they are spread as well.
     many = stored.df.groupBy("id", "size", "source", "cluster").agg(F.count(F.lit(1)).alias("n"))
     turns = many.select("id", "size", "source", "cluster", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("turn"))
@@ -147,6 +149,15 @@ def pack(
     return placed.withColumns({"id": F.when(F.col("turn") > 0, F.col("id")), "turn": F.abs("turn")})
 
 
+def fill(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """How well the bins are filled: n_bins, n_words, n_full (bins without room) and fill, the share of all room that is used."""
+    bins = placed.groupBy("shard", "bin").agg(F.max("filled").alias("filled"))
+    return bins.agg(
+        F.count(F.lit(1)).alias("n_bins"), F.sum("filled").alias("n_words"), F.count_if(F.col("filled") == capacity).alias("n_full"),
+        F.try_divide(F.sum("filled").cast("double"), F.count(F.lit(1)) * capacity).alias("fill"),
+    )
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
