@@ -404,6 +404,40 @@ def test_removed_windows_of_repetitive_texts(spark, seed):
         assert (r["n_words"], r["n_removed"], r["kept"]) == (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
 
 
+def test_factors_are_the_longest_there_are():
+    """Greedy, relative to smaller ids only, each run in one document."""
+    a = np.uint64(9)
+
+    def parse(*phrases):
+        n = np.array([len(w) for _, w in phrases])
+        found = substrings.factors(np.full(len(n), a), n, np.concatenate([np.array(w, np.uint64) for _, w in phrases]), np.array([i for i, _ in phrases]))
+        return sorted(zip(*(x.tolist() for x in found)))
+
+    assert parse((1, [1, 2, 3]), (2, [2, 3, 4, 5]), (3, [1, 2, 3, 4, 5, 6])) == [(1, 0, 2), (2, 0, 3), (2, 3, 2)]
+    assert parse((5, [1, 2, 3, 4]), (4, [3, 4]), (3, [1]), (2, [2, 3, 4, 5])) == [(0, 0, 1), (0, 1, 3), (1, 0, 2)]
+    assert parse((1, [7, 8]), (1, [7, 8])) == []
+    rng = random.Random(6)
+    for _ in range(200):
+        # Phrases of one anchor: parts of a line in which words differ here and there.
+        lines = [[(k, rng.random() < 0.2 and rng.randrange(3)) for k in range(80)] for _ in range(6)]
+        symbols, phrases = {}, []
+        for line in lines:
+            lo, hi = sorted(rng.sample(range(32), 2))
+            phrases.append((rng.randrange(4), [symbols.setdefault((j, tuple(line[j : j + 40])), len(symbols) + 1) for j in range(lo, hi)]))
+        want = []
+        for p, (i, w) in enumerate(phrases):
+            at = 0
+            while at < len(w):
+                ends = [
+                    next((k for k in range(len(w) - at) if v[v.index(w[at]) + k : v.index(w[at]) + k + 1] != [w[at + k]]), len(w) - at)
+                    for j, v in phrases if j < i and w[at] in v
+                ]
+                if ends:
+                    want.append((p, at, max(ends)))
+                at += max(ends, default=1)
+        assert parse(*phrases) == sorted(want)
+
+
 # -- 10 ---------------------------------------------------------------------
 
 

@@ -1,23 +1,25 @@
 """Removal of repeated passages by relative Lempel-Ziv parsing.
 
-A document is parsed against reference blocks that hold the whole corpus. The
-parse cuts it into phrases at content-defined places: every window of ``WINDOW``
-words belongs to its anchor, the run of ``GRAM`` words in it with the smallest
-hash (the first of equal ones), and neighbouring windows with the same anchor
-make a phrase. Equal passages are cut alike wherever they stand, so all
-places that a window could match are in one block: that of its anchor's hash.
-
-In a block, phrases are looked up greedily: a phrase that is equal as a whole
-to one of a document with a smaller id is a factor at once. What is not is
-checked window by window, which settles the windows at the boundaries of a
-repeated passage, where a factor begins or ends inside a phrase. Windows found
-in a document with a smaller id become spans; spans of a document are merged.
-A window is compared by two independent 64-bit hashes (anchor and window) and
-its place relative to the anchor.
+The symbols of the parse are windows of ``WINDOW`` words, so every factor is long
+enough to be removed. The whole corpus is the reference, in blocks: every window
+belongs to its anchor, the run of ``GRAM`` words in it with the smallest hash (the
+first of equal ones), and neighbouring windows with the same anchor make a phrase.
+Equal passages are cut alike wherever they stand, so all places that
+a window could match are in one block: that of its anchor's hash.
+
+A block indexes its windows by hash. Each phrase is factored against it greedily:
+from the first window that a document with a smaller id has too, the longest run
+of windows is taken that stands in a row in one such document; then the parse goes
+on behind it. As all windows of a phrase hold its anchor, two of them that are
+the same in another phrase have only the same words between them. So a run is known by its first and
+its last window, and a factor is checked at its boundaries alone. Factors become
+spans; spans of a document are merged. A window is compared by two
+independent 64-bit hashes (anchor and window).
 
 Every piece of a batch first settles the repeats inside itself, so a passage
-that fills a third of the corpus sends one phrase per piece to its block. Blocks are
-shuffle partitions; phrases, not texts, travel.
+that fills a third of the corpus sends one phrase per piece to its block. Phrases,
+not texts, travel. A task sorts its phrases by anchor and holds a batch and the phrases of one
+anchor at a time.
 
 Defined cases: null text has no words; a text shorter than a window keeps all
 its words. Rows with the same id are one document to each other: their windows
@@ -35,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import joined, partitions, pieces, table
+from tidemark.llm.common import joined, pieces, table, whole_groups
 from tidemark.llm.registry import query
 from tidemark.llm.tokens import mix, window_hashes, word_hashes
 from tidemark.session import store
@@ -110,46 +112,60 @@ def _parsed(window: int, gram: int):
     return run
 
 
-def _factored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans of windows of one block that a document with a smaller id has too."""
-    rows = [b for b in batches if len(b)]
-    if not rows:
-        return
-    rows = pd.concat(rows, ignore_index=True)
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places starts[i] to starts[i] + sizes[i] - 1 of all i, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def factors(anchor: np.ndarray, n: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The greedy parse of a block: phrase, first window and number of windows of each factor.
+
+    Phrases have an anchor, ``n`` of the ``windows`` and the id of their document.
+    """
+    first = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(n)), n)
+    key = mix(mix(windows, 5) + anchor[owner], 6)
+    found = np.flatnonzero(_smaller([key], ids[owner]))
+    new = np.ones(len(found), bool)
+    new[1:] = owner[found[1:]] != owner[found[:-1]]
+    now = found[new]  # where each phrase is being read
+    parsed = []
+    while len(now):
+        # All places that begin like a factor, and every end that each of them could have.
+        starts = np.unique(key[now])
+        at = np.minimum(np.searchsorted(starts, key), len(starts) - 1)
+        places = np.flatnonzero(starts[at] == key)
+        sizes = (first + n)[owner[places]] - places
+        ends = _ranges(places, sizes)
+        run = np.repeat(np.arange(len(places)), sizes)
+        known = _smaller([mix(mix(windows[ends], 7) + key[places][run], 8)], ids[owner[ends]])
+        # A run that is known is known up to each of its windows, so their number is its length.
+        length = np.bincount(run[known], minlength=len(places))[np.searchsorted(places, now)]
+        parsed.append((owner[now], now - first[owner[now]], length))
+        behind = np.searchsorted(found, now + length)
+        more = behind < len(found)
+        more[more] = owner[found[behind[more]]] == owner[now[more]]
+        now = found[behind[more]]
+    return tuple(np.concatenate([x[i] for x in parsed] + [np.zeros(0, np.int64)]).astype(np.int64) for i in range(3))
+
+
+def _factored(rows: pd.DataFrame, _: np.ndarray) -> pd.DataFrame:
+    """Spans of the factors of whole blocks, and those that are settled already."""
     settled = rows["known"].to_numpy(bool)
-    yield rows.loc[settled, ["id", "text_key", "low", "n"]]
-    rows = rows[~settled]
+    columns = ["id", "text_key", "low", "n"]
+    done, rows = rows.loc[settled, columns], rows[~settled]
     if not len(rows):
-        return
-    n = rows["n"].to_numpy()
-    window = np.frombuffer(b"".join(rows["windows"]), np.uint64)
-    ids, anchor = rows["id"].to_numpy(), rows["anchor"].to_numpy()
-    first = np.cumsum(n) - n
-    # Greedy first: phrases that are equal as a whole.
-    total = np.concatenate([[np.uint64(0)], np.cumsum(window, dtype=np.uint64)])
-    equal = _smaller([total[first + n] - total[first], n, anchor], ids)
-    # Then the windows of phrases that share their anchor.
-    order = np.argsort(anchor, kind="stable")
-    same = np.zeros(len(anchor), bool)
-    pair = anchor[order][1:] == anchor[order][:-1]
-    same[order[1:]] |= pair
-    same[order[:-1]] |= pair
-    part = np.repeat(same, n)
-    owner = np.repeat(np.arange(len(n)), n)[part]
-    at = np.arange(len(window))[part] - first[owner]
-    hit = _smaller([window[part], anchor[owner]], ids[owner]) | equal[owner]
-    owner, at = owner[hit], at[hit]
-    new = np.ones(len(at), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)
-    start = np.flatnonzero(new)
-    picked = rows.iloc[owner[start]]
-    yield pd.DataFrame(
-        {
-            "id": picked["id"].to_numpy(), "text_key": picked["text_key"].to_numpy(),
-            "low": (picked["low"].to_numpy() + at[start]).astype(np.int32),
-            "n": np.diff(np.append(start, len(at))).astype(np.int32),
-        }
-    )
+        return done
+    n = rows["n"].to_numpy(np.int64)
+    windows, ids, anchor = np.frombuffer(b"".join(rows["windows"]), np.uint64), rows["id"].to_numpy(), rows["anchor"].to_numpy().view(np.uint64)
+    # An anchor that stands alone has nothing to be found in.
+    _, which, count = np.unique(anchor, return_inverse=True, return_counts=True)
+    shared = count[which] > 1
+    phrase, start, length = factors(anchor[shared], n[shared], windows[np.repeat(shared, n)], ids[shared])
+    picked = rows[shared].iloc[phrase]
+    spans = pd.DataFrame({"id": picked["id"].to_numpy(), "text_key": picked["text_key"].to_numpy(), "low": picked["low"].to_numpy() + start, "n": length})
+    return pd.concat([done, spans], ignore_index=True).astype({"low": np.int32, "n": np.int32})
 
 
 def _asked(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -160,8 +176,7 @@ def _asked(docs: DataFrame, id: str, text: str) -> DataFrame:
 def spans(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """id, text_key and the runs of repeated windows: windows low to low + n - 1 start a passage seen in a smaller id."""
     phrases = _asked(docs, id, text).mapInPandas(_parsed(window, gram), _PHRASE)
-    blocks = phrases.repartition(partitions(docs.sparkSession), "anchor")
-    return blocks.mapInPandas(_factored, _SPAN)
+    return whole_groups(phrases, ["anchor"], _factored, _SPAN)
 
 
 def _kept(window: int):
