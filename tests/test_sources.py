@@ -2,16 +2,20 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import presets as R
 from tidemark.operators import compare as C
+from tidemark.operators import filters
+from tidemark.operators.contents import snapshot_contents
 from tidemark.operators.marts import Roles
 from tidemark.plans import comparison as plan
 from tidemark.plans import preparation
 from tidemark.sources import reports, snapshots as S
+from tidemark.sources.pages import NameIndex, Pages
 from tidemark.sources.store import LoadFailed, Store
 
 HEADER = "Name,Times Cited,ESI Field,Extra\n"
@@ -332,3 +336,58 @@ def test_from_files_to_reports(spark, tmp_path):
     docs = spark.read.json(f"{tmp_path}/reports/summaries")
     assert {r[0] for r in docs.select("comparison_id").collect()} == {"physics_highly_cited_only", "space_science_highly_cited_only"}
     assert "outlier_analysis" in docs.columns and "duplicate_analysis" in docs.columns
+
+
+def test_contents_do_not_depend_on_order_and_notice_everything_else(spark):
+    rows = [("a", None, 1.0), ("b", 2, 0.0), ("b", 2, 0.0), (None, 2, float("nan"))]
+    schema = "name string, n int, x double"
+    contents = lambda rows: snapshot_contents(spark.createDataFrame(rows, schema).repartition(3), []).first()["content_hash"]
+    want = contents(rows)
+    assert contents(rows[::-1]) == want and contents([*rows[:3], (None, 2, float("nan"))]) == want
+    for other in (rows[:3], [*rows, rows[1]], [("a", 1, 1.0), *rows[1:]], [(None, None, 1.0), *rows[1:]], [("a", None, 1.0), ("b", 2, 0.0), (None, 2, float("nan")), (None, 2, float("nan"))]):
+        assert contents(other) != want
+
+
+def test_counters_come_from_the_write(spark, snaps, tmp_path):
+    """Every row passes once while a table is loaded and counted."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for b in batches:
+            passed.add(len(b))
+            yield b
+
+    store = Store(spark, "five", str(tmp_path / "five"))
+    rows = snaps.mapInPandas(through, snaps.schema)
+    report = store.load(rows, {"t": SCHEMA}, counters={"papers": F.sum("papers"), "n": F.count(F.lit(1))})
+    assert (report.rows_in, report.rows_stored, report.counted["t"]) == (16, 16, {"papers": 24, "n": 16}) and passed.value == 16
+
+
+def test_pages_skip_the_files_of_others(spark, tmp_path):
+    rows = [(f"N{i:04d}" if i % 50 else None, i % 7, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "name string, n int, id int")
+    keys = {"k1": -F.col("n"), "k2": F.lower("name"), "k3": F.col("id")}
+    pages = Pages.write(df, str(tmp_path / "pages"), keys, ranges=8, lookup=["name"])
+    want = sorted(rows, key=lambda r: (-r[1], r[0] is not None, (r[0] or "").lower(), r[2]))
+    got, after = [], None
+    while page := pages.page(90, after).collect():
+        got += [(r["name"], r["n"], r["id"]) for r in page]
+        after = tuple(page[-1][k] for k in keys)
+    assert got == want
+    second = pages.page(90, tuple(pages.page(90).collect()[-1][k] for k in keys))
+    plan_text = second._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_range#" in plan_text
+    read = {r["f"] for r in second.select(F.input_file_name().alias("f")).collect()}
+    files = {r["f"] for r in pages.rows().select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(files) >= 8 and len(read) <= 2
+
+
+def test_names_are_found_by_trigrams(spark, tmp_path):
+    names = ["Ada Lovelace", "ADA", "ad", "Bob", None, "", "Cada", "\u00c4da \u00df", "lovelace lovelace", "a%b_c"]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate([*names, *names])], "name string, i int")
+    index = NameIndex.write(df, str(tmp_path / "names"))
+    for text in ("ada", "LACE", "ad", "", "love", "lovelace l", "\u00e4DA", "%b_", "zzz", "adada"):
+        found = sorted(r["i"] for r in index.search(df, text).collect())
+        assert found == sorted(r["i"] for r in filters.search(df, text).collect()), text
+    plan_text = index.names("lovelace")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*part#", plan_text) and "In(gram, " in plan_text

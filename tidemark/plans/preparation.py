@@ -12,6 +12,7 @@ from tidemark.operators import duplicates, nulls, rules, shape
 from tidemark.operators.scale import attach
 from tidemark.operators.stats import outlier_report
 from tidemark.session import store
+from tidemark.sources.store import Store
 from tidemark.spec import LightTransform
 
 # Most spellings that are looked up in an expression, which tries one by one.
@@ -85,6 +86,26 @@ def transform_counts(raw: DataFrame, prepared: DataFrame, settings: LightTransfo
     return spelled.join(flagged, by, "left").na.fill(0, ["duplicates_flagged", "duplicate_groups"])
 
 
+def load_prepared(store_: Store, raw: DataFrame, settings: LightTransform, schemas: dict, **how) -> DataFrame:
+    """Transform and load in one flow; the run's counters are seen in the write.
+
+    ``raw`` has canonical headers. One row: records_processed, records_changed,
+    duplicates_flagged, rows_in, rows_stored, tables and failures. Nothing is read again for it.
+    """
+    c = settings.category_column
+    prepared = light_transform(raw.withColumn("_old", F.coalesce(F.col(c), F.lit(""))), settings, mapped=True)
+    counters = {
+        "records_processed": F.count(F.lit(1)),
+        "records_changed": F.count_if(F.col("_old") != F.coalesce(F.col(c), F.lit(""))),
+        "duplicates_flagged": F.count_if("is_duplicate"),
+    }
+    done = store_.load(prepared, schemas, counters=counters, **how)
+    sums = {n: sum(seen[n] for seen in done.counted.values()) for n in counters}
+    row = (*sums.values(), done.rows_in, done.rows_stored, len(done.tables), sorted(done.failures))
+    kinds = "rows_in bigint, rows_stored bigint, tables int, failures array<string>"
+    return raw.sparkSession.createDataFrame([row], ", ".join(f"{n} bigint" for n in counters) + f", {kinds}")
+
+
 def clean(
     df: DataFrame,
     settings: LightTransform,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import is_blank
+from tidemark.operators.contents import snapshot_contents
 from tidemark.operators.rules import count_violations
 from tidemark.operators.scale import first_rows
 from tidemark.operators.shape import column_difference, enforced
@@ -285,24 +286,33 @@ class Store:
             out = out.unionByName(p)
         return out
 
+    def contents(self, table: str, by: Sequence[str] = PARTITIONS) -> DataFrame:
+        """Rows and content hash of every snapshot in a table."""
+        return snapshot_contents(self.read(table), by)
+
     def reconcile(self, table: str, expected: DataFrame, by: Sequence[str] = PARTITIONS) -> DataFrame:
         """Expected against stored rows per snapshot, with a verdict.
 
-        ``expected`` holds ``by`` and ``row_count``. Missing, unexpected and
-        empty snapshots and wrong counts are told apart.
+        ``expected`` holds ``by`` and ``row_count``, and may hold ``content_hash``
+        (see ``snapshot_contents``), which tells changed values where counts agree. Missing,
+        unexpected and empty snapshots, wrong counts and wrong contents are told apart.
         """
-        want = expected.select(*by, F.col("row_count").alias("expected_rows"))
-        have = self.read(table).groupBy(*by).agg(F.count(F.lit(1)).alias("stored_rows"))
+        hashed = "content_hash" in expected.columns
+        found = self.contents(table, by) if hashed else self.read(table).groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+        names = {"row_count": "rows", **({"content_hash": "content"} if hashed else {})}
+        sides = [df.select(*by, *[F.col(c).alias(f"{side}_{n}") for c, n in names.items()]) for side, df in (("expected", expected), ("stored", found))]
         # Grouped, not joined, so that snapshots with a null in their name meet as well.
-        both = want.unionByName(have, allowMissingColumns=True).groupBy(*by)
-        both = both.agg(F.max("expected_rows").alias("expected_rows"), F.max("stored_rows").alias("stored_rows"))
+        both = sides[0].unionByName(sides[1], allowMissingColumns=True).groupBy(*by)
+        both = both.agg(*[F.max(f"{side}_{n}").alias(f"{side}_{n}") for n in names.values() for side in ("expected", "stored")])
         verdict = (
             F.when(F.col("expected_rows").isNull(), "unexpected")
             .when(F.col("stored_rows").isNull(), "missing")
             .when(F.col("expected_rows") != F.col("stored_rows"), "row_count_mismatch")
-            .otherwise("ok")
         )
-        return both.withColumn("verdict", verdict)
+        if hashed:
+            verdict = verdict.when(F.col("expected_content") != F.col("stored_content"), "content_mismatch")
+        out = both.withColumn("verdict", verdict.otherwise("ok"))
+        return out.drop("expected_content", "stored_content")
 
     def validate(
         self, table: str, critical: Sequence[str], name: str = "name", non_negative: Sequence[str] = ()

@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import compare as C
+from tidemark.operators import stats as S
+from tidemark.operators.contents import snapshot_contents
+from tidemark.operators.shape import enforced
+from tidemark.plans import preparation as P
 from tidemark.session import scratch_path
 from tidemark.sources import snapshots as source
-from tidemark.sources.store import LoadFailed
+from tidemark.sources.pages import NameIndex, Pages
+from tidemark.sources.store import PARTITIONS, LoadFailed
 from workload.comparison import SHORT_SQL
+from workload.dashboards import ENTRIES_SQL, entries, stored_entries
 from workload.frames import PERIODS, SNAPSHOTS_SQL, table
 from workload.registry import query
+from workload.preparation import PART_SETTINGS, PREPARED_SQL, mapped_parts
+from workload.statistics import EVENT_SQL, enriched_events
 from workload.storage import SCHEMA, SHEET_SPEC, loaded, new_store, sheet_snapshots
+from workload.untidy import SHEETS_SQL, sheets
 
 # -- files with broken records ---------------------------------------------------
 
@@ -98,3 +107,85 @@ def bucketed_comparison(spark, sf_dir):
     store.load(sheet_snapshots(spark, sf_dir), {"snapshots": SCHEMA}, buckets=8)
     compared = C.compare(store.read("snapshots"), SHEET_SPEC)
     return compared.groupBy("subject", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("papers_change").alias("papers_change"))
+
+
+@query(
+    f"""WITH {SHEETS_SQL}, marked AS (SELECT *, CASE WHEN subject = '2-HIGH' AND id % 10 = 0 THEN 1 WHEN subject = '3-MEDIUM' AND id % 10 IN (0, 1) THEN 2 WHEN subject = '5-LOW' AND id % 50 = 0 THEN 3 END AS mark FROM sheets)
+SELECT sheet_type, period, subject, count(*) AS expected_rows, count(*) - count(*) FILTER (WHERE mark = 3) AS stored_rows,
+  CASE WHEN count(*) FILTER (WHERE mark = 3) > 0 THEN 'row_count_mismatch' WHEN count(mark) > 0 THEN 'content_mismatch' ELSE 'ok' END AS verdict FROM marked GROUP BY ALL"""
+)
+def reconciliation_contents(spark, sf_dir):
+    """Changed numbers, names with a blank more, and lost rows, in a table that is stored in another order."""
+    schema = "name STRING, papers BIGINT"
+    key, subject = F.col("o_orderkey"), F.col("subject")
+    rows = sheets(spark, sf_dir, "o_orderkey")
+    papers = F.when((subject == "2-HIGH") & (key % 10 == 0), F.col("papers") + 1).otherwise(F.col("papers"))
+    name = F.when((subject == "3-MEDIUM") & (key % 10 < 2), F.concat("name", F.lit(" "))).otherwise(F.col("name"))
+    changed = rows.withColumns({"papers": papers, "name": name}).filter(~((subject == "5-LOW") & (key % 50 == 0)))
+    store = new_store(spark)
+    store.load(changed.orderBy(F.desc("name")), {"t": schema})
+    wanted = snapshot_contents(enforced(rows, schema, keep=PARTITIONS), PARTITIONS)
+    return store.reconcile("t", wanted)
+
+
+@query(
+    f"""WITH {PREPARED_SQL} SELECT count(*) AS records_processed, count(*) FILTER (WHERE p_type != esi_field) AS records_changed, count(*) FILTER (WHERE is_duplicate) AS duplicates_flagged,
+  count(*) AS rows_in, count(*) AS rows_stored, 1 AS tables, 0 AS n_failures FROM prep"""
+)
+def observed_load(spark, sf_dir):
+    """Counters of a transform and a load, seen while the table is written."""
+    named = {"subject": F.col("p_brand"), "sheet_type": F.lit("parts"), "period": F.lit("p1")}
+    schema = f"{PART_SETTINGS.schema}, is_duplicate BOOLEAN, duplicate_group_id STRING"
+    run = P.load_prepared(new_store(spark), mapped_parts(spark, sf_dir).withColumns(named), PART_SETTINGS, {"parts": schema})
+    return run.withColumn("n_failures", F.size("failures")).drop("failures")
+
+
+# -- views ------------------------------------------------------------------------
+
+
+def _paged(spark, sf_dir) -> Pages:
+    keys = {"_k1": -F.col("paper_change"), "_k2": F.lower("name"), "_k3": F.col("subject")}
+    return Pages.write(entries(spark, sf_dir), scratch_path(spark, "pages"), keys, lookup=["name"])
+
+
+@query(ENTRIES_SQL + "SELECT name, subject, paper_change FROM ent ORDER BY paper_change DESC, lower(name), subject LIMIT 40 OFFSET 40")
+def second_page(spark, sf_dir):
+    """Entries by their change, 40 a page; the second page starts behind the last row of the first."""
+    pages = _paged(spark, sf_dir)
+    last = pages.page(40).select(*pages.keys).collect()[-1]
+    return pages.page(40, tuple(last)).select("name", "subject", "paper_change")
+
+
+@query(ENTRIES_SQL + "SELECT * FROM ent WHERE contains(lower(name), '0007') UNION ALL SELECT * FROM ent WHERE contains(lower(name), '9')")
+def search_names_by_trigrams(spark, sf_dir):
+    """The rows that a scan finds, for a text with trigrams and one that is too short for them."""
+    rows = stored_entries(spark, sf_dir)
+    index = NameIndex.write(rows, scratch_path(spark, "names"))
+    return index.search(rows, "0007").unionByName(index.search(rows, "9"))
+
+
+# -- checks that find something -----------------------------------------------------
+
+
+@query(
+    EVENT_SQL
+    + """, spoiled AS (SELECT event_type, value, CASE WHEN event_id % 7 != 0 THEN value_z_score END AS z, CASE event_id % 11 WHEN 0 THEN -0.5 WHEN 1 THEN 100.5 ELSE value_percentile END AS p,
+  value_outlier_flag AS flag, CASE WHEN event_id % 2 = 0 THEN 'Normal' ELSE outlier_severity END AS severity FROM enriched),
+checked AS (SELECT event_type, count(*) FILTER (WHERE value IS NOT NULL AND z IS NULL) AS a, count(*) FILTER (WHERE p < 0 OR p > 100) AS b,
+  count(*) FILTER (WHERE severity != 'Normal') AS c, count(*) FILTER (WHERE flag != 'None' AND severity = 'Normal') AS d FROM spoiled GROUP BY event_type)
+SELECT event_type, 'null_z_score' AS "check", 'value' AS column_name, a AS violations FROM checked
+UNION ALL SELECT event_type, 'percentile_out_of_range', 'value', b FROM checked
+UNION ALL SELECT event_type, 'outlier_row', 'outlier_severity', c FROM checked
+UNION ALL SELECT event_type, 'flag_without_severity', 'outlier_severity', d FROM checked"""
+)
+def statistics_violations(spark, sf_dir):
+    """Enriched rows with missing scores, percentiles out of range and lost severities."""
+    key = F.col("event_id")
+    spoiled = enriched_events(spark, sf_dir).withColumns(
+        {
+            "value_z_score": F.when(key % 7 != 0, F.col("value_z_score")),
+            "value_percentile": F.when(key % 11 == 0, -0.5).when(key % 11 == 1, 100.5).otherwise(F.col("value_percentile")),
+            "outlier_severity": F.when(key % 2 == 0, "Normal").otherwise(F.col("outlier_severity")),
+        }
+    )
+    return S.check_statistics(spoiled, ["value"], ["event_type"])

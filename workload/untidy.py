@@ -136,7 +136,7 @@ SHEETS_SQL = """sheets AS (
     o_orderpriority AS subject, 'p1' AS period, CASE o_orderstatus WHEN 'F' THEN 'f' WHEN 'O' THEN 'o' END AS sheet_type FROM orders)"""
 
 
-def sheets(spark, sf_dir):
+def sheets(spark, sf_dir, *more):
     """Orders as rows of two sheets, and of none."""
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
@@ -145,6 +145,7 @@ def sheets(spark, sf_dir):
         F.col("o_orderpriority").alias("subject"),
         F.lit("p1").alias("period"),
         F.when(status == "F", "f").when(status == "O", "o").alias("sheet_type"),
+        *more,
     )
 
 
