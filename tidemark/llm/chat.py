@@ -8,6 +8,10 @@ and put an empty turn in front; at the end it may add an empty turn. A dynamic
 program finds the cheapest legal sequence, which is then rendered message by
 message between ``<|im_start|>`` and ``<|im_end|>``.
 
+Marks of the rendered form that stand in a text get a backslash, ``<\\|im_end|>``,
+and one more if they have some already, so no text can forge a turn and the
+text can be read back.
+
 The cost of a run of turns, from each state to each state, is a matrix, and
 matrices of neighbouring runs combine by (min, +). So a conversation is not
 held in one task: rows are range-partitioned by conversation and turn, a
@@ -28,6 +32,8 @@ of their own, usually merged. Ties go to the action named first in
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +50,7 @@ RELABEL, RELABEL_UNKNOWN, MERGE, INSERT = 3, 1, 1, 2
 # Legal successors of each state, as states.
 _NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 _FAR = 1 << 40
+SLICE_ROWS, SLICE_BYTES = 100_000, 1 << 27  # of what one task repairs at a time, on average
 _OUT = (
     "conv string, slice int, place bigint, turn bigint, no_turn boolean, action string, role string, "
     "cost bigint, new_message boolean, text string, rendered string"
@@ -149,6 +156,14 @@ def _matrices(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
     )
 
 
+def escaped(text: str) -> str:
+    return re.sub(r"<(\\*)\|im_(start|end)\|>", r"<\\\1|im_\2|>", text)
+
+
+def unescaped(text: str) -> str:
+    return re.sub(r"<\\(\\*)\|im_(start|end)\|>", r"<\1|im_\2|>", text)
+
+
 def _repaired(seams: dict):
     def run(rows: pd.DataFrame, first: np.ndarray) -> pd.DataFrame:
         conv, part, kinds, turn, no_turn, text = (rows[c].tolist() for c in ("conv", "slice", "kind", "turn", "no_turn", "text"))
@@ -156,7 +171,7 @@ def _repaired(seams: dict):
 
         def add(i: int, place: int, action: str, state: int, cost: int, new: bool, opened: bool, t: str, inserted: bool) -> None:
             head = ("<|im_end|>\n" if opened else "") + f"<|im_start|>{ROLES[state - 1]}\n" if new else "\n\n"
-            out.append((conv[i], part[i], place, turn[i], no_turn[i] or inserted, action, ROLES[state - 1], cost, new, t, head + t))
+            out.append((conv[i], part[i], place, turn[i], no_turn[i] or inserted, action, ROLES[state - 1], cost, new, t, head + escaped(t)))
 
         for a, b in zip(first, [*first[1:], len(rows)]):
             s, end, before = seams.get((conv[a], part[a]), (START, None, 0))
@@ -191,9 +206,13 @@ def repair(
         F.when(kind == "system", 0).when(kind == "user", 1).when(kind == "assistant", 2).otherwise(OTHER).alias("kind"),
         whole(F.col(f"`{text}`")).alias("text"),
     )
-    order = ["turn", "kind", "tie"]
+    # The last one tells equal turns apart, so that they can be cut as well.
+    order = ["turn", "kind", "tie", "row"]
+    size = turns.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(f"`{text}`"))).alias("bytes")).first()
+    slices = max(partitions(spark), -(-size["n"] // SLICE_ROWS), -(-(size["bytes"] or 0) // SLICE_BYTES))
+    tied = rows.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     # The slice is stored: partitioning a second time may cut elsewhere.
-    ranged = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(partitions(spark), "conv", *order)
+    ranged = tied.repartitionByRange(slices, "conv", *order)
     sliced = materialise(ranged.withColumn("slice", F.spark_partition_id()), "slices")
     crossing = sliced.groupBy("conv").agg(F.count_distinct("slice").alias("slices")).filter("slices > 1").select("conv")
     runs = whole_groups(

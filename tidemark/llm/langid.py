@@ -4,7 +4,7 @@ A text is its byte n-grams, hashed into ``BUCKETS`` rows of an embedding
 table. The mean of the rows goes through a linear softmax. Both tables are
 trained by stochastic gradient descent in numpy on a bounded sample: at most
 ``PER_LANGUAGE`` different texts of each language, those with the smallest
-hashes. A fifth of them is held back to calibrate: one temperature makes the
+hashes, and fewer of each where there are so many languages that their texts would be more than ``MOST_SAMPLED``. A fifth of them is held back to calibrate: one temperature makes the
 score a probability, and the smallest score above which ``PRECISION`` of the
 held-back texts are right becomes the limit of acceptance.
 
@@ -16,7 +16,8 @@ and not accepted. Rows without a language, id or text are predicted like any
 other and not learned from if language or text is missing; a null id counts as
 the empty text when folds are dealt. Repeated rows give equal predictions and are
 learned from once. An empty table gives no rows; with nothing to learn from,
-all is ``und``. Other columns are left out.
+all is ``und``. A very long text is as many numbers as there are buckets where it is learned from,
+and is predicted whole. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ BUCKETS = 1 << 14
 DIMENSIONS = 16
 GRAMS = (1, 2, 3, 4)
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 200
+MOST_SAMPLED = 16_000  # texts of all languages together; beyond, each language gives an equal part
 EPOCHS, RATE, BATCH = 12, 0.5, 32
 PRECISION = 0.99
 _PIECE = 1 << 19
@@ -118,8 +119,9 @@ def train(learn: DataFrame) -> Model | None:
     # First of a 64th each, so that a language with most of the texts is not ranked in one task.
     few = first_rows(different.withColumn("_part", F.pmod("hash", F.lit(64))), ["lang", "_part"], ["hash"], PER_LANGUAGE)
     chosen = store(first_rows(few.drop("_part"), ["lang"], ["hash"], PER_LANGUAGE), "sample")
-    if chosen.rows > PER_LANGUAGE * MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if chosen.rows > MOST_SAMPLED:
+        each = max(1, MOST_SAMPLED // chosen.df.select("lang").distinct().count())
+        chosen = store(first_rows(chosen.df, ["lang"], ["hash"], each), "sample")
     few = F.broadcast(chosen.df.toDF("_lang", "_hash", "_id"))
     cond = (F.col("lang") == F.col("_lang")) & (F.col("hash") == F.col("_hash")) & F.col("id").eqNullSafe(F.col("_id"))
     texts = known.join(few, cond).select("lang", "hash", "text")
@@ -128,31 +130,46 @@ def train(learn: DataFrame) -> Model | None:
     if not sample:
         return None
     languages = tuple(sorted({r["lang"] for r in sample}))
-    x = np.zeros((len(sample), BUCKETS), np.float32)
-    for i, r in enumerate(sample):
-        x[i, np.frombuffer(r["at"], np.int32)] = np.frombuffer(r["share"], np.float32)
-    y = np.array([languages.index(r["lang"]) for r in sample])
+    x = Sparse([np.frombuffer(r["at"], np.int32) for r in sample], [np.frombuffer(r["share"], np.float32) for r in sample])
+    number = {lang: k for k, lang in enumerate(languages)}
+    y = np.array([number[r["lang"]] for r in sample])
     back = np.arange(len(sample)) % 5 == 4 if len(sample) >= 20 else np.zeros(len(sample), bool)
-    scores = _descend(x[~back], y[~back], len(languages))
-    checked = back if back.any() else ~back
-    temperature, limit = _calibrated(x[checked] @ scores, y[checked])
+    scores = _descend(x, np.flatnonzero(~back), y, len(languages))
+    checked = np.flatnonzero(back if back.any() else ~back)
+    z = np.concatenate([x.rows(checked[a : a + 256]) @ scores for a in range(0, len(checked), 256)])
+    temperature, limit = _calibrated(z, y[checked])
     return Model(languages, np.vstack([scores, np.zeros((1, len(languages)))]).astype(np.float32), temperature, limit)
 
 
-def _descend(x: np.ndarray, y: np.ndarray, classes: int) -> np.ndarray:
-    """Embeddings times output weights after stochastic gradient descent."""
+@dataclass(frozen=True)
+class Sparse:
+    """Bucket shares of the sample: only a batch of rows is ever written out."""
+
+    at: list[np.ndarray]
+    share: list[np.ndarray]
+
+    def rows(self, which: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(which), BUCKETS), np.float32)
+        for k, i in enumerate(which):
+            out[k, self.at[i]] = self.share[i]
+        return out
+
+
+def _descend(x: Sparse, learn: np.ndarray, y: np.ndarray, classes: int) -> np.ndarray:
+    """Embeddings times output weights after stochastic gradient descent on the rows ``learn``."""
     rng = np.random.Generator(np.random.PCG64(11))
-    embed = rng.normal(0, 1, (x.shape[1], DIMENSIONS)).astype(np.float32)
+    embed = rng.normal(0, 1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     out = np.zeros((DIMENSIONS, classes), np.float32)
-    goal = np.eye(classes, dtype=np.float32)[y]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), BATCH):
+        order = learn[rng.permutation(len(learn))]
+        for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            part = x[rows]
+            part = x.rows(rows)
             hidden = part @ embed
-            error = (softmax(hidden @ out) - goal[rows]) / len(rows)
+            error = softmax(hidden @ out)
+            error[np.arange(len(rows)), y[rows]] -= 1
+            error /= len(rows)
             back = error @ out.T
             out -= rate * 10 * (hidden.T @ error)
             # Buckets are averaged over many subwords, so their steps are scaled up.

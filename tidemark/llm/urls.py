@@ -19,7 +19,9 @@ and the reputation of the empty host. A host of one label is its own domain
 and suffix. Labels that are null on both sides, pages without labels and hosts
 without labelled pages add nothing; such a host has the posterior of its
 domain. Several labels of a page all count. Repeated rows are judged alike.
-Without any labels nothing is blocked by reputation.
+Without any labels nothing is blocked by reputation. An address in numbers is its
+own domain and suffix. An empty table gives no rows. Very long urls are judged by their
+host like others. Other columns of pages and labels are left out.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, table
+from tidemark.llm.common import ascii_lower, joined, table
 from tidemark.llm.registry import query
 from tidemark.operators.scale import attach
 from tidemark.session import materialise, store
@@ -74,12 +76,29 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+# An address has no domains above it.
+ADDRESS = r"^([0-9]{1,3}([.][0-9]{1,3}){3}|\[.*\])(:[0-9]*)?$"
+
+
 def suffix_labels(host: Column) -> Column:
-    """Number of labels of the public suffix."""
+    """Number of labels of the public suffix by rule; an address is all suffix."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
     second = (F.length(F.element_at(labels, -1)) == 2) & F.coalesce(F.try_element_at(labels, F.lit(-2)), F.lit("")).isin(*SECOND_LEVEL)
-    return F.when((n > 2) & second, 2).otherwise(1)
+    return F.when(host.rlike(ADDRESS), n).when((n > 2) & second, 2).otherwise(1)
+
+
+def with_suffix_labels(hosts: DataFrame, suffixes: DataFrame | None) -> DataFrame:
+    """``hosts`` with ``labels``, how many the public suffix has: the longest in ``suffixes`` (suffix), else by rule."""
+    host = F.col("host")
+    if suffixes is None:
+        return hosts.withColumn("labels", suffix_labels(host))
+    listed = store(suffixes.select(ascii_lower(F.col("suffix")).alias("_suffix")).distinct(), "suffixes")
+    ends = hosts.select("host", F.explode(F.sequence(F.lit(1), F.size(F.split(host, r"\.")))).alias("k"))
+    found = joined(ends, listed, _last(host, F.col("k")) == F.col("_suffix")).groupBy(host.alias("_host")).agg(F.max("k").alias("_k"))
+    named = hosts.join(found, host.eqNullSafe(F.col("_host")), "left")
+    by_list = F.when(~host.rlike(ADDRESS), F.col("_k"))
+    return named.withColumn("labels", F.coalesce(by_list, suffix_labels(host))).drop("_host", "_k")
 
 
 def _last(host: Column, n: Column) -> Column:
@@ -116,14 +135,15 @@ def _strength(groups: DataFrame, prior: str) -> float:
     return 1 / min(max(gamma, LEAST_SPREAD), MOST_SPREAD) - 1
 
 
-def reputations(hosts: DataFrame) -> DataFrame:
+def reputations(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """``hosts`` (host, pages, n, bad) with mean, strength and the lower bound of the bad share."""
     h = F.col("host")
-    named = materialise(hosts.withColumns({"domain": _last(h, suffix_labels(h) + 1), "suffix": _last(h, suffix_labels(h))}), "hosts")
+    counted = with_suffix_labels(hosts, suffixes)
+    named = materialise(counted.withColumns({"domain": _last(h, F.col("labels") + 1), "suffix": _last(h, F.col("labels"))}).drop("labels"), "hosts")
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = named.groupBy("domain", "suffix").agg(*sums)
-    suffixes = domains.groupBy("suffix").agg(*sums)
-    whole = suffixes.agg(*sums).first()
+    tops = domains.groupBy("suffix").agg(*sums)
+    whole = tops.agg(*sums).first()
     overall = whole["bad"] / whole["n"] if whole["n"] else 0.0
 
     def shrunk(groups: DataFrame, name: str) -> tuple[DataFrame, float]:
@@ -131,7 +151,7 @@ def reputations(hosts: DataFrame) -> DataFrame:
         mean = (F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)
         return groups.withColumn(name, mean), strength
 
-    suffix_means, _ = shrunk(materialise(suffixes.withColumn("prior", F.lit(float(overall))), "suffixes"), "prior_d")
+    suffix_means, _ = shrunk(materialise(tops.withColumn("prior", F.lit(float(overall))), "suffixes"), "prior_d")
     domain_rows = domains.join(suffix_means.select("suffix", F.col("prior_d").alias("prior")), "suffix")
     domain_means, _ = shrunk(materialise(domain_rows, "domains"), "prior_h")
     host_rows = named.join(domain_means.select("domain", F.col("prior_h").alias("prior")), "domain")
@@ -143,9 +163,12 @@ def reputations(hosts: DataFrame) -> DataFrame:
 
 def judge(
     pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES, most_bad: float = MOST_BAD,
-    id: str = "page_id", url: str = "url",
+    id: str = "page_id", url: str = "url", suffixes: DataFrame | None = None,
 ) -> DataFrame:
-    """id, host, path, rule, verdict, bad_share and bound of every page. ``outcomes``: id, n, bad."""
+    """id, host, path, rule, verdict, bad_share and bound of every page.
+
+    ``outcomes``: id, n, bad. ``suffixes`` (suffix) lists public suffixes; without it a rule of thumb finds them.
+    """
     u = F.col(f"`{url}`")
     parsed = pages.select(F.col(f"`{id}`").alias("id"), host_of(u).alias("host"), path_of(u).alias("path"))
     labelled = parsed.select("id", "host").join(outcomes, "id")
@@ -153,7 +176,7 @@ def judge(
     every = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     zero = F.lit(0).cast("long")
     hosts = every.join(counts, "host", "left").select("host", "pages", F.coalesce("n", zero).alias("n"), F.coalesce("bad", zero).alias("bad"))
-    known = store(reputations(hosts).select("host", "pages", "n", "bad", "bad_share", "bound"), "reputations")
+    known = store(reputations(hosts, suffixes).select("host", "pages", "n", "bad", "bad_share", "bound"), "reputations")
     rated = attach(parsed, known, ["host"], "pages").withColumn("_rule", fitting_rule(F.col("host"), F.col("path"), rules))
     by_reputation = F.when(F.col("bound") > most_bad, "block").otherwise("allow")
     return rated.select(
@@ -191,7 +214,7 @@ def _rules_sql() -> str:
     return f"CASE {place} END AS rule, CASE {verdict} END AS by_rule"
 
 
-SQL = f"""
+SQL = rf"""
 WITH p AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
@@ -207,7 +230,7 @@ h0 AS (
   FROM p LEFT JOIN o ON page_id = doc_id GROUP BY host
 ),
 h1 AS (
-  SELECT host, n, bad, l, CASE WHEN len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN {SECOND_LEVEL} THEN 2 ELSE 1 END AS w FROM h0
+  SELECT host, n, bad, l, CASE WHEN regexp_matches(host, '{ADDRESS}') THEN len(l) WHEN len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN {SECOND_LEVEL} THEN 2 ELSE 1 END AS w FROM h0
 ),
 h AS (
   SELECT host, n, bad, array_to_string(l[greatest(len(l) - w, 1):], '.') AS domain, array_to_string(l[greatest(len(l) - w + 1, 1):], '.') AS suffix FROM h1
