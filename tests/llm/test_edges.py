@@ -237,3 +237,15 @@ def test_trie(spark):
     # Conversations without turns are members of the root alone.
     alone = trie.nodes(none, spark.createDataFrame([(4,), (5,)], "conv bigint")).collect()
     assert [tuple(r)[:7] for r in alone] == [(4, 0, None, 2, 0, 1, 0)] and alone[0]["ends_sha256"] == trie.ends_hash([4, 5])
+
+
+@pytest.mark.parametrize("rows", [ROWS, []])
+def test_pipeline_of_untidy_tables(spark, tmp_path, rows):
+    """Nulls, repeated rows, clashing names and no rows at all go through every stage."""
+    import corpus_pipeline
+
+    long = [(100 + i, " ".join(f"x{i}y{k}" for k in range(80)) + f". End {i}.", "en", "ab"[i % 2], 1, None, "z") for i in range(6 if rows else 0)]
+    spark.createDataFrame([*rows, *long], DOCS).repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert bool(found) == bool(rows)
+    assert all(r["n_words"] <= packing.CAPACITY for r in found)

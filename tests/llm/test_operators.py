@@ -36,7 +36,7 @@ def test_sql(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query():
-    numbers = {name.split("_")[0] for name in QUERIES}
+    numbers = {name.split("_")[0] for name in QUERIES if name.startswith("op")}
     assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 

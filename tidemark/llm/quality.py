@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACES, let, table, whole, words
 from tidemark.llm.registry import query
+from tidemark.session import materialise
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "#*$%&|<>"
@@ -207,3 +208,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         fails(BASE).alias("base_failed"), "kept", "n_lines", "failed_bits",
     )
+
+
+def _ablation_sql(policy: Policy) -> str:
+    place = {r.name: i for i, r in enumerate(RULES)}
+    used = mask(policy)
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, count(*) FILTER (WHERE bits & {1 << place[n]} <> 0) AS failed, count(*) FILTER (WHERE bits & {used} = {1 << place[n]}) AS only_this, '{policy.version}' AS policy FROM b"
+        for n in policy.rules
+    )
+
+
+@query(SQL.rsplit("SELECT doc_id, n_words, word_chars", 1)[0] + f"{_ablation_sql(BASE)} UNION ALL {_ablation_sql(FULL)}")
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of two policies rejects, and what it alone does, from one ledger."""
+    rows = materialise(ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).select("failed_bits"), "ledger")
+    return ablations(rows, BASE).unionByName(ablations(rows, FULL))
