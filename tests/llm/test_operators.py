@@ -238,10 +238,11 @@ def test_near_duplicates(spark, sf_dir, docs):
     assert sorted(map(tuple, found), key=str) == brute.near([(i, t) for i, t, _, _ in docs])
 
 
-@pytest.mark.parametrize("block", [512, 7])
-def test_large_group_of_near_copies(spark, monkeypatch, block):
-    """Blocks of a large group find the links that one block finds."""
+@pytest.mark.parametrize(("block", "grams"), [(512, 1 << 22), (7, 1 << 22), (512, 1000)])
+def test_large_group_of_near_copies(spark, monkeypatch, block, grams):
+    """Blocks of a large group find the links that one block finds, also if they are cut by n-grams."""
     monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "BLOCK_GRAMS", grams)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(w if rng.random() > 0.01 else f"x{rng.random()}" for w in base)) for i in range(70)]

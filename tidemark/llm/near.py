@@ -5,8 +5,8 @@ two documents meet if all rows of a band agree. The numbers are the sharpest
 that reach the target recall at the threshold. Band hashes are shuffled, and
 in each bucket pairs whose minima agree far too rarely for the threshold are
 struck out at once. What remains links documents to candidate clusters; every
-document sends its full n-gram set once to its cluster, where all pairs are
-verified exactly.
+document sends its full n-gram set to its cluster, where all pairs are
+verified exactly: once if the cluster is one block, else once for each block that it meets.
 
 Documents with equal n-gram sets are one node from the start, so copies are
 never paired. Buckets and clusters above a block's size are dealt out as pairs
@@ -44,6 +44,7 @@ THRESHOLD = 0.8
 RECALL = 0.999
 MOST_HASHES = 160
 BLOCK = 512
+BLOCK_GRAMS = 1 << 22  # n-grams of the members of a block, on average
 SLACK = 6.0  # standard deviations
 
 
@@ -94,7 +95,7 @@ def _minima(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-_SKETCH = "id bigint, no_id boolean, text_key bigint, digest binary, signature binary, bands array<bigint>"
+_SKETCH = "id bigint, no_id boolean, text_key bigint, digest binary, grams bigint, signature binary, bands array<bigint>"
 
 
 def _sketches(n: int, bands: int, rows: int):
@@ -120,7 +121,7 @@ def _sketches(n: int, bands: int, rows: int):
             yield pd.DataFrame(
                 {
                     "id": batch["id"].to_numpy(), "no_id": batch["no_id"].to_numpy(), "text_key": batch["text_key"].to_numpy(),
-                    "digest": digests, "signature": signature, "bands": banded,
+                    "digest": digests, "grams": [len(s) for s in sets], "signature": signature, "bands": banded,
                 }
             )
 
@@ -241,7 +242,9 @@ def classes(
 
     first = F.min(F.struct("no_id", "id", "text_key"))
     nodes = materialise(
-        sketch.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), first.alias("first"), F.max("signature").alias("signature")),
+        sketch.groupBy("digest").agg(
+            F.count(F.lit(1)).alias("copies"), first.alias("first"), F.max("signature").alias("signature"), F.max("grams").alias("size")
+        ),
         "nodes",
     )
 
@@ -254,14 +257,16 @@ def classes(
         dealt, ["band", "low", "high"], _bucket_links(threshold - SLACK * spread), "a binary, b binary"
     )
     clusters = materialise(components(candidates), "clusters")
-    sized = clusters.join(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root")
-    members = store(
-        sized.join(nodes, sized["node"] == nodes["digest"]).select(
-            "digest", F.col("root").alias("cluster"), "n",
+    placed = materialise(
+        clusters.join(nodes, clusters["node"] == nodes["digest"]).select(
+            "digest", F.col("root").alias("cluster"), "size",
             F.col("first.text_key").alias("key"), F.when(~F.col("first.no_id"), F.col("first.id")).alias("of"),
         ),
-        "members",
+        "placed",
     )
+    # Clusters of long texts count as more members, so that a block is bounded in n-grams as well.
+    weight = F.greatest(F.count(F.lit(1)), F.ceil(F.sum("size") / F.lit(BLOCK_GRAMS / BLOCK))).alias("n")
+    members = store(placed.drop("size").join(placed.groupBy("cluster").agg(weight), "cluster"), "members")
     texts = joined(keyed, members, (F.col("text_key") == F.col("key")) & F.col("id").eqNullSafe(F.col("of"))).select("digest", "text")
     grams = texts.mapInPandas(_grams(n), "digest binary, grams binary")
     sent = joined(grams.alias("g"), members, F.col("g.digest") == members.df["digest"]).select("g.digest", "grams", "cluster", "n")
