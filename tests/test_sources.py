@@ -176,6 +176,17 @@ def test_a_load_may_read_what_it_replaces_and_a_failed_one_changes_nothing(spark
     assert Store(spark, "four").count("t") == 4
 
 
+def test_files_of_others_stay(spark, snaps, tmp_path):
+    """A table that somebody else put into the database is dropped without its files."""
+    snaps.write.parquet(str(tmp_path / "theirs"))
+    store = Store(spark, "six", str(tmp_path / "six"))
+    spark.sql(f"CREATE TABLE six.theirs USING parquet LOCATION '{tmp_path}/theirs'")
+    store.create(snaps, "ours")
+    assert store.tables() == ["ours", "theirs"]
+    store.clear()
+    assert store.tables() == [] and os.listdir(tmp_path / "six") == [] and len(os.listdir(tmp_path / "theirs")) > 1
+
+
 UNTIDY = """Name,Papers,Cited
 Ada,1,2
 b,1

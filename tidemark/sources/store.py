@@ -47,7 +47,7 @@ class Loaded:
 
 
 class Store:
-    """Snapshots of one database, one table per schema.
+    """Snapshots of one database, one table per schema, with one writer at a time.
 
     ``location`` is a folder all executors reach; without it the session's
     warehouse is used.
@@ -142,13 +142,15 @@ class Store:
                     self._rename(t, table)
 
     def _remove(self, table: str, path: str | None = None) -> None:
-        """Drop a table with its files, which lie in a folder of their own."""
+        """Drop a table; its files go with it if this store wrote them, into a folder of their own."""
+        root = self.spark.catalog.getDatabase(self.database).locationUri.rstrip("/")
         if self.exists(table):
             place = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._full(table)}").filter("col_name = 'Location'").first()
             path = path or (place["data_type"] if place else None)
         self.spark.sql(f"DROP TABLE IF EXISTS {self._full(table)}")
-        if path:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path or root)
+        own = folder.getName().startswith(_STAGED) and folder.getParent().toUri().getPath() == self.spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()
+        if own:
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def insert(self, df: DataFrame, table: str) -> None:
