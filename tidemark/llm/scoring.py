@@ -43,7 +43,7 @@ from tidemark.llm.tokens import mix, word_hashes
 from tidemark.session import materialise
 
 BLOCK_TOKENS = 1 << 20
-PIECE = 6 << 20  # characters of short texts in a block
+PIECE = 3 << 20  # characters of short texts in a block
 ROUNDS = 200
 PER_OCTAVE = 4  # cells of probabilities the weights are learned from
 LEAST_WEIGHT = 1e-6
