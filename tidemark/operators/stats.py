@@ -8,7 +8,8 @@ counted: exact quartiles from about a thousandth of the distinct values.
 Ranks need every value. They work on *cells*, distinct values with their number
 of rows, which are counted before the shuffle, so a value that fills a third of a
 table is one cell, and a group of any size is ranked slice by slice. They
-come back to the rows by a row key, once for all fields.
+come back to the rows by a row key, once for all fields. Where ranks are wanted,
+quartiles are read off the ranked cells, without passes of their own.
 """
 
 from __future__ import annotations
@@ -56,6 +57,18 @@ def _at_rank(rank: Column) -> Column:
     return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
 
 
+def _quartile_ranks() -> list[tuple[str, Column]]:
+    """The 0-based ranks that each quartile lies between."""
+    position = {name: (F.col("total") - 1) * F.lit(q) for name, q in QUARTILES}
+    return [(f"{name}_{side}", f(position[name])) for name, _ in QUARTILES for side, f in (("low", F.floor), ("high", F.ceil))]
+
+
+def _interpolated(name: str, q: float) -> Column:
+    position = (F.col("total") - 1) * F.lit(q)
+    low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+    return (low + (high - low) * (position - F.floor(position))).alias(name)
+
+
 def _moments(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> Stored:
     """First pass: one row per (by, field) with count, mean, deviations, range and the brackets of the quartiles."""
     share = F.array(*[F.lit(q + side * MARGIN / ACCURACY) for _, q in QUARTILES for side in (-1, 1)])
@@ -81,14 +94,12 @@ def _bracketed(df: DataFrame, fields: Sequence[str], by: Sequence[str], moments:
     snapped = near.select(*on, F.when(inside, value).otherwise(edge).alias("to"), (~inside & (value < edge)).alias("up"), (~inside & (value > edge)).alias("down"))
     counted = snapped.groupBy(*on, "to").agg(F.count(F.lit(1)).alias("n"), F.count_if("up").alias("up"), F.count_if("down").alias("down"))
     cells = ranked(store(counted.withColumnRenamed("to", "value"), "cells"), by)
-    picks, sure = [], F.lit(True)
-    for name, q in QUARTILES:
-        position = (F.col("total") - 1) * F.lit(q)
-        for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
-            picks.append(_at_rank(rank).alias(f"{name}_{side}"))
-            here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-            known = (rank >= F.col("before") + F.col("up")) & (rank < F.col("before") + F.col("n") - F.col("down"))
-            sure = sure & (~here | known)
+    sure = F.lit(True)
+    for _, rank in _quartile_ranks():
+        here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+        known = (rank >= F.col("before") + F.col("up")) & (rank < F.col("before") + F.col("n") - F.col("down"))
+        sure = sure & (~here | known)
+    picks = [_at_rank(rank).alias(name) for name, rank in _quartile_ranks()]
     return store(cells.groupBy(*on).agg(*picks, F.bool_and(sure).alias("sure"), F.lit(1).alias("_one")), "quartiles")
 
 
@@ -103,15 +114,23 @@ def field_stats(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) ->
         wide = {c: F.when(F.col("sure"), F.col(c)).otherwise(F.col("min" if c.endswith("lo") else "max")) for c in EDGES}
         found = _bracketed(df, fields, by, store(doubtful.withColumns(wide).drop("sure"), "moments"))
 
-    def quartile(name: str, q: float) -> Column:
-        position = (F.col("total") - 1) * F.lit(q)
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        return (low + (high - low) * (position - F.floor(position))).alias(name)
-
-    both = attach(moments.df.drop(*EDGES), found, on, "_one", null_safe=by).select("*", *[quartile(*q) for q in QUARTILES])
+    both = attach(moments.df.drop(*EDGES), found, on, "_one", null_safe=by).select("*", *[_interpolated(*q) for q in QUARTILES])
     return both.select(*on, F.col("total").alias("n"), "mean", "std", "std_pop", "min", "max", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
 
 
+def _stats_of_cells(df: DataFrame, fields: Sequence[str], by: Sequence[str], cells: Stored) -> DataFrame:
+    """Count, mean, deviation and quartiles per (by, field), the quartiles from cells that are ranked already."""
+    on = [*by, "field"]
+    value = F.col("value")
+    moments = _long(df, fields, by).groupBy(*on).agg(
+        F.count(F.lit(1)).alias("total"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")
+    )
+    picks = [_at_rank(rank).alias(name) for name, rank in _quartile_ranks()]
+    found = store(cells.df.groupBy(*on).agg(*picks, F.lit(1).alias("_one")), "quartiles")
+    both = attach(moments, found, on, "_one", null_safe=by)
+    return both.select(*on, F.col("total").alias("n"), "mean", "std", *[_interpolated(*q) for q in QUARTILES])
+
+
 def profile(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Statistics of each field in each group."""
     return field_stats(df, fields, by)
@@ -122,14 +141,14 @@ def percent_rank_of_cell() -> Column:
     return F.when(F.col("total") > 1, F.col("before") / (F.col("total") - 1) * 100).otherwise(F.lit(0.0))
 
 
-def _with_ranks(df: DataFrame, fields: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _with_ranks(df: DataFrame, fields: Sequence[str], by: Sequence[str], cells: Stored) -> DataFrame:
     """Add ``_<field>_rank``, the percent rank of each value in its group, or null.
 
-    Ranks that may be broadcast are looked up row by row. Others meet narrow rows of
+    ``cells`` are the ranked cells. Ranks that may be broadcast are looked up row by row. Others meet narrow rows of
     a row key and one value, are put together by that key, and join the wide rows
     once, however many fields there are.
     """
-    cells = store(ranked(count_cells(df, fields, by), by).select(*by, "field", "value", "n", percent_rank_of_cell().alias("rank")), "ranked")
+    cells = replace(cells, df=cells.df.select(*by, "field", "value", "n", percent_rank_of_cell().alias("rank")))
     if cells.nbytes <= BROADCAST_BYTES:
         for f in fields:
             mine = cells.df.filter(F.col("field") == f).select(*by, F.col("value").alias(f"_{f}_key"), F.col("rank").alias(f"_{f}_rank"), "n")
@@ -154,9 +173,10 @@ def with_outliers(
     Missing values get 0, 0 and ``None``. The rows themselves are not moved
     when the statistics and cells are small enough to broadcast.
     """
+    cells = store(ranked(count_cells(df, fields, by), by), "ranked") if percentiles else None
+    stats = field_stats(df, fields, by) if cells is None else _stats_of_cells(df, fields, by, cells)
     wide = (
-        field_stats(df, fields, by)
-        .groupBy(*by)
+        stats.groupBy(*by)
         .agg(
             F.max("n").alias("_weight"),
             *[
@@ -167,8 +187,8 @@ def with_outliers(
         )
     )
     out = attach(df, store(wide, "stats"), by, "_weight", null_safe=by)
-    if percentiles:
-        out = _with_ranks(out, fields, by)
+    if cells is not None:
+        out = _with_ranks(out, fields, by, cells)
 
     added: list[Column] = []
     for f in fields:
