@@ -115,13 +115,14 @@ def joined(rows: DataFrame, small: Stored, cond: Column, how: str = "inner") ->
     return rows.join(F.broadcast(small.df) if small.nbytes <= BROADCAST_BYTES else small.df, cond, how)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node -> root, the smallest node it is connected to, for the nodes of edges (a, b).
 
     Large-star and small-star steps in turn. Each step is an aggregate and a
     join by node, so no list of neighbours is gathered anywhere; rows with the
     same node are split by the skew join. Every round is written, which cuts
-    the lineage.
+    the lineage. Rounds go on until one changes nothing; each brings nodes nearer to
+    their root, so they end, after about the logarithm of the longest path.
     """
 
     def large_star(e: DataFrame) -> DataFrame:
@@ -140,13 +141,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     ordered = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = materialise(ordered, "edges")
-    seen = state(now)
-    for _ in range(most_rounds):
+    before, seen = None, state(now)
+    while before != seen:
         now = materialise(small_star(large_star(now)), "edges")
         before, seen = seen, state(now)
-        if before == seen:
-            break
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
