@@ -35,6 +35,7 @@ from tidemark.session import materialise, store
 
 MOST_COPIES = 3
 STEPS = 100  # many times what Newton's method and the bracket need
+NEWTON = 12  # steps after which every second one cuts the bracket
 TOLERANCE = 1e-4  # of a target; rounding settles the rest
 BUCKET_ROWS = 20_000
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -84,7 +85,7 @@ def tilts(cells: DataFrame, wanted: DataFrame, cap: int = MOST_COPIES) -> DataFr
         (F.log(F.lit(float(cap))) / least).alias("high"), capped.alias("done"),
     ).withColumn("tilt", F.when(F.col("done"), F.col("high")).otherwise(0.0))
     state = materialise(state, "tilts")
-    for _ in range(STEPS):
+    for number in range(STEPS):
         at = state.alias("s").join(cells.alias("c"), F.col("s.source").eqNullSafe(F.col("c.source")))
         x = F.col("c.size") / F.col("mean")
         rate = F.exp(F.least(F.col("tilt") * x, F.log(F.lit(float(cap)))))
@@ -102,7 +103,9 @@ def tilts(cells: DataFrame, wanted: DataFrame, cap: int = MOST_COPIES) -> DataFr
             F.when(low > 0, F.sqrt(low * high)).when(high < 0, -F.sqrt(low * high))
             .when(low == 0, high / 8).when(high == 0, low / 8).otherwise((low + high) / 2)
         )
-        inside = (F.col("slope") > 0) & (step > low) & (step < high)
+        # Near the cap Newton's steps come from one side and get ever shorter; cuts bring the other side along.
+        trusted = F.lit(number < NEWTON or number % 2 == 0)
+        inside = trusted & (F.col("slope") > 0) & (step > low) & (step < high)
         done = F.col("done") | (F.abs(gap) <= TOLERANCE * F.col("target")) | (high - low <= 1e-12 * (1 + F.abs(high)))
         state = materialise(
             state.alias("a").join(sums.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select(
