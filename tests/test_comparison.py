@@ -328,3 +328,16 @@ def test_stored_buckets_are_compared_without_a_shuffle(spark, sf_dir, tmp_path):
     plain = C.compare(materialise(rows), spec)
     counts = lambda df: sorted(map(tuple, df.groupBy("subject", "status").count().collect()))
     assert counts(compared) == counts(plain)
+
+
+def test_first_rows_are_sorted_by_a_hash_of_their_keys(spark):
+    """Subjects and names share their first bytes, so that sorting by them compares whole keys."""
+    rows = [("s", f"Customer#{i % 7}", p, i, 10 * i) for i in range(20) for p in ("p1", "p2")]
+    df = spark.createDataFrame(rows, "subject string, name string, period string, seq int, price int")
+    spec = CompareSpec(metrics=(Metric("price"),), periods=("p1", "p2"), pair_by=("subject",), order_by=("seq",))
+    out = C.compare(df, spec)
+    assert sorted((r["name"], r["rows_1"], r["seq_1"], r["price_2"]) for r in out.collect()) == [
+        (f"Customer#{i}", 3 if i < 6 else 2, i, 10 * i) for i in range(7)
+    ]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_hash#" in plan and "_hash" not in out.columns

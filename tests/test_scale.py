@@ -242,3 +242,28 @@ def test_duplicate_numbers_compare_beginnings_first(spark, monkeypatch):
     zeros = spark.createDataFrame([(0.0, 1), (-0.0, 1), (float("nan"), 1), (float("nan"), 1), (2.0, 1)], "x double, n int")
     assert [r["is_duplicate"] for r in duplicates.flag_duplicates(zeros, ["x"]).orderBy("x").collect()] == [True, True, False, True, True]
     assert sorted(r["n_rows"] for r in duplicates.duplicate_groups(zeros, ["x"]).collect()) == [2, 2]
+
+
+def test_duplicate_keys_are_read_again_only_where_beginnings_are_shared(spark, monkeypatch):
+    read = []
+
+    def spied(rows, keys, on, *args, **kwargs):
+        read.append((list(on), keys.rows))
+        return scale.keep_matching(rows, keys, on, *args, **kwargs)
+
+    monkeypatch.setattr(duplicates, "keep_matching", spied)
+    short = spark.createDataFrame([("y", "b"), ("x", "a"), ("x", " A"), ("x", "c"), ("x", None), ("x", None), ("y", "B")], "g string, t string")
+    found = {(r["g"], r["t"]): r["duplicate_group_id"] for r in duplicates.flag_duplicates(short, ["t"], ["g"]).collect()}
+    assert found == {("y", "b"): "DUP_0001", ("y", "B"): "DUP_0001", ("x", "a"): "DUP_0002", ("x", " A"): "DUP_0002", ("x", "c"): "", ("x", None): "DUP_0001"}
+    assert not read
+    # 64 characters may be a whole key or the beginning of longer ones; two keys share a first key.
+    texts = [t for t in ("a", "b" * 64, "b" * 65, "c" * 70, "d") for _ in range(2)]
+    found = {r["t"]: r["duplicate_group_id"] for r in duplicates.flag_duplicates(spark.createDataFrame([(t,) for t in texts], "t string"), ["t"]).collect()}
+    assert found == {t: f"DUP_{i:04d}" for i, t in enumerate(dict.fromkeys(texts), 1)}
+    assert read == [(["_begin"], 1), (["_digest"], 2)]
+    read.clear()
+    pairs = [("a", "z"), ("a", None), ("b", "y"), ("c", "x")]
+    df = spark.createDataFrame(pairs * 2, "t string, u string")
+    found = {(r["t"], r["u"]): r["duplicate_group_id"] for r in duplicates.flag_duplicates(df, ["t", "u"]).collect()}
+    assert found == {("a", None): "DUP_0001", ("a", "z"): "DUP_0002", ("b", "y"): "DUP_0003", ("c", "x"): "DUP_0004"}
+    assert read == [(["_begin"], 1), (["_digest"], 2)]

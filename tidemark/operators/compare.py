@@ -63,7 +63,9 @@ def _grouped(wanted: DataFrame, spec: CompareSpec) -> DataFrame:
     ranked = [*[F.col(c) for c in spec.order_by], *[F.col(c) for c in spec.payload if c not in spec.order_by]]
     whole = F.struct(*ranked)
     first = [F.min(F.when(side & named, whole)).alias(f"_side_{i}") for i, side in sides]
-    grouped = wanted.groupBy(*spec.keys).agg(*counts, *first)
+    # Spark aggregates structs by sorting; a hash as first key makes most comparisons ones of two numbers.
+    hashed = wanted.withColumn("_hash", F.xxhash64(*spec.keys))
+    grouped = hashed.groupBy("_hash", *spec.keys).agg(*counts, *first)
     columns = [F.col(f"_side_{i}")[c].alias(f"{c}_{i}") for i, _ in sides for c in (*spec.payload, *order)]
     return grouped.select(*spec.keys, "rows_1", "rows_2", *columns)
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,29 +62,30 @@ def flag_duplicates(
     Groups are numbered ``DUP_0001`` upward within ``by``, in key order. The
     numbers come from the groups, not from the rows. No row is removed. Rows meet
     by a digest of their keys, and groups are ordered by the beginning of their first
-    key; whole keys are compared where beginnings are equal.
+    key, which is counted along; whole keys are read again where beginnings are equal.
     """
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"duplicate key columns not found: {missing}")
     norm = {k: f"_key_{k}" for k in keys}
     order = [norm[k] for k in keys]
-    keyed = df.withColumns({norm[k]: _key(df, k, case_sensitive) for k in keys})
-    keyed = keyed.withColumn("_digest", _digest(order))
-    on = [*by, "_digest"]
-    counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
-    repeated = store(counts, "digests")
+    normal = df.withColumns({norm[k]: _key(df, k, case_sensitive) for k in keys})
+    normal = normal.withColumn("_digest", _digest(order))
+    # Joins sort by their first key, which the digest is, as it differs in its first bytes.
+    on = ["_digest", *by]
+    counts = _with_beginnings(normal, on, order[0]).filter(F.col("n_rows") > 1)
+    repeated = store(counts.withColumn("_one", F.lit(1).cast("bigint")), "digests")
     if fail and repeated.rows:
         raise DuplicatesFound(f"duplicates found on {list(keys)}")
-    # The keys themselves are read for repeated digests only, to number them in key order.
-    named = keep_matching(keyed.select(*on, *order), repeated, on, "n_rows", null_safe=on)
-    groups = named.groupBy(*on).agg(F.min(F.struct(*order)).alias("_keys"))
-    ranked = running_totals(_sortable(groups, by, order), by, ["_begin", "_whole"], "_one")
-    numbers = ranked.select(*on, F.format_string("DUP_%04d", F.col("before") + 1).alias("_group"))
-    weighed = repeated.df.alias("_c").join(numbers.alias("_n"), reduce(and_, [F.col(f"_c.{c}").eqNullSafe(F.col(f"_n.{c}")) for c in on]))
-    numbered = store(weighed.select(*[F.col(f"_c.{c}").alias(c) for c in on], "n_rows", "_group"), "duplicates")
-    joined = attach(keyed, numbered, on, "n_rows", null_safe=on)
-    profile = F.concat_ws(" | ", *[F.concat(F.lit(f"{k}:"), F.coalesce(F.col(norm[k]).cast("string"), F.lit(""))) for k in keys])
+    cells, ranks = _sortable(normal, repeated, by, on, order)
+    ranked = running_totals(cells, by, ranks, "_one")
+    number = F.format_string("DUP_%04d", F.col("before") + 1).alias("_group")
+    numbered = store(ranked.select(*on, "n_rows", number), "duplicates")
+    # Normalised keys are made again behind the join, so that they are not shuffled.
+    joined = attach(normal.select(*df.columns, "_digest"), numbered, on, "n_rows", null_safe=on)
+    profile = F.concat_ws(
+        " | ", *[F.concat(F.lit(f"{k}:"), F.coalesce(_key(df, k, case_sensitive).cast("string"), F.lit(""))) for k in keys]
+    )
     return joined.select(
         *df.columns,
         F.col("_group").isNotNull().alias("is_duplicate"),
@@ -95,15 +94,40 @@ def flag_duplicates(
     )
 
 
-def _sortable(groups: DataFrame, by: Sequence[str], order: Sequence[str]) -> Stored:
-    """Groups with ``_begin``, the first key or its beginning, and all keys as ``_whole`` where that is shared."""
-    first = F.col("_keys")[order[0]]
-    text = isinstance(groups.schema["_keys"].dataType[order[0]].dataType, T.StringType)
-    kept = store(groups.withColumn("_begin", F.left(first, F.lit(BEGINNING)) if text else first), "groups")
-    shared = kept.df.groupBy(*by, "_begin").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    marked = attach(kept.df, store(shared.withColumn("_shared", F.lit(True)), "beginnings"), [*by, "_begin"], "_n", null_safe=[*by, "_begin"])
-    sortable = marked.select(*[c for c in groups.columns if c != "_keys"], "_begin", F.when(F.col("_shared"), F.col("_keys")).alias("_whole"), F.lit(1).cast("bigint").alias("_one"))
-    return store(sortable, "sortable")
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
+def _with_beginnings(normal: DataFrame, on: Sequence[str], first: str) -> DataFrame:
+    """Rows of each digest as ``n_rows``, and its first key or that text's first characters as ``_begin``."""
+    rows = F.count(F.lit(1)).alias("n_rows")
+    if not _is_text(normal, first):
+        return normal.groupBy(*on).agg(rows, F.min(first).alias("_begin"))
+    # Text follows from its digest; as one more key it is aggregated by hash, as a minimum by sorting.
+    return normal.withColumn("_begin", F.left(F.col(first), F.lit(BEGINNING))).groupBy(*on, "_begin").agg(rows)
+
+
+def _sortable(
+    normal: DataFrame, repeated: Stored, by: Sequence[str], on: Sequence[str], order: Sequence[str]
+) -> tuple[Stored, list[str]]:
+    """Groups and the columns that order them: ``_begin``, then all keys as ``_whole`` where beginnings are shared."""
+    groups = repeated.df
+    if len(order) > 1:
+        alike = groups
+    elif _is_text(normal, order[0]):
+        # A shorter beginning is the whole key.
+        alike = groups.filter(F.length("_begin") >= BEGINNING)
+    else:
+        return repeated, ["_begin"]
+    counted = alike.groupBy(*by, "_begin").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    shared = store(counted, "beginnings")
+    if not shared.rows:
+        return repeated, ["_begin"]
+    # The keys themselves are read for these groups only.
+    doubtful = store(keep_matching(groups, shared, [*by, "_begin"], "_n", null_safe=[*by, "_begin"]).select(*on, "n_rows"), "doubtful")
+    rows = keep_matching(normal.select(*on, *order), doubtful, on, "n_rows", null_safe=on)
+    whole = rows.groupBy(*on).agg(F.min(F.struct(*order)).alias("_whole"), F.lit(1).cast("bigint").alias("_weight"))
+    return store(attach(groups, store(whole, "groups"), on, "_weight", null_safe=on), "sortable"), ["_begin", "_whole"]
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (), case_sensitive: bool = True) -> DataFrame:
